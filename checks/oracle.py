@@ -34,6 +34,36 @@ def uniform(purpose: str, *keys: str) -> str:
     return f"((('0x' || substr(md5(concat_ws('|', {text})), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)"
 
 
+PRIME = 2147483647
+
+
+def seeds(purpose: str, *keys: str) -> str:
+    """Columns c0..c7 for the units of one chunk."""
+    text = ", ".join([f"'{SEED}'", f"'{purpose}'", *[f"CAST({k} AS VARCHAR)" for k in keys], "CAST(chunk AS VARCHAR)"])
+    text = f"concat_ws('|', {text})"
+    parts = [(text, k) for k in range(4)] + [(f"{text} || '|low'", k) for k in range(4)]
+    return ", ".join(
+        f"('0x' || substr(md5({t}), {8 * k + 1}, 8))::BIGINT % {PRIME} AS c{i}" for i, (t, k) in enumerate(parts)
+    )
+
+
+def seeded_uniform(i: str) -> str:
+    def polynomial(c: int) -> str:
+        return f"CAST((c{c + 3} * {i}**3 + c{c + 2} * {i}**2 + c{c + 1} * {i} + c{c}) % {PRIME} AS DOUBLE)"
+
+    high, low = (polynomial(c).replace(f"{i}**3", f"({i} * {i} * {i})").replace(f"{i}**2", f"({i} * {i})") for c in (0, 4))
+    return f"(({high} + ({low} + 0.5::DOUBLE) / {PRIME}::DOUBLE) / {PRIME}::DOUBLE)"
+
+
+def chunks(n: str) -> str:
+    """Chunk numbers of n units, and a chunk's units, both to be unnested."""
+    return f"unnest(range(0, ({n} - 1) // 10000 + 1)) AS chunk"
+
+
+def units(n: str) -> str:
+    return f"unnest(range(1, least({n} - chunk * 10000, 10000) + 1))"
+
+
 def days(start: str, end: str) -> str:
     return f"CAST(unnest(generate_series({start}, {end}, INTERVAL 1 DAY)) AS DATE)"
 
@@ -183,11 +213,13 @@ SELECT *, row_number() OVER (PARTITION BY stream ORDER BY age_group, date_onset,
   WHERE date_onset >= date_estimates_start AND date_onset < date_case_linelist - {CFG.lag_days}
   UNION ALL SELECT 'hosp', age_group, date_onset, CASE WHEN "date_ICU_admit" IS NOT NULL THEN 1 ELSE 0 END FROM first_stays
   UNION ALL SELECT 'ed', age_group, date_onset, 0 FROM first_visits)"""
-CTES["boot_draws"] = f"""
-SELECT stream, bootstrap, least(CAST(floor({uniform("boot", "stream", "bootstrap", "i")} * n) AS BIGINT), n - 1) AS pos
-FROM (SELECT stream, n, bootstrap, unnest(range(1, n + 1)) AS i
+CTES["boot_runs"] = f"""
+SELECT *, {seeds("boot", "stream", "bootstrap")} FROM (SELECT stream, n, bootstrap, {chunks("n")}
   FROM (SELECT stream, count(*) AS n FROM stream_rows GROUP BY stream)
   CROSS JOIN (SELECT CAST(unnest(range(1, {CFG.n_bootstraps + 1})) AS INTEGER) AS bootstrap))"""
+CTES["boot_draws"] = f"""
+SELECT stream, bootstrap, least(CAST(floor({seeded_uniform("i")} * n) AS BIGINT), n - 1) AS pos
+FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM boot_runs)"""
 CTES["resamples"] = "SELECT stream, bootstrap, age_group, date_onset, is_icu FROM boot_draws JOIN stream_rows USING (stream, pos)"
 CTES["numerators"] = """
 SELECT bootstrap, age_group, date_onset, n_case, coalesce(n_hosp, 0) AS n_hosp, coalesce(n_icu, 0) AS n_icu, coalesce(n_ed, 0) AS n_ed
@@ -312,12 +344,14 @@ SELECT *, CAST(CASE WHEN (CASE grp WHEN 'ward' THEN x - floor(x) ELSE x END) >=
   THEN round_even(x + 0.5, 0) ELSE round_even(x - 0.5, 0) END AS BIGINT) AS n
 FROM (SELECT *, {_u} AS u FROM expected)"""
 _bands = ", ".join(f"'{a}'" for a in AGE_BANDS)
-_u = uniform("draw", "scenario_label", "grp", "bootstrap", "age_group", "date_onset", "patient")
+CTES["patient_chunks"] = f"""
+SELECT *, {seeds("draw", "scenario_label", "grp", "bootstrap", "age_group", "date_onset")} FROM (
+  SELECT scenario_label, grp, bootstrap, age_group, date_onset, total, n, {chunks("n")}
+  FROM realised JOIN pattern_sizes USING (grp, age_group) WHERE n > 0 AND age_group IN ({_bands}))"""
 CTES["patients"] = f"""
 SELECT scenario_label, grp, bootstrap, age_group, date_onset, days, mask
-FROM (SELECT *, least(CAST(floor({_u} * total) AS BIGINT), total - 1) AS pos FROM (
-    SELECT scenario_label, grp, bootstrap, age_group, date_onset, total, unnest(range(1, n + 1)) AS patient
-    FROM realised JOIN pattern_sizes USING (grp, age_group) WHERE n > 0 AND age_group IN ({_bands})))
+FROM (SELECT *, least(CAST(floor({seeded_uniform("i")} * total) AS BIGINT), total - 1) AS pos
+  FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM patient_chunks))
 JOIN numbered_patterns USING (grp, age_group, pos)"""
 CTES["occupied"] = """
 SELECT scenario_label, grp, bootstrap, age_group, date, count(*) AS n

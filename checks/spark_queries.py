@@ -276,14 +276,21 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(trajectory, "count")
 
 
+def _spans(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    estimates = _rates(spark, sf)
+    return estimates, rates.horizons(estimates, _trajectory(spark, sf))
+
+
 @query("extend_rates")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(rates.extend_rates(_rates(spark, sf), _trajectory(spark, sf), CFG), *rates.RATES)
+    estimates, spans = _spans(spark, sf)
+    return _rounded(rates.per_scenario(rates.extend_rates(estimates, spans, CFG), spans), *rates.RATES)
 
 
 @query("extend_ascertainment")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return rates.extend_ascertainment(v.ascertainment(spark, sf), _trajectory(spark, sf), _rates(spark, sf))
+    _, spans = _spans(spark, sf)
+    return rates.per_scenario(rates.extend_ascertainment(v.ascertainment(spark, sf), spans), spans)
 
 
 # --- forecast ---------------------------------------------------------------------------------

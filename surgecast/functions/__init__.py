@@ -1,4 +1,4 @@
-from surgecast.functions.hashing import hashed_uniform, key_text, uniform_from_key
+from surgecast.functions.hashing import hashed_uniform, key_text, sequence_seeds, sequence_uniform
 from surgecast.functions.scalars import (
     AGE_BANDS,
     INVALID_AGE,
@@ -19,7 +19,8 @@ __all__ = [
     "hashed_uniform",
     "key_text",
     "parse_dmy",
+    "sequence_seeds",
+    "sequence_uniform",
     "strict_greatest",
     "strict_least",
-    "uniform_from_key",
 ]

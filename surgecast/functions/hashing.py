@@ -17,11 +17,41 @@ def key_text(seed: int, purpose: str, *keys: Column) -> Column:
     return F.concat_ws("|", F.lit(str(seed)), F.lit(purpose), *[k.cast("string") for k in keys])
 
 
-def uniform_from_key(text: Column) -> Column:
-    """Uniform double strictly inside (0, 1)."""
-    bits = F.conv(F.substring(F.md5(text), 1, _HEX_DIGITS), 16, 10).cast("bigint")
+def hashed_uniform(seed: int, purpose: str, *keys: Column) -> Column:
+    """Uniform double strictly inside (0, 1), one hash per draw."""
+    digest = F.md5(key_text(seed, purpose, *keys))
+    bits = F.conv(F.substring(digest, 1, _HEX_DIGITS), 16, 10).cast("bigint")
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << (4 * _HEX_DIGITS)))
 
 
-def hashed_uniform(seed: int, purpose: str, *keys: Column) -> Column:
-    return uniform_from_key(key_text(seed, purpose, *keys))
+# Modulus of the seeded sequences: products of two residues stay below 2^62.
+_PRIME = (1 << 31) - 1
+
+
+def sequence_seeds(text: Column) -> dict[str, Column]:
+    """Coefficients of two cubic polynomials modulo a prime, hashed from a key.
+
+    Evaluated at 1, 2, 3, ... by :func:`sequence_uniform` they give a sequence of uniforms of which
+    any four are independent, at a few integer operations per draw instead of one hash.
+    """
+    seeds = {}
+    for half, salted in enumerate((text, F.concat(text, F.lit("|low")))):
+        digest = F.md5(salted)
+        for k in range(4):
+            bits = F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("bigint")
+            seeds[f"_c{4 * half + k}"] = bits % _PRIME
+    return seeds
+
+
+def sequence_uniform(number: str) -> Column:
+    """Uniform double in (0, 1] for the draw ``number`` (1, 2, ... below 2^31) of a seeded row."""
+
+    def polynomial(c0: int) -> str:
+        value = f"_c{c0 + 3}"
+        for k in (2, 1, 0):
+            value = f"({value} * {number} + _c{c0 + k}) % {_PRIME}L"
+        return value
+
+    return F.expr(
+        f"(double({polynomial(0)}) + (double({polynomial(4)}) + 0.5D) / {_PRIME}.0D) / {_PRIME}.0D"
+    )

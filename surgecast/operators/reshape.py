@@ -12,21 +12,25 @@ from surgecast.operators.staging import shuffle_width
 ROWS_PER_CHUNK = 10_000
 
 
-def expand_rows(df: DataFrame, n: Column, out: str, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Repeat each row ``n`` times, numbered 1..n in ``out``; none for ``n`` < 1 or NULL.
+def chunk_rows(df: DataFrame, n: Column, keys: Sequence[str]) -> DataFrame:
+    """Cut rows that stand for ``n`` units each into chunks ``_chunk`` = 0, 1, ... of ``_size`` units.
 
-    The counts may be very uneven (one cell can hold a third of everything), so rows are first cut
-    into chunks, the chunks are spread over all tasks, and only then multiplied out.
+    The counts may be very uneven (one row can hold a third of everything), so the chunks, not the
+    rows, are spread over all tasks, by (``keys``, chunk). None for ``n`` < 1 or NULL.
     """
-    spread = (
+    return (
         df.withColumn("_n", n.cast("bigint"))
         .where(F.col("_n") >= 1)
-        .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1L) div {rows_per_chunk}L)")))
-        .repartition(shuffle_width(df.sparkSession), *df.columns, "_chunk")
+        .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1L) div {ROWS_PER_CHUNK}L)")))
+        .withColumn("_size", F.expr(f"least(_n - _chunk * {ROWS_PER_CHUNK}L, {ROWS_PER_CHUNK}L)"))
+        .drop("_n")
+        .repartition(shuffle_width(df.sparkSession), *keys, "_chunk")
     )
-    first = f"_chunk * {rows_per_chunk}L + 1L"
-    last = f"least(_n, (_chunk + 1L) * {rows_per_chunk}L)"
-    return spread.withColumn(out, F.explode(F.expr(f"sequence({first}, {last})"))).drop("_n", "_chunk")
+
+
+def number_chunks(chunks: DataFrame, out: str) -> DataFrame:
+    """Multiply chunks out to one row per unit, numbered 1.._size within its chunk."""
+    return chunks.withColumn(out, F.explode(F.expr("sequence(1L, _size)"))).drop("_size")
 
 
 def expand_counts(df: DataFrame, count: str, *, corrected: bool = False) -> DataFrame:
@@ -39,7 +43,8 @@ def expand_counts(df: DataFrame, count: str, *, corrected: bool = False) -> Data
     n = F.when(c >= 1, c)
     if not corrected:
         n = n.otherwise(F.lit(2) - c)
-    return expand_rows(df, n, "_unit").drop("_unit", count)
+    keys = [c for c in df.columns if c != count]
+    return number_chunks(chunk_rows(df, n, keys), "_unit").select(*keys)
 
 
 def stay_days(df: DataFrame, start: Column, end: Column, out: str = "date") -> DataFrame:
@@ -54,48 +59,71 @@ def complete_daily(
     fill: Mapping[str, object] | None = None,
     *,
     within: Sequence[str] = (),
-    bounds: DataFrame | None = None,
+    start: Column | None = None,
+    end: Column | None = None,
 ) -> DataFrame:
     """Make every combination of the distinct ``keys`` values and every day explicit.
 
-    Days run from the first to the last in ``df`` (per ``within`` group), or over the
-    ``(within.., _start, _end)`` rows of ``bounds``. Rows outside the grid are kept. ``fill`` also
-    overwrites NULLs that were there before.
+    ``df`` has one row per (within, date, keys), as counts do. Days run from the first to the last
+    in ``df`` per ``within`` group, or from ``start`` to ``end``, which are expressions over the
+    ``within`` columns. Rows outside the grid are kept. ``fill`` also overwrites NULLs that were
+    there before.
 
     ``keys`` are dimension columns (age band, bootstrap): their distinct values are gathered per
     ``within`` group by a partially aggregated ``collect_set`` and multiplied out by ``explode``,
-    so there is no join that pairs rows. ``df`` is read twice: stage it if it is expensive.
+    so nothing pairs rows. The grid is merged by union and aggregation on one exchange by
+    (within, keys), the partitioning that series windows on the result need next. ``df`` is read
+    twice: stage it if it is expensive.
     """
-    within = list(within)
-    aggs = [F.collect_set(k).alias(k) for k in keys]
-    if bounds is None:
-        grid = df.groupBy(*within).agg(F.min(date).alias("_start"), F.max(date).alias("_end"), *aggs)
-    else:
-        grid = df.groupBy(*within).agg(*aggs).join(bounds, within)
-    grid = grid.where(F.col("_start") <= F.col("_end")).withColumn(
-        date, F.explode(F.expr("sequence(_start, _end, interval 1 day)"))
+    within, keys = list(within), list(keys)
+    first = F.min(date) if start is None else F.lit(None)
+    last = F.max(date) if end is None else F.lit(None)
+    dims = df.groupBy(*within).agg(
+        first.alias("_start"), last.alias("_end"), *[F.collect_set(k).alias(k) for k in keys]
+    )
+    days = F.sequence(
+        F.col("_start") if start is None else start,
+        F.col("_end") if end is None else end,
+        F.expr("interval 1 day"),
     )
+    ordered = (F.col("_start") if start is None else start) <= (F.col("_end") if end is None else end)
+    grid = dims.where(ordered).withColumn(date, F.explode(days))
     for k in keys:
         grid = grid.withColumn(k, F.explode(k))
-    grid = grid.drop("_start", "_end")
-    out = grid.join(df, [*within, date, *keys], "full")
+    cell = [*within, date, *keys]
+    values = [c for c in df.columns if c not in cell]
+    merged = df.unionByName(grid.select(cell), allowMissingColumns=True)
+    if within or keys:
+        merged = merged.repartition(shuffle_width(df.sparkSession), *within, *keys)
+    out = merged.groupBy(*cell).agg(*[F.max(v).alias(v) for v in values])
     if fill:
         out = out.fillna(dict(fill))
     return out.select(df.columns)
 
 
-def fill_daily_gaps(daily: DataFrame, date: str, values: Sequence[str], *, drop_last: bool = False) -> DataFrame:
-    """Insert zero rows for the missing days of a table with one row per day.
+def fill_daily_gaps(
+    daily: DataFrame,
+    date: str,
+    values: Sequence[str],
+    partition: Sequence[str] = (),
+    *,
+    fill: object = 0,
+    drop_last: bool = False,
+) -> DataFrame:
+    """Insert a row for each missing day between the rows of a daily series.
 
-    Works on the daily grain only (a few thousand rows), where one ordered window is cheap and
-    saves a second pass for the bounds.
+    ``daily`` has one row per (partition, day); inserted rows have ``fill`` in ``values``, and so do
+    NULLs that were there before. Without ``partition`` the table is one series of a few thousand
+    days at most, where a single ordered window is cheap and saves a second pass for the bounds.
     """
-    following = F.lead(date).over(Window.orderBy(date))
-    last = F.col("_next") if drop_last else F.coalesce(F.col("_next"), F.date_add(F.col(date), 1))
-    gaps = daily.withColumn("_next", following).withColumn("_until", F.date_sub(last, 1))
+    following = F.lead(date).over(Window.partitionBy(*partition).orderBy(date))
+    until = F.date_sub("_next", 1)
+    if not drop_last:
+        until = F.coalesce(until, F.col(date))
+    gaps = daily.withColumn("_next", following).withColumn("_until", until)
     gaps = gaps.where(F.col("_until").isNotNull()).withColumn(
-        "_day", F.explode(F.expr(f"sequence(`{date}`, _until, interval 1 day)"))
+        "_day", F.explode(F.sequence(F.col(date), F.col("_until"), F.expr("interval 1 day")))
     )
     own = F.col("_day") == F.col(date)
-    filled = {v: F.when(own, F.coalesce(F.col(v), F.lit(0))).otherwise(0) for v in values}
+    filled = {v: F.coalesce(F.when(own, F.col(v)), F.lit(fill)) for v in values}
     return gaps.withColumns(filled).withColumn(date, F.col("_day")).select(daily.columns)

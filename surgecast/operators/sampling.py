@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgecast.functions.hashing import key_text, uniform_from_key
-from surgecast.operators.reshape import expand_rows
+from surgecast.functions.hashing import key_text, sequence_seeds, sequence_uniform
+from surgecast.operators.reshape import chunk_rows, number_chunks
 
 INDEX_BUCKETS = 1024
 
@@ -66,8 +66,10 @@ def draw_cells(
     The index is bounded by its cell domain, not by the data, so it is always broadcast: units are
     never shuffled, however many fall into one group.
     """
+    # Coalesced only to be visibly non-null: otherwise the join adds a null filter that hashes again.
     position = F.least(F.floor(u * F.col("_total")).cast("bigint"), F.col("_total") - 1)
-    placed = units.withColumn("_at", position).withColumn("_part", F.expr(f"(_at * {buckets}L) div _total"))
+    part = F.expr(f"coalesce((_at * {buckets}L) div _total, 0L)")
+    placed = units.withColumn("_at", F.coalesce(position, F.lit(0).cast("bigint"))).withColumn("_part", part)
     ranges = index.drop("_total").withColumnsRenamed({c: f"_x_{c}" for c in [*group, "_part"]})
     same = [F.col(c) == F.col(f"_x_{c}") for c in [*group, "_part"]]
     inside = [F.col("_at") >= F.col("_lo"), F.col("_at") < F.col("_hi")]
@@ -76,6 +78,21 @@ def draw_cells(
     return joined.select(*units.columns, *payload)
 
 
+def draw_units(
+    cells: DataFrame, n: Column, keys: Sequence[str], index: DataFrame, group: Sequence[str], seed: int, purpose: str
+) -> DataFrame:
+    """One row per unit behind ``cells`` (which carry ``_total``), with a drawn cell of the index.
+
+    Units are known by (``keys``, ``_chunk``, ``_number``), and rows are partitioned by
+    (``keys``, ``_chunk``).
+    """
+    chunks = chunk_rows(cells, n, keys)
+    key = key_text(seed, purpose, *[F.col(k) for k in keys], F.col("_chunk"))
+    units = number_chunks(chunks.withColumns(sequence_seeds(key)), "_number")
+    drawn = draw_cells(units, index, group, sequence_uniform("_number"))
+    return drawn.drop("_total", *[f"_c{k}" for k in range(8)])
+
+
 def bootstrap_counts(
     cells: DataFrame,
     group: Sequence[str],
@@ -92,10 +109,8 @@ def bootstrap_counts(
     """
     replicate = F.explode(F.sequence(F.lit(1), F.lit(n_bootstraps)))
     runs = group_totals(cells, group, weight).withColumn("bootstrap", replicate)
-    keyed = runs.withColumn("_key", key_text(seed, "boot", *[F.col(g) for g in group], F.col("bootstrap")))
-    units = expand_rows(keyed, F.col("_total"), "_i")
-    u = uniform_from_key(F.concat_ws("|", "_key", F.col("_i").cast("string")))
-    drawn = draw_cells(units, weighted_index(cells, group, cell, weight), group, u)
+    index = weighted_index(cells, group, cell, weight)
+    drawn = draw_units(runs, F.col("_total"), [*group, "bootstrap"], index, group, seed, "boot")
     return drawn.groupBy(*group, "bootstrap", *cell).agg(F.count(F.lit(1)).alias(weight))
 
 

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgecast.config import ForecastDates, StudyConfig
-from surgecast.functions import AGE_BANDS, hashed_uniform, key_text, uniform_from_key
-from surgecast.operators.reshape import complete_daily, expand_rows
-from surgecast.operators.sampling import draw_cells, group_totals, randomised_round, weighted_index
+from surgecast.functions import AGE_BANDS, hashed_uniform
+from surgecast.operators.reshape import ROWS_PER_CHUNK, complete_daily
+from surgecast.operators.sampling import draw_units, group_totals, randomised_round, weighted_index
 from surgecast.operators.staging import stage
-from surgecast.plans.rates import extend_ascertainment, extend_rates
+from surgecast.plans.rates import SPAN, extend_ascertainment, extend_rates, horizons
 
 CELL = ["scenario_label", "group", "bootstrap", "age_group", "date_onset"]
 MATURITY_DAYS = 14  # only stays old enough to be complete serve as patterns
@@ -96,6 +96,7 @@ def mask_days(mask: Column, cap: int = 14) -> Column:
 
 def expected_patients(
     trajectory: DataFrame,
+    spans: DataFrame,
     rates_ahead: DataFrame,
     ascertainment_ahead: DataFrame,
     cfg: StudyConfig = StudyConfig(),
@@ -106,8 +107,8 @@ def expected_patients(
     their random rounding. Expected values are kept to nine decimals so that the last bits of a
     floating-point sum, which vary with the order rows arrive in, cannot flip a rounding.
     """
-    cases = trajectory.join(ascertainment_ahead, ["scenario_label", "date_onset"])
-    base = cases.join(rates_ahead, ["scenario_label", "date_onset"])
+    cases = trajectory.join(F.broadcast(spans), "scenario_label")  # one row per scenario
+    base = cases.join(ascertainment_ahead, [*SPAN, "date_onset"]).join(rates_ahead, [*SPAN, "date_onset"])
     seen = F.col("count") * F.col("pr_age_given_case")
     hosp = seen * F.col("pr_hosp")
     expected = {
@@ -132,16 +133,13 @@ def drawn_patients(expected: DataFrame, patterns: DataFrame, cfg: StudyConfig =
     """One row per patient with a pattern drawn from the patient's group and age.
 
     Groups and ages outside the model's bands, or without any pattern, get no patients (see
-    :func:`rejected_cells`).
+    :func:`rejected_cells`). Rows are partitioned by (cell, ``_chunk``).
     """
     strata = ["group", "age_group"]
     cells = expected.where(F.col("age_group").isin(AGE_BANDS)).select(*CELL, "n")
     cells = cells.join(F.broadcast(group_totals(patterns, strata, "n")), strata)  # groups x ages
-    keyed = cells.withColumn("_key", key_text(cfg.seed, "draw", *[F.col(c) for c in CELL]))
-    patients = expand_rows(keyed, F.col("n"), "patient")
-    u = uniform_from_key(F.concat_ws("|", "_key", F.col("patient").cast("string")))
-    drawn = draw_cells(patients, weighted_index(patterns, strata, ["mask"], "n"), strata, u)
-    return drawn.select(*CELL, "patient", "mask")
+    index = weighted_index(patterns, strata, ["mask"], "n")
+    return draw_units(cells.select(*CELL, "_total", "n"), F.col("n"), CELL, index, strata, cfg.seed, "draw").drop("n")
 
 
 def rejected_cells(expected: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -156,19 +154,44 @@ def rejected_cells(expected: DataFrame, patterns: DataFrame) -> DataFrame:
     return joined.withColumn("reason", reason).where("reason is not null").drop("_known")
 
 
-def daily_samples(drawn: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
-    """(scenario_label, group, bootstrap, age_group, date, occupied, admitted).
+# Per-day counts of a chunk are summed as bit fields, several to an integer: a chunk has fewer
+# units than a field can count.
+_FIELD_BITS = 15
+_FIELDS = 4
+assert ROWS_PER_CHUNK < 1 << _FIELD_BITS
 
-    Patients of one onset cell are summed per day offset before any day is written out, so what is
-    shuffled is one row per cell, not one per patient-day.
+
+def _packed(mask: str, cap: int) -> list[Column]:
+    """The bits of a mask moved to bit fields, ``_FIELDS`` days to an integer."""
+    days = list(range(cap + 1))
+    groups = [days[i : i + _FIELDS] for i in range(0, len(days), _FIELDS)]
+    terms = "shiftleft(bigint(shiftright({m}, {d}) & 1), {s})"
+    return [
+        F.expr(" + ".join(terms.format(m=mask, d=d, s=_FIELD_BITS * k) for k, d in enumerate(part))) for part in groups
+    ]
+
+
+def _unpacked(prefix: str, day: int) -> Column:
+    return F.expr(f"shiftright({prefix}{day // _FIELDS}, {_FIELD_BITS * (day % _FIELDS)}) & {(1 << _FIELD_BITS) - 1}L")
+
+
+def daily_samples(expected: DataFrame, patterns: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+    """(scenario_label, group, bootstrap, age_group, date, occupied, admitted) of drawn patients.
+
+    A patient's admission is the first counted day. Patients of one chunk of a cell are summed per
+    day offset before any day is written out. Chunks are already partitioned by their key, so the
+    patients themselves are never shuffled, only daily sums are.
     """
-    offsets = range(cfg.stay_cap_days + 1)
-    first = F.expr("mask & -mask")
-    occupied = [F.sum(F.expr(f"shiftright(mask, {d}) & 1")).alias(f"o{d}") for d in offsets]
-    admitted = [F.count(F.when(first == (1 << d), 1)).alias(f"a{d}") for d in offsets]
-    cells = drawn.groupBy(*CELL).agg(*occupied, *admitted)
+    cap = cfg.stay_cap_days
+    packs = {f"o{k}": c for k, c in enumerate(_packed("mask", cap))}
+    packs |= {f"a{k}": c for k, c in enumerate(_packed("(mask & -mask)", cap))}
+    drawn = drawn_patients(expected, patterns.withColumns(packs), cfg)
+    cells = drawn.groupBy(*CELL, "_chunk").agg(*[F.sum(c).alias(c) for c in packs])
     per_day = F.array(
-        *[F.struct(F.lit(d).alias("d"), F.col(f"o{d}").alias("o"), F.col(f"a{d}").alias("a")) for d in offsets]
+        *[
+            F.struct(F.lit(d).alias("d"), _unpacked("o", d).alias("o"), _unpacked("a", d).alias("a"))
+            for d in range(cap + 1)
+        ]
     )
     days = cells.select(*CELL, F.explode(per_day).alias("x")).where("x.o > 0")
     return (
@@ -267,8 +290,9 @@ def expected_table(
     trajectory: DataFrame, rates: DataFrame, ascertainment: DataFrame, cfg: StudyConfig = StudyConfig()
 ) -> DataFrame:
     """Expected and realised patients from staged trajectory and rates."""
-    ahead = extend_rates(rates, trajectory, cfg)
-    return expected_patients(trajectory, ahead, extend_ascertainment(ascertainment, trajectory, rates), cfg)
+    spans = horizons(rates, trajectory)
+    ahead = extend_rates(rates, spans, cfg)
+    return expected_patients(trajectory, spans, ahead, extend_ascertainment(ascertainment, spans), cfg)
 
 
 def sample_patients(
@@ -283,5 +307,5 @@ def sample_patients(
     """Run the simulation up to its daily sums. ``trajectory`` and ``rates`` must be staged."""
     expected = expected_table(trajectory, rates, ascertainment, cfg)
     patterns = stage(stay_patterns(stays, dates, cfg).unionByName(ed_offsets(presentations, dates, cfg)))
-    samples = stage(daily_samples(drawn_patients(expected, patterns, cfg), cfg))
+    samples = stage(daily_samples(expected, patterns, cfg))
     return ForecastTables(trajectory, expected, patterns, samples)

@@ -12,12 +12,13 @@ from surgecast.operators.quantiles import median_band
 from surgecast.operators.reshape import complete_daily
 from surgecast.operators.sampling import bootstrap_counts, multinomial_counts
 from surgecast.operators.series import fill_downup, first_per_group, interpolate, rolling_extend
-from surgecast.operators.staging import stage
+from surgecast.operators.staging import shuffle_width, stage
 from surgecast.sources.linelists import stay_order
 
 RATES = ["pr_hosp", "pr_ICU", "pr_ED", "pr_age_given_case"]
 CELL = ["age_group", "date_onset", "is_icu"]
 MEMBER = ["bootstrap", "age_group"]
+SPAN = ["first", "last", "end"]
 
 
 def _in_window(start: dt.date, data_date: dt.date, cfg: StudyConfig) -> Column:
@@ -113,59 +114,63 @@ def time_varying_estimates(
     return smooth_rates(stage(rate_numerators(resample_cells(cells, cfg, method))), dates, cfg)
 
 
-def extend_rates(rates: DataFrame, trajectory: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
-    """Rates for every trajectory day of every scenario.
+def horizons(rates: DataFrame, trajectory: DataFrame) -> DataFrame:
+    """(scenario_label, first, last, end): the span each scenario has rates for, and its last day.
 
-    The last observed rates are held for two weeks and then move linearly to those of the anchor
-    day. The trajectory has a row for each day, so an equi-join on the day both cuts the rates to
-    the trajectory's range and multiplies them out by scenario. Interpolation counts rows: an
-    anchor beyond the horizon sits one row after it (``corrected`` counts days). ``rates`` is read
-    several times: pass a staged table.
+    One row per scenario. Scenarios usually share a span, so extensions are computed per span and
+    scenarios looked up at the end. ``rates`` has a row for each day between its first and last.
     """
-    days = trajectory.select("scenario_label", "date_onset")
-    subset = rates.join(days, "date_onset")
-    ends = days.groupBy("scenario_label").agg(F.max("date_onset").alias("_end"))
-    span = subset.groupBy("scenario_label").agg(
-        F.min("date_onset").alias("_start"), F.max("date_onset").alias("_last")
+    reach = trajectory.groupBy("scenario_label").agg(F.min("date_onset").alias("_from"), F.max("date_onset").alias("end"))
+    known_from, known_to = (rates.agg(f("date_onset")).scalar() for f in (F.min, F.max))
+    spans = reach.select(
+        "scenario_label",
+        F.greatest(F.col("_from"), known_from).alias("first"),
+        F.least(F.col("end"), known_to).alias("last"),
+        "end",
     )
-    bounds = span.join(ends, "scenario_label")  # one row per scenario
+    return spans.where(F.col("first") <= F.col("last"))
+
+
+def extend_rates(rates: DataFrame, spans: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+    """(first, last, end, bootstrap, age_group, date_onset) with the rates up to ``end``.
 
+    The last observed rates are held for two weeks and then move linearly to those of the anchor
+    day. Interpolation counts rows: an anchor beyond the horizon sits one row after it
+    (``corrected`` counts days). ``rates`` is read several times: pass a staged table.
+    """
+    distinct = spans.agg(F.collect_set(F.struct(*SPAN))).scalar()  # at most one per scenario
     day = F.col("date_onset")
+    subset = rates.withColumn("_span", F.explode(distinct)).select("*", "_span.*").where(day.between(F.col("first"), F.col("last")))
     places = F.array_compact(
         F.array(
             day,
-            F.when(day == F.col("_last"), F.date_add(day, cfg.hold_days)),
-            F.when(day == F.lit(cfg.anchor_date), F.date_add("_last", cfg.anchor_days)),
+            F.when(day == F.col("last"), F.date_add(day, cfg.hold_days)),
+            F.when(day == F.lit(cfg.anchor_date), F.date_add("last", cfg.anchor_days)),
         )
     )
-    placed = subset.join(F.broadcast(span), "scenario_label").withColumn("date_onset", F.explode(places))
-    placed = placed.select("scenario_label", *MEMBER, "date_onset", *RATES)
-    full = complete_daily(
-        placed, "date_onset", MEMBER, within=["scenario_label"], bounds=bounds.drop("_last")
-    )
-    filled = interpolate(
-        full, RATES, ["scenario_label", *MEMBER], "date_onset", by_date=cfg.corrected, extend_ends=True
-    )
-    same_day = Window.partitionBy("scenario_label", "bootstrap", "date_onset")
+    placed = subset.withColumn("date_onset", F.explode(places)).select(*SPAN, *MEMBER, "date_onset", *RATES)
+    full = complete_daily(placed, "date_onset", MEMBER, within=SPAN, start=F.col("first"), end=F.col("end"))
+    filled = interpolate(full, RATES, [*SPAN, *MEMBER], "date_onset", by_date=cfg.corrected, extend_ends=True)
+    day_key = [*SPAN, "bootstrap", "date_onset"]
+    filled = filled.repartition(shuffle_width(filled.sparkSession), *day_key)
+    same_day = Window.partitionBy(*day_key)
     total = F.sum("pr_age_given_case").over(same_day)
     if not cfg.corrected:
         total = F.when(F.count("pr_age_given_case").over(same_day) == F.count(F.lit(1)).over(same_day), total)
     return filled.withColumn("pr_age_given_case", F.try_divide(F.col("pr_age_given_case"), total))
 
 
-def extend_ascertainment(
-    ascertainment: DataFrame, trajectory: DataFrame, rates: DataFrame
-) -> DataFrame:
-    """Ascertainment for each trajectory day that rates can cover, gaps filled from the last known."""
-    first = rates.join(trajectory.select("scenario_label", "date_onset"), "date_onset")
-    first = first.groupBy("scenario_label").agg(F.min("date_onset").alias("_start"))
-    grid = (
-        trajectory.join(F.broadcast(first), "scenario_label")  # one row per scenario
-        .where(F.col("date_onset") >= F.col("_start"))
-        .select("scenario_label", "date_onset")
-    )
+def extend_ascertainment(ascertainment: DataFrame, spans: DataFrame) -> DataFrame:
+    """(first, last, end, date_onset, asc) for each day of a span up to its ``end``, gaps filled."""
+    days = F.explode(F.sequence(F.col("first"), F.col("end"), F.expr("interval 1 day")))
+    grid = spans.select(*SPAN).distinct().withColumn("date_onset", days)
     known = grid.join(ascertainment.select("date_onset", "asc"), "date_onset", "left")
-    return fill_downup(known, ["asc"], ["scenario_label"], "date_onset").select("scenario_label", "date_onset", "asc")
+    return fill_downup(known, ["asc"], SPAN, "date_onset").select(*SPAN, "date_onset", "asc")
+
+
+def per_scenario(extended: DataFrame, spans: DataFrame) -> DataFrame:
+    """Repeat span-keyed rows under each scenario of the span."""
+    return extended.join(F.broadcast(spans), SPAN).drop(*SPAN)  # spans: one row per scenario
 
 
 def summarise_rate(

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surgecast.config import ForecastDates, StudyConfig
-from surgecast.operators.reshape import complete_daily
+from surgecast.operators.reshape import fill_daily_gaps
 from surgecast.operators.series import interpolate, rolling_extend
-from surgecast.operators.staging import stage
 
 
 def backcast(
@@ -21,21 +20,22 @@ def backcast(
     Days from the start of the estimation window are padded with 0; earlier days are kept as they
     are. The result starts with the first ascertainment date, and its last two days are NULL.
     """
-    last = dates.case_linelist - dt.timedelta(cfg.lag_days)
-    daily = cases.where(F.col("date_onset") < F.lit(last)).groupBy("date_onset")
-    counts = daily.agg(F.count(F.lit(1)).alias("count"))
-    grid = cases.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(dates.estimates_start), F.lit(last))).alias("date_onset")
+    last = _last_day(dates, cfg)
+    observed = cases.where(F.col("date_onset") < F.lit(last)).select("date_onset", F.lit(1).alias("seen"))
+    padding = cases.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(dates.estimates_start), F.lit(last))).alias("date_onset"), F.lit(0).alias("seen")
     )
-    padded = grid.join(counts, "date_onset", "full").fillna(0, ["count"])
     # one row per day from here on
-    smooth = rolling_extend(padded, {"smooth": "count"}, cfg.case_window, "mean", [], "date_onset")
+    daily = observed.unionByName(padding).groupBy("date_onset").agg(F.sum("seen").alias("count"))
+    smooth = rolling_extend(daily, {"smooth": "count"}, cfg.case_window, "mean", [], "date_onset")
     first = ascertainment.agg(F.min("date_onset")).scalar()
     adjusted = smooth.where(F.col("date_onset") >= first).join(ascertainment, "date_onset", "left")
-    return adjusted.select(
-        "date_onset",
-        F.when(F.col("date_onset") <= F.lit(last - dt.timedelta(2)), F.try_divide("smooth", "asc")).alias("count"),
-    )
+    settled = F.col("date_onset") <= F.lit(last - dt.timedelta(2))
+    return adjusted.select("date_onset", F.when(settled, F.try_divide("smooth", "asc")).alias("count"))
+
+
+def _last_day(dates: ForecastDates, cfg: StudyConfig) -> dt.date:
+    return dates.case_linelist - dt.timedelta(cfg.lag_days)
 
 
 def make_case_trajectory(
@@ -50,12 +50,14 @@ def make_case_trajectory(
     The forecast takes over after the backcast's last day. Counts are rounded half-to-even and gaps
     interpolated on the line between their neighbours.
     """
-    back = stage(backcast(cases, ascertainment, dates, cfg))
     # the backcast is daily-grain; it is repeated under each scenario of the forecast
     labels = forecast.agg(F.collect_set("scenario_label")).scalar()
-    history = back.withColumn("scenario_label", F.explode(labels))
-    ahead = forecast.where(F.col("date_onset") > back.agg(F.max("date_onset")).scalar())
+    history = backcast(cases, ascertainment, dates, cfg).withColumn("scenario_label", F.explode(labels))
+    # the backcast reaches the last day, unless ascertainment only starts after it
+    last = F.lit(_last_day(dates, cfg))
+    no_history = ascertainment.agg(F.min("date_onset")).scalar() > last
+    ahead = forecast.where((F.col("date_onset") > last) | no_history)
     columns = ["scenario_label", "date_onset", "count"]
     joined = ahead.select(columns).unionByName(history.select(columns)).withColumn("count", F.rint("count"))
-    full = complete_daily(joined, "date_onset", [], within=["scenario_label"])
+    full = fill_daily_gaps(joined, "date_onset", ["count"], ["scenario_label"], fill=None)
     return interpolate(full, ["count"], ["scenario_label"], "date_onset")
