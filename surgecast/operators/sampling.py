@@ -27,61 +27,53 @@ def randomised_round(x: Column, u: Column, *, by_fraction: bool, corrected: bool
     return F.rint(F.when(up, x + 0.5).when(x.isNotNull(), x - 0.5)).cast("bigint")
 
 
+def strata(cells: DataFrame, group: Sequence[str], weight: str) -> DataFrame:
+    """(group.., _total, _stratum): the weight of each group and a number for it, one row per group."""
+    totals = cells.where(F.col(weight) > 0).groupBy(*group).agg(F.sum(weight).alias("_total"))
+    return totals.withColumn("_stratum", F.row_number().over(Window.orderBy(*group)).cast("bigint"))
+
+
 def weighted_index(
     cells: DataFrame, group: Sequence[str], order: Sequence[str], weight: str, *, buckets: int = INDEX_BUCKETS
 ) -> DataFrame:
     """Lookup table for drawing cells in proportion to integer weights, by equi-join.
 
     Each cell owns the positions ``[_lo, _hi)`` of its group's 0.._total-1, in ``order``. The
-    positions are cut into ``buckets`` equal parts, and a cell is listed under each part it touches,
-    so a draw joins on (group, part) and keeps the one cell whose range holds its position. The
-    table has at most cells + buckets rows per group. ``cells`` must be a small domain
-    (distinct patterns, age-by-day cells), never line-list rows.
+    positions are cut into ``buckets`` equal parts, and a cell is listed under the ``_slot`` of each
+    part it touches, so a draw joins on one integer and keeps the one cell whose range holds its
+    position. The table has at most cells + buckets rows per group. ``cells`` must be a small
+    domain (distinct patterns, age-by-day cells), never line-list rows.
     """
-    ordered = Window.partitionBy(*group).orderBy(*order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranged = (
         cells.where(F.col(weight) > 0)
-        .withColumns(
-            {
-                "_hi": F.sum(weight).over(upto),
-                "_total": F.sum(weight).over(Window.partitionBy(*group)),
-            }
-        )
+        .withColumn("_hi", F.sum(weight).over(upto))
         .withColumn("_lo", F.col("_hi") - F.col(weight))
+        .join(F.broadcast(strata(cells, group, weight)), list(group))  # one row per group
     )
     parts = F.expr(f"sequence((_lo * {buckets}L) div _total, ((_hi - 1L) * {buckets}L) div _total)")
-    return ranged.withColumn("_part", F.explode(parts)).drop(weight)
-
-
-def group_totals(cells: DataFrame, group: Sequence[str], weight: str) -> DataFrame:
-    return cells.groupBy(*group).agg(F.sum(weight).alias("_total"))
+    slot = F.col("_stratum") * buckets + F.col("_part")
+    listed = ranged.withColumn("_part", F.explode(parts)).withColumn("_slot", slot)
+    return listed.drop(*group, weight, "_part", "_total", "_stratum")
 
 
-def draw_cells(
-    units: DataFrame, index: DataFrame, group: Sequence[str], u: Column, *, buckets: int = INDEX_BUCKETS
-) -> DataFrame:
-    """Give every unit (with its group's ``_total``) one cell drawn in proportion to the weights.
+def draw_cells(units: DataFrame, index: DataFrame, u: Column, *, buckets: int = INDEX_BUCKETS) -> DataFrame:
+    """Give every unit (with its group's ``_total`` and ``_stratum``) one cell, by the weights.
 
     The index is bounded by its cell domain, not by the data, so it is always broadcast: units are
     never shuffled, however many fall into one group.
     """
-    # Coalesced only to be visibly non-null: otherwise the join adds a null filter that hashes again.
+    # Coalesced only to be visibly non-null: otherwise the join adds a null filter that draws again.
     position = F.least(F.floor(u * F.col("_total")).cast("bigint"), F.col("_total") - 1)
-    part = F.expr(f"coalesce((_at * {buckets}L) div _total, 0L)")
-    placed = units.withColumn("_at", F.coalesce(position, F.lit(0).cast("bigint"))).withColumn("_part", part)
-    ranges = index.drop("_total").withColumnsRenamed({c: f"_x_{c}" for c in [*group, "_part"]})
-    same = [F.col(c) == F.col(f"_x_{c}") for c in [*group, "_part"]]
-    inside = [F.col("_at") >= F.col("_lo"), F.col("_at") < F.col("_hi")]
-    joined = placed.join(F.broadcast(ranges), [*same, *inside])
-    payload = [c for c in index.columns if c not in {*group, "_lo", "_hi", "_total", "_part"}]
-    return joined.select(*units.columns, *payload)
-
-
-def draw_units(
-    cells: DataFrame, n: Column, keys: Sequence[str], index: DataFrame, group: Sequence[str], seed: int, purpose: str
-) -> DataFrame:
-    """One row per unit behind ``cells`` (which carry ``_total``), with a drawn cell of the index.
+    slot = F.expr(f"coalesce(_stratum * {buckets}L + (_at * {buckets}L) div _total, 0L)")
+    placed = units.withColumn("_at", F.coalesce(position, F.lit(0).cast("bigint"))).withColumn("_unit_slot", slot)
+    inside = [F.col("_unit_slot") == F.col("_slot"), F.col("_at") >= F.col("_lo"), F.col("_at") < F.col("_hi")]
+    joined = placed.join(F.broadcast(index), inside)
+    return joined.drop("_at", "_unit_slot", "_slot", "_lo", "_hi", "_total", "_stratum")
+
+
+def draw_units(cells: DataFrame, n: Column, keys: Sequence[str], index: DataFrame, seed: int, purpose: str) -> DataFrame:
+    """One row per unit behind ``cells`` (with ``_total`` and ``_stratum``), with a drawn index cell.
 
     Units are known by (``keys``, ``_chunk``, ``_number``), and rows are partitioned by
     (``keys``, ``_chunk``).
@@ -89,8 +81,7 @@ def draw_units(
     chunks = chunk_rows(cells, n, keys)
     key = key_text(seed, purpose, *[F.col(k) for k in keys], F.col("_chunk"))
     units = number_chunks(chunks.withColumns(sequence_seeds(key)), "_number")
-    drawn = draw_cells(units, index, group, sequence_uniform("_number"))
-    return drawn.drop("_total", *[f"_c{k}" for k in range(8)])
+    return draw_cells(units, index, sequence_uniform("_number")).drop(*[f"_c{k}" for k in range(8)])
 
 
 def bootstrap_counts(
@@ -108,9 +99,9 @@ def bootstrap_counts(
     counts are shuffled. Zero counts have no row.
     """
     replicate = F.explode(F.sequence(F.lit(1), F.lit(n_bootstraps)))
-    runs = group_totals(cells, group, weight).withColumn("bootstrap", replicate)
+    runs = strata(cells, group, weight).withColumn("bootstrap", replicate)
     index = weighted_index(cells, group, cell, weight)
-    drawn = draw_units(runs, F.col("_total"), [*group, "bootstrap"], index, group, seed, "boot")
+    drawn = draw_units(runs, F.col("_total"), [*group, "bootstrap"], index, seed, "boot")
     return drawn.groupBy(*group, "bootstrap", *cell).agg(F.count(F.lit(1)).alias(weight))
 
 

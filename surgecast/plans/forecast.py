@@ -5,17 +5,18 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgecast.config import ForecastDates, StudyConfig
 from surgecast.functions import AGE_BANDS, hashed_uniform
 from surgecast.operators.reshape import ROWS_PER_CHUNK, complete_daily
-from surgecast.operators.sampling import draw_units, group_totals, randomised_round, weighted_index
+from surgecast.operators.sampling import draw_units, randomised_round, strata, weighted_index
 from surgecast.operators.staging import stage
 from surgecast.plans.rates import SPAN, extend_ascertainment, extend_rates, horizons
 
 CELL = ["scenario_label", "group", "bootstrap", "age_group", "date_onset"]
+STRATUM = ["group", "age_group"]
 MATURITY_DAYS = 14  # only stays old enough to be complete serve as patterns
 
 
@@ -80,12 +81,11 @@ def ed_offsets(presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig
 
 def pattern_weights(patterns: DataFrame) -> DataFrame:
     """Adds ``p``, the share of the whole group table, and ``p_age``, the share within the age."""
-    everyone = group_totals(patterns, ["group"], "n").withColumnRenamed("_total", "_all")
-    ages = group_totals(patterns, ["group", "age_group"], "n")
-    joined = patterns.join(everyone, "group").join(ages, ["group", "age_group"])
-    return joined.select(
-        *patterns.columns, (F.col("n") / F.col("_all")).alias("p"), (F.col("n") / F.col("_total")).alias("p_age")
-    )
+
+    def share(*by: str) -> Column:
+        return F.col("n") / F.sum("n").over(Window.partitionBy(*by))
+
+    return patterns.select("*", share("group").alias("p"), share(*STRATUM).alias("p_age"))
 
 
 def mask_days(mask: Column, cap: int = 14) -> Column:
@@ -108,7 +108,8 @@ def expected_patients(
     floating-point sum, which vary with the order rows arrive in, cannot flip a rounding.
     """
     cases = trajectory.join(F.broadcast(spans), "scenario_label")  # one row per scenario
-    base = cases.join(ascertainment_ahead, [*SPAN, "date_onset"]).join(rates_ahead, [*SPAN, "date_onset"])
+    cases = cases.join(ascertainment_ahead, [*SPAN, "date_onset"])
+    base = rates_ahead.join(F.broadcast(cases), [*SPAN, "date_onset"])  # scenarios x days
     seen = F.col("count") * F.col("pr_age_given_case")
     hosp = seen * F.col("pr_hosp")
     expected = {
@@ -135,22 +136,21 @@ def drawn_patients(expected: DataFrame, patterns: DataFrame, cfg: StudyConfig =
     Groups and ages outside the model's bands, or without any pattern, get no patients (see
     :func:`rejected_cells`). Rows are partitioned by (cell, ``_chunk``).
     """
-    strata = ["group", "age_group"]
-    cells = expected.where(F.col("age_group").isin(AGE_BANDS)).select(*CELL, "n")
-    cells = cells.join(F.broadcast(group_totals(patterns, strata, "n")), strata)  # groups x ages
-    index = weighted_index(patterns, strata, ["mask"], "n")
-    return draw_units(cells.select(*CELL, "_total", "n"), F.col("n"), CELL, index, strata, cfg.seed, "draw").drop("n")
+    cells = expected.where(F.col("age_group").isin(AGE_BANDS)).select(*CELL, F.col("n").alias("_patients"))
+    cells = cells.join(F.broadcast(strata(patterns, STRATUM, "n")), STRATUM)  # one row per group and age
+    index = weighted_index(patterns, STRATUM, ["mask"], "n")
+    return draw_units(cells, F.col("_patients"), CELL, index, cfg.seed, "draw").drop("_patients")
 
 
 def rejected_cells(expected: DataFrame, patterns: DataFrame) -> DataFrame:
     """Cells the forecast cannot use: no expected value, or patients without a pattern to draw."""
-    strata = patterns.select("group", "age_group").distinct().withColumn("_known", F.lit(True))
+    known = patterns.select(STRATUM).distinct().withColumn("_known", F.lit(True))  # groups x ages
     reason = (
         F.when(F.col("expected").isNull(), "no expected count")
         .when(~F.col("age_group").isin(AGE_BANDS), "age outside the model")
         .when((F.col("n") > 0) & F.col("_known").isNull(), "no pattern for age group")
     )
-    joined = expected.join(F.broadcast(strata), ["group", "age_group"], "left")
+    joined = expected.join(F.broadcast(known), STRATUM, "left")
     return joined.withColumn("reason", reason).where("reason is not null").drop("_known")
 
 
