@@ -37,7 +37,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _dates(spark: SparkSession, sf: str):
-    return study.dates_of(v.inputs(spark, sf), CFG)
+    return linelists.resolve_forecast_dates(v.cases(spark, sf), v.EV_HOSPITAL_PATH, v.EV_FORECAST_DATE, CFG)
 
 
 # --- sources and cleaning ---------------------------------------------------------------------
@@ -382,4 +382,4 @@ for _value, _name in (("count", "occupancy"), ("admissions", "admissions")):
 
         @query(f"fan_{_name}{_suffix}")
         def _(spark: SparkSession, sf: str, value: str = _value, by: list[str] = _by) -> DataFrame:
-            return _rounded(summaries.fan_table(_outputs(spark, sf), value, by, CFG), "lower", "upper")
+            return _rounded(summaries.fan_table(stage(_outputs(spark, sf)), value, by, CFG), "lower", "upper")

@@ -42,8 +42,8 @@ class StudyConfig:
     def __post_init__(self) -> None:
         if self.semantics not in ("reference", "corrected"):
             raise ValueError(f"unknown semantics {self.semantics!r}")
-        if not 0 < self.stay_cap_days < 30:
-            raise ValueError("stay_cap_days must fit an int bit mask")
+        if not 0 < self.stay_cap_days <= 15:
+            raise ValueError("stay_cap_days must fit a 16-bit mask")
 
     @property
     def corrected(self) -> bool:

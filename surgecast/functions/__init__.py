@@ -4,10 +4,9 @@ from surgecast.functions.scalars import (
     INVALID_AGE,
     age_band,
     band_from_interval_label,
+    counted_days,
     date_from_file_name,
     parse_dmy,
-    strict_greatest,
-    strict_least,
 )
 
 __all__ = [
@@ -15,12 +14,11 @@ __all__ = [
     "INVALID_AGE",
     "age_band",
     "band_from_interval_label",
+    "counted_days",
     "date_from_file_name",
     "hashed_uniform",
     "key_text",
     "parse_dmy",
     "sequence_seeds",
     "sequence_uniform",
-    "strict_greatest",
-    "strict_least",
 ]

@@ -52,11 +52,12 @@ def date_from_file_name(path: Column) -> Column:
     return F.try_to_date(stamp, "yyyy_MM_dd")
 
 
-def strict_greatest(a: Column, b: Column) -> Column:
-    """Larger of two values, NULL if either is NULL (Spark's ``greatest`` skips NULLs)."""
-    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(a, b))
-
-
-def strict_least(a: Column, b: Column) -> Column:
-    """Smaller of two values, NULL if either is NULL."""
-    return F.when(a.isNotNull() & b.isNotNull(), F.least(a, b))
+def counted_days(first: str, last: str, onset: str, cap: int) -> Column:
+    """Days 0..cap after onset that lie in the interval, as the bits of an integer; 0 for none.
+
+    Both ends must be known. The two powers of two keep the expression, and so the compiled code of
+    the scans it is part of, small.
+    """
+    low = f"least(greatest(datediff({first}, {onset}), 0), {cap + 1})"
+    high = f"least(datediff({last}, {onset}), {cap}) + 1"
+    return F.expr(f"shiftleft(1, greatest({low}, {high})) - shiftleft(1, {low})")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgecast.config import ForecastDates, StudyConfig
-from surgecast.functions import AGE_BANDS, hashed_uniform
+from surgecast.functions import AGE_BANDS, counted_days, hashed_uniform
 from surgecast.operators.reshape import ROWS_PER_CHUNK, complete_daily
 from surgecast.operators.sampling import draw_units, randomised_round, strata, weighted_index
 from surgecast.operators.staging import stage
@@ -24,13 +24,6 @@ def _mature(column: str, dates: ForecastDates) -> Column:
     return F.col(column) < F.lit(dates.hospital_linelist - dt.timedelta(MATURITY_DAYS))
 
 
-def _offset_bits(first: str, last: str, cap: int) -> Column:
-    """Days of an interval after onset as bits 0..cap; days outside are not counted."""
-    low = f"greatest(datediff({first}, date_onset), 0)"
-    high = f"least(datediff({last}, date_onset), {cap})"
-    return F.expr(f"case when {high} >= {low} then shiftleft(1, {high} + 1) - shiftleft(1, {low}) else 0 end")
-
-
 def stay_patterns(stays: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(group, age_group, mask, n): how many persons show each pattern of days after onset.
 
@@ -39,14 +32,14 @@ def stay_patterns(stays: DataFrame, dates: ForecastDates, cfg: StudyConfig = Stu
     bounded: at most 2^15 masks per group and age, whatever the size of the line list.
     """
     cap = cfg.stay_cap_days
-    has_icu = F.col("date_ICU_admit").isNotNull()
+    icu = counted_days("date_ICU_admit", "date_ICU_discharge", "date_onset", cap)
     persons = (
         stays.where(_mature("date_admit", dates))
         .select(
             "person_id",
             "age_group",
-            _offset_bits("date_admit", "date_discharge", cap).alias("ward"),
-            F.when(has_icu, _offset_bits("date_ICU_admit", "date_ICU_discharge", cap)).alias("ICU"),
+            counted_days("date_admit", "date_discharge", "date_onset", cap).alias("ward"),
+            F.when(F.col("date_ICU_admit").isNotNull(), icu).alias("ICU"),
         )
         .groupBy("age_group", "person_id")
         .agg(F.bit_or("ward").alias("ward"), F.bit_or("ICU").alias("ICU"))

@@ -6,67 +6,91 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgecast.config import StudyConfig
-from surgecast.functions import AGE_BANDS, INVALID_AGE, strict_greatest, strict_least
+from surgecast.functions import AGE_BANDS, INVALID_AGE, counted_days
 from surgecast.operators.reshape import fill_daily_gaps
 
 _BLOCK = 32  # days per bit mask; a capped stay touches at most two blocks
 _AGE_LABELS = [*AGE_BANDS, INVALID_AGE]  # in text order, which is also age order
 
 
-def _intervals(stays: DataFrame, cfg: StudyConfig) -> DataFrame:
-    """Counted hospital and ICU intervals of each stay as day numbers; NULL where there is none."""
-    onset = F.col("date_onset")
-    limit = F.date_add(onset, cfg.stay_cap_days)
-
-    def span(name: str, start: str, end: str) -> list[Column]:
-        first = F.unix_date(strict_greatest(F.col(start), onset))
-        last = F.unix_date(strict_least(F.col(end), limit))
-        return [F.when(last >= first, first).alias(f"{name}0"), F.when(last >= first, last).alias(f"{name}1")]
-
+def _counted(stays: DataFrame, cfg: StudyConfig, *columns: Column | str) -> DataFrame:
+    """The days of each stay that count, as offsets from onset in bit masks ``h`` and ``i`` (ICU)."""
+    cap = cfg.stay_cap_days
+    icu = counted_days("date_ICU_admit", "date_ICU_discharge", "date_onset", cap)
     return stays.select(
         "person_id",
-        "age_group",
-        "date_admit",
-        "date_onset",
-        *span("h", "date_admit", "date_discharge"),
-        *span("i", "date_ICU_admit", "date_ICU_discharge"),
-    ).where("h0 is not null or i0 is not null")
-
-
-def _bits(name: str) -> Column:
-    low = f"greatest({name}0 - block * {_BLOCK}, 0)"
-    high = f"least({name}1 - block * {_BLOCK}, {_BLOCK - 1})"
-    return F.expr(
-        f"case when {name}0 is not null and {high} >= {low} "
-        f"then shiftleft(1L, int({high} + 1)) - shiftleft(1L, int({low})) else 0L end"
+        F.unix_date("date_onset").alias("onset"),
+        counted_days("date_admit", "date_discharge", "date_onset", cap).alias("h"),
+        F.when(F.col("date_ICU_admit").isNotNull(), icu).otherwise(0).alias("i"),
+        *columns,
     )
 
 
+def _block_bits(mask: str) -> Column:
+    """An onset-based mask moved to its place in a 32-day block, cut at the block's ends."""
+    shift = f"onset - block * {_BLOCK} + 16"
+    return F.expr(f"shiftright(shiftleft(bigint({mask}), {shift}), 16) & {(1 << _BLOCK) - 1}L").alias(mask)
+
+
 def calculate_occupancy(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(date, group in {ward, ICU}, count), gap-free from the first day to the last but one.
 
-    A person counts once per day. Days are held as bits of 32-day blocks, so a stay shuffles as one
-    or two rows however long it is, several stays of a person merge by ``bit_or``, and equal masks
-    are counted before any day is written out.
+    ``stays`` are cleaned. A person counts once per day. Days are held as bits of 32-day blocks, so
+    a stay shuffles as one or two rows however long it is, and several stays of a person merge by
+    ``bit_or``. Of the merged days only the changes are counted: first days add one, days after last
+    days take one off, and the running sum is the occupancy. Masks of first or last days take few
+    distinct values, so they collapse map-side.
     """
-    blocks = F.expr(f"sequence(int(floor(least(h0, i0) / {_BLOCK})), int(floor(greatest(h1, i1) / {_BLOCK})))")
-    masks = _intervals(stays, cfg).withColumn("block", F.explode(blocks))
+    blocks = F.expr(
+        f"sequence(int(floor(onset / {_BLOCK})), int(floor((onset + {cfg.stay_cap_days}) / {_BLOCK})))"
+    )
+    masks = _counted(stays, cfg).withColumn("block", F.explode(blocks))
     persons = (
-        masks.select("person_id", "block", _bits("h").alias("h"), _bits("i").alias("i"))
+        masks.select("person_id", "block", _block_bits("h"), _block_bits("i"))
+        .where("h + i > 0")
         .groupBy("person_id", "block")
         .agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
     )
-    patterns = persons.groupBy("block", "h", "i").agg(F.count(F.lit(1)).alias("n"))
-    daily = (
-        patterns.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(_BLOCK - 1))))
-        .groupBy(F.expr(f"date_from_unix_date(int(block * {_BLOCK} + bit))").alias("date"))
-        .agg(
-            F.sum(F.expr("n * (shiftright(h, bit) & 1L)")).alias("hospital"),
-            F.sum(F.expr("n * (shiftright(i, bit) & 1L)")).alias("ICU"),
-        )
-        .where("hospital > 0")
+    edges = F.array(
+        *[
+            F.struct(
+                F.lit(series).alias("series"), F.lit(sign).alias("sign"), F.expr(bits).alias("mask")
+            )
+            for series in "hi"
+            for sign, bits in ((1, f"{series} & ~shiftleft({series}, 1)"), (-1, f"{series} & ~shiftright({series}, 1)"))
+        ]
+    )
+    patterns = (
+        persons.select("block", F.explode(edges).alias("e"))
+        .select("block", "e.*")
+        .where("mask != 0")
+        .groupBy("block", "series", "sign", "mask")
+        .agg(F.sum("sign").alias("n"))
+    )
+    bits = F.explode(F.sequence(F.lit(0), F.lit(_BLOCK - 1)))
+    day = F.expr(f"date_from_unix_date(int(block * {_BLOCK} + bit + if(sign < 0, 1, 0)))")
+    changes = (
+        patterns.withColumn("bit", bits)
+        .where("shiftright(mask, bit) & 1 = 1")
+        .groupBy(day.alias("date"))
+        .agg(*[F.sum(F.when(F.col("series") == k, F.col("n")).otherwise(0)).alias(k) for k in "hi"])
+    )
+    # one row per day of change: a few thousand rows at most
+    running = Window.orderBy("date")
+    occupied = changes.select(
+        "date",
+        F.lead("date").over(running).alias("next"),
+        F.sum("h").over(running).alias("hospital"),
+        F.sum("i").over(running).alias("ICU"),
+    )
+    spans = F.explode(F.sequence("date", F.date_sub("next", 1), F.expr("interval 1 day")))
+    daily = occupied.where("next is not null").withColumn("date", spans)
+    in_use = F.when(F.col("hospital") > 0, F.col("date"))
+    everywhere = Window.partitionBy()
+    bounded = daily.withColumns({"first": F.min(in_use).over(everywhere), "last": F.max(in_use).over(everywhere)})
+    full = bounded.where("date >= first and date < last").select(
+        "date", "hospital", F.when(F.col("hospital") > 0, F.col("ICU")).otherwise(0).alias("ICU")
     )
-    full = fill_daily_gaps(daily, "date", ["hospital", "ICU"], drop_last=True)
     return _ward_and_icu(full, ["date"])
 
 
@@ -87,22 +111,24 @@ def calculate_occupancy_aged(stays: DataFrame, cfg: StudyConfig = StudyConfig())
     that covers the day. That order is packed into one integer, so the choice is a plain ``min``
     that combines before the shuffle.
     """
-    code = F.array_position(F.array(*[F.lit(a) for a in _AGE_LABELS]), F.col("age_group"))
+    code = F.expr(
+        f"if(age_group = '{INVALID_AGE}', {len(_AGE_LABELS)}, if(age_group = '{AGE_BANDS[0]}', 1, int(left(age_group, 1)) + 1))"
+    )
     order = (F.unix_date("date_admit").cast("bigint") * (1 << 20) + F.unix_date("date_onset")) * 16 + code
+    offsets = F.explode(F.sequence(F.lit(0), F.lit(cfg.stay_cap_days)))
     days = (
-        _intervals(stays, cfg)
-        .withColumn("order", F.coalesce(order, F.lit((1 << 60)) + code))
-        .withColumn("day", F.explode(F.expr("sequence(least(h0, i0), greatest(h1, i1))")))
+        _counted(stays, cfg, order.alias("order")).withColumn("d", offsets).where("shiftright(h | i, d) & 1 = 1")
     )
-    person_days = days.groupBy("person_id", "day").agg(
-        *[F.min(F.when(F.col("day").between(F.col(f"{s}0"), F.col(f"{s}1")), F.col("order"))).alias(s) for s in "hi"]
+    person_days = days.groupBy("person_id", (F.col("onset") + F.col("d")).alias("day")).agg(
+        *[F.min(F.expr(f"if(shiftright({s}, d) & 1 = 1, order, null)")).alias(s) for s in "hi"]
     )
-    coded = person_days.select("day", *[(F.col(s) % 16).alias(s) for s in "hi"])
+    codes = [(F.col(s) % 16).alias(s) for s in "hi"]
+    cells = person_days.groupBy("day", *codes).agg(F.count(F.lit(1)).alias("n"))  # days x ages x ages
 
     ages = list(enumerate(_AGE_LABELS, start=1))
-    counts = [F.count(F.when(F.col(s) == k, 1)).alias(f"{s}{k}") for s in "hi" for k, _ in ages]
+    counts = [F.sum(F.when(F.col(s) == k, F.col("n")).otherwise(0)).alias(f"{s}{k}") for s in "hi" for k, _ in ages]
     daily = (
-        coded.groupBy(F.date_from_unix_date(F.col("day").cast("int")).alias("date"))
+        cells.groupBy(F.date_from_unix_date("day").alias("date"))
         .agg(*counts, F.count("h").alias("hospital"))
         .where("hospital > 0")
         .drop("hospital")

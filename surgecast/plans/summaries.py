@@ -106,7 +106,7 @@ def fan_table(
     Members without a row are ignored, except for admissions by age, where they count as 0: there
     every group is topped up to the number of members in the whole table by one weighted zero row.
     Rows without a bootstrap form one further member. ``corrected`` tops up everywhere and has no
-    such member.
+    such member. ``outputs`` is read several times: pass a stored table.
     """
     ids = ["scenario_label", "date", "group", *by]
     if cfg.corrected:

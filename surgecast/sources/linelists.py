@@ -12,12 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgecast.config import ForecastDates, StudyConfig
-from surgecast.functions import INVALID_AGE, age_band, date_from_file_name, strict_greatest
+from surgecast.functions import age_band, date_from_file_name
 
 
-def _known_patients(df: DataFrame, cfg: StudyConfig) -> DataFrame:
-    known = df.dropna(subset=["age_group", "date_onset"]).where(F.col("date_onset") >= F.lit(cfg.study_start))
-    return known.where(F.col("age_group") != INVALID_AGE) if cfg.corrected else known
+def _known_patients(raw: DataFrame, age: str, onset: Column, cfg: StudyConfig) -> DataFrame:
+    """Rows with an age and an onset inside the study.
+
+    Rows are filtered on their raw columns, before any are derived: a filter on a derived column is
+    pushed below it and would compute it twice.
+    """
+    known = raw.dropna(subset=[age]).where(onset >= F.lit(cfg.study_start))
+    return known.where(F.col(age) >= 0) if cfg.corrected else known
 
 
 def _row_id(df: DataFrame) -> list[str]:
@@ -26,10 +31,9 @@ def _row_id(df: DataFrame) -> list[str]:
 
 def format_cases(raw: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """Typed case line list -> (date_onset, age_group)."""
-    picked = raw.select(
-        F.col("CALCULATED_ONSET_DATE").alias("date_onset"), age_band(F.col("AGE_AT_EVENT_YEARS")).alias("age_group")
-    )
-    return _known_patients(picked, cfg)
+    onset = F.col("CALCULATED_ONSET_DATE")
+    known = _known_patients(raw, "AGE_AT_EVENT_YEARS", onset, cfg)
+    return known.select(onset.alias("date_onset"), age_band(F.col("AGE_AT_EVENT_YEARS")).alias("age_group"))
 
 
 def format_hospital(raw: DataFrame, cfg: StudyConfig = StudyConfig(), data_date: dt.date | None = None) -> DataFrame:
@@ -39,48 +43,38 @@ def format_hospital(raw: DataFrame, cfg: StudyConfig = StudyConfig(), data_date:
     that end before they start, or have no end, are dropped. In corrected mode stays still open are
     censored at ``data_date`` instead.
     """
-
-    def day(name: str) -> Column:
-        return F.col(name).cast("date")
-
-    def ended(name: str, start: str) -> Column:
-        if not cfg.corrected or data_date is None:
-            return day(name)
-        return F.when(day(start).isNotNull(), F.coalesce(day(name), F.lit(data_date))).otherwise(day(name))
-
-    onset = F.col("date_onset")
-    picked = raw.select(
+    onset = F.col("ncims_calc_onset_dt").cast("date")
+    admit, discharge, icu_admit, icu_discharge = (
+        F.col(c).cast("date") for c in ("admit_date", "discharge_date", "first_icu_date", "last_icu_date")
+    )
+    if cfg.corrected and data_date is not None:
+        discharge = F.when(admit.isNotNull(), F.coalesce(discharge, F.lit(data_date)))
+        icu_discharge = F.when(icu_admit.isNotNull(), F.coalesce(icu_discharge, F.lit(data_date)))
+    # comparisons with an unknown date are not true
+    stays = _known_patients(raw, "age", onset, cfg).where((discharge >= admit) & (discharge >= onset))
+    in_icu = (icu_discharge >= icu_admit) & (icu_discharge >= onset)
+    return stays.select(
         *_row_id(raw),
         "person_id",
-        day("ncims_calc_onset_dt").alias("date_onset"),
+        onset.alias("date_onset"),
         age_band(F.col("age")).alias("age_group"),
-        day("admit_date").alias("date_admit"),
-        ended("discharge_date", "admit_date").alias("date_discharge"),
-        day("first_icu_date").alias("date_ICU_admit"),
-        ended("last_icu_date", "first_icu_date").alias("date_ICU_discharge"),
-    )
-    clamped = _known_patients(picked, cfg).withColumns(
-        {
-            "date_admit": strict_greatest(F.col("date_admit"), onset),
-            "date_ICU_admit": strict_greatest(F.col("date_ICU_admit"), onset),
-        }
+        F.greatest(admit, onset).alias("date_admit"),
+        discharge.alias("date_discharge"),
+        F.when(in_icu, F.greatest(icu_admit, onset)).alias("date_ICU_admit"),
+        F.when(in_icu, icu_discharge).alias("date_ICU_discharge"),
     )
-    icu_ok = F.col("date_ICU_discharge") >= F.col("date_ICU_admit")
-    return clamped.withColumns(
-        {c: F.when(icu_ok, F.col(c)) for c in ("date_ICU_admit", "date_ICU_discharge")}
-    ).where(F.col("date_discharge") >= F.col("date_admit"))
 
 
 def format_ed(raw: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """ED rows -> presentations; the date may be unknown or precede onset."""
-    picked = raw.select(
+    onset = F.col("ncims_calc_onset_dt").cast("date")
+    return _known_patients(raw, "age", onset, cfg).select(
         *_row_id(raw),
         "person_id",
-        F.col("ncims_calc_onset_dt").cast("date").alias("date_onset"),
+        onset.alias("date_onset"),
         age_band(F.col("age")).alias("age_group"),
         F.col("presentation_date").cast("date").alias("date_presentation"),
     )
-    return _known_patients(picked, cfg)
 
 
 def stay_order(df: DataFrame, *first: str) -> list[Column]:
