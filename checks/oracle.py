@@ -447,11 +447,16 @@ for _name, _extend in (("interpolate_linear", False), ("interpolate_constant_end
     )
 ORACLE["first_stay_per_person"] = build("""
 SELECT * FROM stays QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY date_admit NULLS LAST, row_id) = 1""")
-ORACLE["quantile_fan"] = " UNION ALL ".join(
-    f"""SELECT o_orderpriority, o_orderstatus, {p} AS quant, round(median(o_totalprice), 4) AS median,
-  round(quantile_cont(o_totalprice, {(100 - p) / 200}), 4) AS lower, round(quantile_cont(o_totalprice, {(100 + p) / 200}), 4) AS upper
+CTES["order_members"] = """
+SELECT o_orderpriority, o_orderstatus, o_orderkey % 50 AS member, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS x
 FROM orders GROUP BY ALL"""
-    for p in (20, 30, 40, 50, 60, 70, 80, 90)
+ORACLE["quantile_fan"] = build(
+    " UNION ALL ".join(
+        f"""SELECT o_orderpriority, o_orderstatus, {p} AS quant, round(median(x), 4) AS median,
+  round(quantile_cont(x, {(100 - p) / 200}), 4) AS lower, round(quantile_cont(x, {(100 + p) / 200}), 4) AS upper
+FROM order_members GROUP BY ALL"""
+        for p in (20, 30, 40, 50, 60, 70, 80, 90)
+    )
 )
 ORACLE["occupancy"] = occupancy_sql("big_stays", aged=False)
 ORACLE["occupancy_aged"] = occupancy_sql("big_mixed_stays", aged=True)
@@ -519,6 +524,11 @@ FROM (SELECT grp AS "group", age_group, {_text} AS days, count(*) AS n FROM patt
 SELECT scenario_label, bootstrap, age_group, date_onset, x AS expected, n FROM realised WHERE grp = '{_group}'""")
     ORACLE[f"draw_{_name}"] = build(f"""
 SELECT bootstrap, age_group, {_text} AS days, count(*) AS n FROM patients WHERE grp = '{_group}' GROUP BY ALL""")
+ORACLE["rejected_cells"] = build(f"""
+SELECT * FROM (SELECT scenario_label, grp AS "group", bootstrap, age_group, date_onset, x AS expected, n,
+  CASE WHEN x IS NULL THEN 'no expected count' WHEN age_group NOT IN ({_bands}) THEN 'age outside the model'
+    WHEN n > 0 AND total IS NULL THEN 'no pattern for age group' END AS reason
+  FROM realised LEFT JOIN pattern_sizes USING (grp, age_group)) WHERE reason IS NOT NULL""")
 _out_keys = 'scenario_label, grp AS "group", bootstrap, age_group, date'
 ORACLE["sampled_occupancy"] = build(f"SELECT {_out_keys}, n AS occupied FROM beds")
 ORACLE["sampled_admissions"] = build(f"SELECT {_out_keys}, n AS admitted FROM admitted WHERE grp <> 'ED'")

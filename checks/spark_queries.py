@@ -172,10 +172,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("quantile_fan")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Default intervals of order values per priority and status, with the row medians."""
-    orders = v.table(spark, sf, "orders")
-    fan = central_intervals(orders, ["o_orderpriority", "o_orderstatus"], "o_totalprice", median=True)
-    return fan.select("o_orderpriority", "o_orderstatus", "quant", *[F.round(c, 4).alias(c) for c in ("median", "lower", "upper")])
+    """Default intervals over 50 members, each the order value of one share of the orders."""
+    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+    ids = ["o_orderpriority", "o_orderstatus"]
+    members = v.table(spark, sf, "orders").groupBy(*ids, (F.col("o_orderkey") % 50).alias("member")).agg(total.alias("x"))
+    fan = central_intervals(members, ids, "x", median=True)
+    return fan.select(*ids, "quant", *[F.round(c, 4).alias(c) for c in ("median", "lower", "upper")])
 
 
 # --- observed series --------------------------------------------------------------------------
@@ -336,6 +338,11 @@ for _group in ("ward", "ICU", "ED"):
         return _shown(counted)
 
 
+@query("rejected_cells")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return fc.rejected_cells(_expected(spark, sf), _patterns(spark, sf))
+
+
 def _sampled(spark: SparkSession, sf: str):
     dates = _dates(spark, sf)
     return study.sampled(v.inputs(spark, sf), dates, CFG), dates

@@ -23,6 +23,9 @@ def central_intervals(
 ) -> DataFrame:
     """Central intervals of ``value`` per ``ids`` group: one row per (ids, quant, lower, upper).
 
+    A group is one ensemble: it has at most as many rows as there are bootstraps, so the exact
+    quantile, which holds a group's values, is cheap. Sum line-list rows per member first.
+
     Quantiles interpolate linearly between order statistics. NULL members are ignored, or make the
     whole group NULL with ``ignore_nulls=False``. ``frequency`` names an integer column that says
     how many members a row stands for.

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgecast.operators.staging import shuffle_width
+from surgecast.operators.staging import grid_width, shuffle_width
 
 ROWS_PER_CHUNK = 10_000
 
@@ -94,7 +94,7 @@ def complete_daily(
     values = [c for c in df.columns if c not in cell]
     merged = df.unionByName(grid.select(cell), allowMissingColumns=True)
     if within or keys:
-        merged = merged.repartition(shuffle_width(df.sparkSession), *within, *keys)
+        merged = merged.repartition(grid_width(df.sparkSession), *within, *keys)
     out = merged.groupBy(*cell).agg(*[F.max(v).alias(v) for v in values])
     if fill:
         out = out.fillna(dict(fill))

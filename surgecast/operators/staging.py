@@ -31,7 +31,15 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def shuffle_width(spark: SparkSession) -> int:
-    """Partition count for explicit repartitions of work whose size bytes do not show."""
+    """Partitions for explicit repartitions of work whose size its bytes do not show."""
     configured = spark.conf.get("spark.sql.shuffle.partitions", "200")
     width = int(configured) if configured.isdigit() else 200
     return max(width, spark.sparkContext.defaultParallelism)
+
+
+def grid_width(spark: SparkSession) -> int:
+    """Partitions for tables bounded by the study's dimensions (members x ages x days).
+
+    They do not grow with the line lists, so neither does this.
+    """
+    return min(shuffle_width(spark), spark.sparkContext.defaultParallelism, 64)

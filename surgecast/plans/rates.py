@@ -12,7 +12,7 @@ from surgecast.operators.quantiles import median_band
 from surgecast.operators.reshape import complete_daily
 from surgecast.operators.sampling import bootstrap_counts, multinomial_counts
 from surgecast.operators.series import fill_downup, first_per_group, interpolate, rolling_extend
-from surgecast.operators.staging import shuffle_width, stage
+from surgecast.operators.staging import grid_width, stage
 from surgecast.sources.linelists import stay_order
 
 RATES = ["pr_hosp", "pr_ICU", "pr_ED", "pr_age_given_case"]
@@ -152,7 +152,7 @@ def extend_rates(rates: DataFrame, spans: DataFrame, cfg: StudyConfig = StudyCon
     full = complete_daily(placed, "date_onset", MEMBER, within=SPAN, start=F.col("first"), end=F.col("end"))
     filled = interpolate(full, RATES, [*SPAN, *MEMBER], "date_onset", by_date=cfg.corrected, extend_ends=True)
     day_key = [*SPAN, "bootstrap", "date_onset"]
-    filled = filled.repartition(shuffle_width(filled.sparkSession), *day_key)
+    filled = filled.repartition(grid_width(filled.sparkSession), *day_key)
     same_day = Window.partitionBy(*day_key)
     total = F.sum("pr_age_given_case").over(same_day)
     if not cfg.corrected:
