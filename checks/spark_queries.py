@@ -311,7 +311,7 @@ def _shown(patterns: DataFrame) -> DataFrame:
 
 def _expected(spark: SparkSession, sf: str) -> DataFrame:
     i = v.inputs(spark, sf)
-    return fc.expected_table(_trajectory(spark, sf), _rates(spark, sf), i.ascertainment, CFG)
+    return stage(fc.expected_table(_trajectory(spark, sf), _rates(spark, sf), i.ascertainment, CFG))
 
 
 for _group in ("ward", "ICU", "ED"):

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgecast.operators.staging import grid_width, shuffle_width
+from surgecast.operators.staging import grid_width, work_width
 
 ROWS_PER_CHUNK = 10_000
 
@@ -16,15 +16,16 @@ def chunk_rows(df: DataFrame, n: Column, keys: Sequence[str]) -> DataFrame:
     """Cut rows that stand for ``n`` units each into chunks ``_chunk`` = 0, 1, ... of ``_size`` units.
 
     The counts may be very uneven (one row can hold a third of everything), so the chunks, not the
-    rows, are spread over all tasks, by (``keys``, chunk). None for ``n`` < 1 or NULL.
+    rows, are spread over the tasks, by (``keys``, chunk). The number of tasks follows the total,
+    which is summed first: ``df`` is read twice. None for ``n`` < 1 or NULL.
     """
+    counted = df.withColumn("_n", n.cast("bigint")).where(F.col("_n") >= 1)
+    units = counted.agg(F.sum("_n")).first()[0] or 0
     return (
-        df.withColumn("_n", n.cast("bigint"))
-        .where(F.col("_n") >= 1)
-        .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1L) div {ROWS_PER_CHUNK}L)")))
+        counted.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1L) div {ROWS_PER_CHUNK}L)")))
         .withColumn("_size", F.expr(f"least(_n - _chunk * {ROWS_PER_CHUNK}L, {ROWS_PER_CHUNK}L)"))
         .drop("_n")
-        .repartition(shuffle_width(df.sparkSession), *keys, "_chunk")
+        .repartition(work_width(df.sparkSession, units), *keys, "_chunk")
     )
 
 

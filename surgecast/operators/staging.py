@@ -30,11 +30,15 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    """Partitions for explicit repartitions of work whose size its bytes do not show."""
-    configured = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    width = int(configured) if configured.isdigit() else 200
-    return max(width, spark.sparkContext.defaultParallelism)
+UNITS_PER_TASK = 1_000_000
+_LEAST_UNITS_PER_TASK = 50_000
+_MOST_TASKS = 100_000
+
+
+def work_width(spark: SparkSession, units: int) -> int:
+    """Partitions for rows that stand for ``units`` rows in all, which their bytes do not show."""
+    spread = min(spark.sparkContext.defaultParallelism, -(-units // _LEAST_UNITS_PER_TASK))
+    return max(1, spread, min(-(-units // UNITS_PER_TASK), _MOST_TASKS))
 
 
 def grid_width(spark: SparkSession) -> int:
@@ -42,4 +46,4 @@ def grid_width(spark: SparkSession) -> int:
 
     They do not grow with the line lists, so neither does this.
     """
-    return min(shuffle_width(spark), spark.sparkContext.defaultParallelism, 64)
+    return min(spark.sparkContext.defaultParallelism, 64)

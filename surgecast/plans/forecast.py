@@ -127,7 +127,8 @@ def drawn_patients(expected: DataFrame, patterns: DataFrame, cfg: StudyConfig =
     """One row per patient with a pattern drawn from the patient's group and age.
 
     Groups and ages outside the model's bands, or without any pattern, get no patients (see
-    :func:`rejected_cells`). Rows are partitioned by (cell, ``_chunk``).
+    :func:`rejected_cells`). Rows are partitioned by (cell, ``_chunk``). Both inputs are read more
+    than once: pass staged tables.
     """
     cells = expected.where(F.col("age_group").isin(AGE_BANDS)).select(*CELL, F.col("n").alias("_patients"))
     cells = cells.join(F.broadcast(strata(patterns, STRATUM, "n")), STRATUM)  # one row per group and age
@@ -298,7 +299,7 @@ def sample_patients(
     cfg: StudyConfig = StudyConfig(),
 ) -> ForecastTables:
     """Run the simulation up to its daily sums. ``trajectory`` and ``rates`` must be staged."""
-    expected = expected_table(trajectory, rates, ascertainment, cfg)
+    expected = stage(expected_table(trajectory, rates, ascertainment, cfg))
     patterns = stage(stay_patterns(stays, dates, cfg).unionByName(ed_offsets(presentations, dates, cfg)))
     samples = stage(daily_samples(expected, patterns, cfg))
     return ForecastTables(trajectory, expected, patterns, samples)

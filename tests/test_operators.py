@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from surgecast.functions import hashed_uniform
 from surgecast.operators import reshape, sampling, series
 from surgecast.operators.quantiles import central_intervals, median_band
-from surgecast.operators.staging import checkpoint_dir, stage
+from surgecast.operators.staging import checkpoint_dir, stage, work_width
 
 
 def numbered(spark, values, key="a"):
@@ -28,16 +28,21 @@ def test_expand_counts(spark):
 
 
 def test_chunks_split_a_hot_row(spark):
-    df = spark.createDataFrame([("hot", 100_000), ("small", 5), ("none", 0)], "k string, n long")
+    df = spark.createDataFrame([("hot", 400_000), ("small", 5), ("none", 0)], "k string, n long")
     chunks = reshape.chunk_rows(df, F.col("n"), ["k"])
     sizes = [r["count"] for r in chunks.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) > 2 and max(sizes) < 8
+    assert len(sizes) > 4 and max(sizes) < 20
     units = reshape.number_chunks(chunks, "i")
     assert collected(units.groupBy("k").agg(F.count("*"), F.countDistinct("_chunk", "i"))) == [
-        ("hot", 100_000, 100_000), ("small", 5, 5),
+        ("hot", 400_000, 400_000), ("small", 5, 5),
     ]
 
 
+def test_work_width_follows_the_work(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [work_width(spark, n) for n in (0, 60_000, 10**6, 10**9, 10**13)] == [1, 2, cores, 1000, 100_000]
+
+
 def test_stay_days_drops_reversed_and_open(spark):
     rows = [(1, "2023-01-01", "2023-01-03"), (2, "2023-01-02", "2023-01-01"), (3, "2023-01-02", None)]
     df = spark.createDataFrame([(i, day(a), day(b)) for i, a, b in rows], "id int, a date, b date")
