@@ -8,7 +8,8 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from checks.oracle import ORACLE
+from checks.spark_queries import QUERIES
 from checks.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ SAME_RUN = {
     "sampled_occupancy", "sampled_admissions", "sampled_ed", "ensemble_totals", "ensemble_totals_aged",
     "fan_occupancy", "fan_occupancy_aged", "fan_admissions",
 }
-NAMES = [n for n in entry.queries() if n not in SAME_RUN or os.environ.get("ALL_QUERIES")]
+NAMES = [n for n in QUERIES if n not in SAME_RUN or os.environ.get("ALL_QUERIES")]
 
 
 @pytest.fixture(scope="module")
@@ -29,10 +30,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, con, name):
-    diff, n = compare(spark, con, SF, entry.queries()[name], entry.oracle_sql()[name])
+    diff, n = compare(spark, con, SF, QUERIES[name], ORACLE[name])
     assert diff == "" and n > 0
