@@ -7,7 +7,7 @@ Parquet and read again. All but the last return the columns of ``documents``. Fu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surgecast.llm import bpe, mixing, ngram_join, pii, quality_cnn
@@ -20,17 +20,24 @@ MIX = mixing.Mix(share=0.9, weights={"d0": 2, "d0/en": 2, "d1/en": 2}, epochs=1,
 BROADCAST_KEYS = 100_000
 
 
+def _row(docs: DataFrame) -> Column:
+    """All columns in one, so that no name of theirs can clash with a stage's own."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is in ``dropped`` (column __id). Null ids stay."""
+    """``docs`` less the rows whose doc_id is in ``dropped`` (column id). Null ids stay."""
     dropped = cut(dropped.distinct())
     few = dropped.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(dropped) if few else dropped, F.col("doc_id") == F.col("__id"), "left_anti")
+    rows = docs.select(_row(docs), F.col("doc_id").alias("own"))
+    return rows.join(F.broadcast(dropped) if few else dropped, F.col("own") == F.col("id"), "left_anti").select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject. Null texts are judged as empty ones."""
     network = quality_cnn.train(docs, table(spark, sf_dir, "labels"))
-    return quality_cnn.scored(docs, "text", network, "__score").filter(F.col("__score") >= LEAST_QUALITY).drop("__score")
+    scored = quality_cnn.scored(docs.select(_row(docs), "text"), "text", network, "score")
+    return scored.filter(F.col("score") >= LEAST_QUALITY).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,25 +47,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first) stays. Documents without words, and rows without id, belong to no group and stay.
     """
     joined = cut(ngram_join.join_ngrams(docs, "doc_id", "text"))
-    kept = _without(docs, joined.filter("component <> doc_id").select(F.col("doc_id").alias("__id")))
-    repeats = cut(joined.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id"))
+    kept = _without(docs, joined.filter("component <> doc_id").select(F.col("doc_id").alias("id")))
+    repeats = cut(joined.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count().filter("count > 1").select("id"))
     if repeats.isEmpty():
         return kept
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    again = kept.join(repeats, F.col("doc_id") == F.col("__id"), "left_semi")
-    again = again.withColumn("__row", F.row_number().over(order)).filter("__row = 1").drop("__row")
+    order = Window.partitionBy("id").orderBy(F.col("text").asc_nulls_first())
+    again = kept.select(_row(kept), "text", F.col("doc_id").alias("id")).join(repeats, "id", "left_semi")
+    again = again.withColumn("place", F.row_number().over(order)).filter("place = 1").select("row.*")
     return _without(kept, repeats).unionByName(again)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind in brackets; n_chars follows the text."""
-    return pii.mask_spans(docs, "text").withColumn("n_chars", F.length("text").cast("long"))
+    masked = pii.mask_spans(docs.select(_row(docs), "text"), "text")
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return masked.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the sources' target weights take. Rows without id stay."""
     mixed = mixing.mix_sources(docs, "doc_id", "text", levels(), MIX)
-    return _without(docs, mixed.filter("copies = 0 and doc_id is not null").select(F.col("doc_id").alias("__id")))
+    return _without(docs, mixed.filter("copies = 0 and doc_id is not null").select(F.col("doc_id").alias("id")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
