@@ -6,7 +6,8 @@
    hash). Two sets can only reach the threshold if the first ``n - ceil(t * n) + 1`` of both share an
    n-gram, and what lies behind a shared one bounds their overlap.
 3. Only links between different components matter. Of the classes behind a shared n-gram, all are
-   first compared with one of them; what that leaves unconnected is compared pair by pair.
+   first compared with one of them; what that leaves unconnected is paired, and pairs that share
+   enough of their first n-grams to reach the threshold are compared.
 4. Pairs are compared exactly: the sets compared with one document form prefix trees, which its own
    set traverses once, sharing the overlap of common beginnings and leaving subtrees whose remaining
    lengths cannot reach the threshold.
@@ -35,37 +36,42 @@ ROWS_A_GROUP = 100_000
 SETS_A_TREE = 64
 #: Ids that may be broadcast to fetch texts; more are joined by shuffle.
 BROADCAST_IDS = 100_000
-#: Star rounds before what is left is compared pair by pair.
-STAR_ROUNDS = 3
+#: What is left unlinked is compared pair by pair when that makes so many pairs a row, or after so many star rounds.
+PAIRS_A_ROW, STAR_ROUNDS = 20, 3
 _PRIME = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_PRIME, i + 1, 1 << 64) for i in range(WORDS)], np.uint64)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
+def mixed_hash(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def ngrams(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of the n-grams of a text: words are what ASCII white space separates,
-    A-Z lower-cased; fewer than WORDS words are one n-gram; none give the empty set."""
+def sequence_hashes(text: str | None) -> tuple[int, np.ndarray]:
+    """Number of words and hashes of the n-grams of a text, in order: words are what ASCII white space
+    separates, A-Z lower-cased; fewer than WORDS words are one n-gram; none have none."""
     words = (text or "").encode("utf-8").lower().split()
     if not words:
-        return np.empty(0, np.uint64)
+        return 0, np.empty(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = min(len(words), WORDS)
     total = np.full(len(words) - n + 1, n, np.uint64)
     for j in range(n):
         total += h[j : j + len(total)] * _POWERS[j]
-    return np.unique(_mix(total))
+    return len(words), mixed_hash(total)
+
+
+def ngrams(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of the n-grams of a text."""
+    return np.unique(sequence_hashes(text)[1])
 
 
 def set_name(grams: np.ndarray) -> int:
     """A hash of the set as a signed 64-bit integer."""
-    total = int(_mix(grams).sum(dtype=np.uint64)) + len(grams) * _PRIME
+    total = int(mixed_hash(grams).sum(dtype=np.uint64)) + len(grams) * _PRIME
     both = total ^ int(np.bitwise_xor.reduce(grams)) * 0x94D049BB133111EB
-    return int(_mix(np.array([both & 0xFFFFFFFFFFFFFFFF], np.uint64)).view(np.int64)[0])
+    return int(mixed_hash(np.array([both & 0xFFFFFFFFFFFFFFFF], np.uint64)).view(np.int64)[0])
 
 
 def ordered(grams: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -293,29 +299,33 @@ def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, rank: np.ndarray
     spark = docs.sparkSession
     found = spark.createDataFrame([], "a long, b long")
     tried, roots = found, spark.createDataFrame([], "name long, root long")
+    rows = shared.count()
     for turn in range(STAR_ROUNDS + 1):
-        rooted = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name")) if turn else shared.withColumn("root", F.col("name"))
+        rooted = shared.withColumn("root", F.col("name"))
+        last = turn == STAR_ROUNDS
         if turn:
-            mixed = rooted.groupBy("gram", "root").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("gram")
-            mixed = mixed.agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same")).filter(F.col("all") * F.col("all") > F.col("same"))
-            mixed = cut(mixed.select("gram", (F.col("all") * F.col("all") - F.col("same")).alias("pairs")))
-            left, rows = mixed.agg(F.sum("pairs")).first()[0] or 0, shared.count()
-            if not left:
+            rooted = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+            # N-grams behind which all sets are linked already need no further look.
+            mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).cast("double").alias("c"))
+            mixed = cut(mixed.filter("lo <> hi").select("gram", "c"))
+            pairs = mixed.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0]
+            if pairs is None:
                 break
+            last = last or pairs <= PAIRS_A_ROW * rows
             rooted = rooted.join(mixed.select("gram"), "gram", "left_semi")
-        last = turn == STAR_ROUNDS or (turn and left <= 4 * rows)
         if last:
-            y = rooted
-            differ = (F.col("x.root") != F.col("y.root")) & (F.col("x.name") < F.col("y.name"))
-        else:
-            hub = F.min_by(F.struct("name", "n", "at", "root"), F.xxhash64("name", F.lit(turn)))
-            y = rooted.groupBy("gram").agg(hub.alias("hub")).select("gram", "hub.*")
-            differ = F.col("x.root") != F.col("y.root")
-        pairs = rooted.alias("x").join(y.alias("y"), "gram").filter(differ & _possible("x", "y"))
-        pairs = pairs.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
-        if turn:
+            met = rooted.alias("x").join(rooted.alias("y"), "gram").filter((F.col("x.root") != F.col("y.root")) & (F.col("x.name") < F.col("y.name")) & _possible("x", "y"))
+            met = met.groupBy(F.col("x.name").alias("a"), F.col("y.name").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
+            # The sets overlap in the n-grams that both prefixes hold, and in what follows one of the prefixes.
+            behind = F.greatest(*(F.ceil(F.lit(NUM) * F.col(c) / DEN) - 1 for c in "nm"))
+            pairs = met.agg(F.count(F.lit(1)).alias("both")).filter(reaches(F.col("both") + behind, F.col("n"), F.col("m"))).select("a", "b")
             known = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(known, ["a", "b"], "left_anti")
+        else:
+            hub = F.min_by(F.struct("name", "n", "at", "root"), F.xxhash64("name", F.lit(turn)))
+            hubs = rooted.groupBy("gram").agg(hub.alias("hub")).select("gram", "hub.*")
+            met = rooted.alias("x").join(hubs.alias("y"), "gram").filter((F.col("x.root") != F.col("y.root")) & _possible("x", "y"))
+            pairs = met.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
         pairs = cut(pairs)
         if not pairs.isEmpty():
             linked = _compared(docs, pairs, ids, rank)
