@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgecast.llm import bpe, merkle, mixing, ngram_join, pii, pq_dedup, quality_cnn, sharding, urls
+from surgecast.llm import bpe, compact_windows, merkle, mixing, ngram_join, pii, pq_dedup, quality_cnn, sharding, urls
 from surgecast.llm.common import table
 
 SHARDS = (1.0,) * 8
@@ -43,6 +43,11 @@ def op3_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf, "documents"), "doc_id", "text", SHARDS)
 
 
+def op4_compact_windows(spark: SparkSession, sf: str) -> DataFrame:
+    found = compact_windows.find_passages(table(spark, sf, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("component", "component_id")
+
+
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf, "documents"), "doc_id", "text", levels(), MIX)
 
@@ -94,5 +99,5 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pq_dedup, op2_merkle, op3_rendezvous, op5_mixing, op6_bpe, op7_url_rules, op8_ngram_join, op9_quality, op10_pii)
+    for f in (op1_pq_dedup, op2_merkle, op3_rendezvous, op4_compact_windows, op5_mixing, op6_bpe, op7_url_rules, op8_ngram_join, op9_quality, op10_pii)
 }
