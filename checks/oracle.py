@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import re
 
-from checks.views import BIG_CONFIG, EV_CONFIG, EV_FORECAST_DATE, EV_HOSPITAL_PATH, FORECAST_SCENARIOS, VIEWS
+from checks.views import BIG_CONFIG, CORRECTED, EV_CONFIG, EV_FORECAST_DATE, EV_HOSPITAL_PATH, FORECAST_SCENARIOS, ODD_END, VIEWS
+from surgecast import StudyConfig
 from surgecast.functions import AGE_BANDS
+from surgecast.sources.linelists import data_date_of
 from surgecast.sources.readers import CASE_LINELIST_COLUMNS
 
 CFG = EV_CONFIG
-SEED = CFG.seed
 RATES = ["pr_hosp", "pr_ICU", "pr_ED", "pr_age_given_case"]
 CTES: dict[str, str] = {
     name: sql.format(lineitem="lineitem", orders="orders", events="events") for name, sql in VIEWS.items()
@@ -29,17 +30,17 @@ def band(age: str) -> str:
     )
 
 
-def uniform(purpose: str, *keys: str) -> str:
-    text = ", ".join([f"'{SEED}'", f"'{purpose}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
+def uniform_of(seed: int, purpose: str, *keys: str) -> str:
+    text = ", ".join([f"'{seed}'", f"'{purpose}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
     return f"((('0x' || substr(md5(concat_ws('|', {text})), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)"
 
 
 PRIME = 2147483647
 
 
-def seeds(purpose: str, *keys: str) -> str:
+def seeds_of(seed: int, purpose: str, *keys: str) -> str:
     """Columns c0..c7 for the units of one chunk."""
-    text = ", ".join([f"'{SEED}'", f"'{purpose}'", *[f"CAST({k} AS VARCHAR)" for k in keys], "CAST(chunk AS VARCHAR)"])
+    text = ", ".join([f"'{seed}'", f"'{purpose}'", *[f"CAST({k} AS VARCHAR)" for k in keys], "CAST(chunk AS VARCHAR)"])
     text = f"concat_ws('|', {text})"
     parts = [(text, k) for k in range(4)] + [(f"{text} || '|low'", k) for k in range(4)]
     return ", ".join(
@@ -92,7 +93,12 @@ def r9(*columns: str) -> str:
 # --- cleaning -----------------------------------------------------------------------------------
 
 
-def hospital_sql(view: str, start, row_id: str = "") -> str:
+def hospital_sql(view: str, start, row_id: str = "", data_date: str | None = None) -> str:
+    discharge, icu_end = "discharge_date", "last_icu_date"
+    if data_date:  # corrected: open stays end on the data date
+        discharge = f"CASE WHEN admit_date IS NOT NULL THEN coalesce(discharge_date, {data_date}) END"
+        icu_end = f"CASE WHEN first_icu_date IS NOT NULL THEN coalesce(last_icu_date, {data_date}) END"
+    known = " AND age >= 0" if data_date else ""
     return f"""
 SELECT {row_id} person_id, date_onset, age_group, date_admit, date_discharge,
   CASE WHEN icu1 >= icu0 THEN icu0 END AS "date_ICU_admit",
@@ -100,30 +106,13 @@ SELECT {row_id} person_id, date_onset, age_group, date_admit, date_discharge,
 FROM (
   SELECT {row_id} person_id, ncims_calc_onset_dt AS date_onset, {band("age")} AS age_group,
     CASE WHEN admit_date < ncims_calc_onset_dt THEN ncims_calc_onset_dt ELSE admit_date END AS date_admit,
-    discharge_date AS date_discharge,
+    {discharge} AS date_discharge,
     CASE WHEN first_icu_date < ncims_calc_onset_dt THEN ncims_calc_onset_dt ELSE first_icu_date END AS icu0,
-    last_icu_date AS icu1
-  FROM {view} WHERE ncims_calc_onset_dt >= {d(start)}) AS t
+    {icu_end} AS icu1
+  FROM {view} WHERE ncims_calc_onset_dt >= {d(start)}{known}) AS t
 WHERE age_group IS NOT NULL AND date_discharge >= date_admit"""
 
 
-CTES["big_stays"] = hospital_sql("big_hospital", BIG_CONFIG.study_start)
-CTES["big_mixed_stays"] = hospital_sql("big_hospital_mixed", BIG_CONFIG.study_start)
-CTES["stays"] = hospital_sql("ev_hospital", CFG.study_start, "row_id,")
-CTES["cases"] = f"""
-SELECT * FROM (SELECT CALCULATED_ONSET_DATE AS date_onset, {band("AGE_AT_EVENT_YEARS")} AS age_group FROM ev_cases)
-WHERE date_onset >= {d(CFG.study_start)} AND age_group IS NOT NULL"""
-CTES["presentations"] = f"""
-SELECT * FROM (SELECT row_id, person_id, ncims_calc_onset_dt AS date_onset, {band("age")} AS age_group,
-  presentation_date AS date_presentation FROM ev_ed)
-WHERE date_onset >= {d(CFG.study_start)} AND age_group IS NOT NULL"""
-CTES["asc_table"] = "SELECT date_onset, asc_rate AS a FROM ev_ascertainment"
-CTES["fc_dates"] = f"""
-SELECT least(h, c) - {CFG.lookback_days} AS date_estimates_start, h AS date_hospital_linelist,
-  c AS date_case_linelist, {d(EV_FORECAST_DATE)} AS date_forecast
-FROM (SELECT strptime(regexp_extract('{EV_HOSPITAL_PATH}', '\\d{{4}}_\\d{{2}}_\\d{{2}}'), '%Y_%m_%d')::DATE AS h,
-  max(date_onset) AS c FROM cases)"""
-
 # --- occupancy ------------------------------------------------------------------------------------
 
 
@@ -157,13 +146,6 @@ WHERE date <= (SELECT max(day) - 1 FROM occ_h) AND date >= {d(BIG_CONFIG.plot_st
     return sql
 
 
-# --- series helpers -------------------------------------------------------------------------------
-
-CTES["daily_by_age"] = """
-SELECT age_group, date_admit AS date, count(*) AS n, count("date_ICU_admit") AS n_icu FROM stays GROUP BY ALL"""
-CTES["gappy"] = "SELECT age_group, date, CASE WHEN n_icu > 0 THEN CAST(n AS DOUBLE) END AS x FROM daily_by_age"
-
-
 def rolling(table: str, value: str, out: str, width: int, agg: str, partition: str, order: str, keep: str) -> str:
     half = width // 2
     part = f"PARTITION BY {partition}" if partition else ""
@@ -174,10 +156,11 @@ FROM (SELECT *, {agg}({value}) OVER ({part} ORDER BY {order} ROWS BETWEEN {half}
   row_number() OVER ({part} ORDER BY {order}) AS rn, count(*) OVER ({part}) AS len FROM {table})"""
 
 
-def interpolated(table: str, values: list[str], partition: str, order: str, keep: str, extend: bool) -> str:
+def interpolated(table: str, values: list[str], partition: str, order: str, keep: str, extend: bool, by_date: bool = False) -> str:
     part = f"PARTITION BY {partition}" if partition else ""
     before = f"OVER ({part} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     after = f"OVER ({part} ORDER BY {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    position = f"{order} - DATE '2000-01-01'" if by_date else f"row_number() OVER ({part} ORDER BY {order})"
     neighbours, filled = [], []
     for x in values:
         pos = f"CASE WHEN {x} IS NOT NULL THEN pos END"
@@ -194,191 +177,247 @@ def interpolated(table: str, values: list[str], partition: str, order: str, keep
         )
     return f"""
 SELECT {keep}, {", ".join(filled)} FROM (SELECT *, {", ".join(neighbours)} FROM (
-  SELECT *, row_number() OVER ({part} ORDER BY {order}) AS pos FROM {table}))"""
-
-
-# --- rates ----------------------------------------------------------------------------------------
-
-CTES["first_stays"] = f"""
-SELECT * FROM stays, fc_dates
-WHERE date_onset >= date_estimates_start AND date_onset < date_hospital_linelist - {CFG.lag_days}
-QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY date_admit NULLS LAST, row_id) = 1"""
-CTES["first_visits"] = f"""
-SELECT * FROM presentations, fc_dates
-WHERE date_onset >= date_estimates_start AND date_onset < date_hospital_linelist - {CFG.lag_days}
-QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY date_presentation NULLS LAST, row_id) = 1"""
-CTES["stream_rows"] = f"""
-SELECT *, row_number() OVER (PARTITION BY stream ORDER BY age_group, date_onset, is_icu) - 1 AS pos FROM (
-  SELECT 'case' AS stream, age_group, date_onset, 0 AS is_icu FROM cases, fc_dates
-  WHERE date_onset >= date_estimates_start AND date_onset < date_case_linelist - {CFG.lag_days}
-  UNION ALL SELECT 'hosp', age_group, date_onset, CASE WHEN "date_ICU_admit" IS NOT NULL THEN 1 ELSE 0 END FROM first_stays
-  UNION ALL SELECT 'ed', age_group, date_onset, 0 FROM first_visits)"""
-CTES["boot_runs"] = f"""
-SELECT *, {seeds("boot", "stream", "bootstrap")} FROM (SELECT stream, n, bootstrap, {chunks("n")}
-  FROM (SELECT stream, count(*) AS n FROM stream_rows GROUP BY stream)
-  CROSS JOIN (SELECT CAST(unnest(range(1, {CFG.n_bootstraps + 1})) AS INTEGER) AS bootstrap))"""
-CTES["boot_draws"] = f"""
-SELECT stream, bootstrap, least(CAST(floor({seeded_uniform("i")} * n) AS BIGINT), n - 1) AS pos
-FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM boot_runs)"""
-CTES["resamples"] = "SELECT stream, bootstrap, age_group, date_onset, is_icu FROM boot_draws JOIN stream_rows USING (stream, pos)"
-CTES["numerators"] = """
-SELECT bootstrap, age_group, date_onset, n_case, coalesce(n_hosp, 0) AS n_hosp, coalesce(n_icu, 0) AS n_icu, coalesce(n_ed, 0) AS n_ed
-FROM (SELECT bootstrap, age_group, date_onset, count(*) AS n_case FROM resamples WHERE stream = 'case' GROUP BY ALL)
-LEFT JOIN (SELECT bootstrap, age_group, date_onset, count(*) AS n_hosp FROM resamples WHERE stream = 'hosp' GROUP BY ALL)
-  USING (bootstrap, age_group, date_onset)
-LEFT JOIN (SELECT bootstrap, age_group, date_onset, count(*) AS n_icu FROM resamples WHERE stream = 'hosp' AND is_icu = 1 GROUP BY ALL)
-  USING (bootstrap, age_group, date_onset)
-LEFT JOIN (SELECT bootstrap, age_group, date_onset, count(*) AS n_ed FROM resamples WHERE stream = 'ed' GROUP BY ALL)
-  USING (bootstrap, age_group, date_onset)"""
-CTES["recent_numerators"] = f"""
-SELECT * FROM numerators
-WHERE date_onset < (SELECT least(date_hospital_linelist, date_case_linelist) - {CFG.lag_days} FROM fc_dates)"""
-CTES["full_numerators"] = f"""
-SELECT bootstrap, age_group, date_onset, coalesce(n_case, 0) AS n_case, coalesce(n_hosp, 0) AS n_hosp,
-  coalesce(n_icu, 0) AS n_icu, coalesce(n_ed, 0) AS n_ed
-FROM (SELECT DISTINCT bootstrap FROM recent_numerators) CROSS JOIN (SELECT DISTINCT age_group FROM recent_numerators)
-CROSS JOIN (SELECT {days("min(date_onset)", "max(date_onset)")} AS date_onset FROM recent_numerators)
-LEFT JOIN recent_numerators USING (bootstrap, age_group, date_onset)"""
-_previous = "full_numerators"
-for _c in ("n_case", "n_hosp", "n_icu", "n_ed"):
-    CTES[f"rolled_{_c}"] = rolling(
-        _previous, _c, f"{_c}_7", 7, "sum", "bootstrap, age_group", "date_onset",
-        "* EXCLUDE (w, rn, len)",
-    )
-    _previous = f"rolled_{_c}"
-CTES["rates"] = f"""
-SELECT bootstrap, age_group, date_onset,
-  CASE WHEN n_case_7 <> 0 THEN CAST(n_hosp_7 AS DOUBLE) / CAST(n_case_7 AS DOUBLE) END AS pr_hosp,
-  CASE WHEN n_hosp_7 <> 0 THEN CAST(n_icu_7 AS DOUBLE) / CAST(n_hosp_7 AS DOUBLE) WHEN n_hosp_7 = 0 THEN 0.0::DOUBLE END AS "pr_ICU",
-  CASE WHEN n_case_7 <> 0 THEN CAST(n_ed_7 AS DOUBLE) / CAST(n_case_7 AS DOUBLE) END AS "pr_ED",
-  CASE WHEN total <> 0 THEN CAST(n_case_7 AS DOUBLE) / CAST(total AS DOUBLE) END AS pr_age_given_case
-FROM (SELECT *, sum(n_case_7) OVER (PARTITION BY bootstrap, date_onset) AS total FROM {_previous})"""
-
-# --- trajectory -----------------------------------------------------------------------------------
-
-CTES["padded_cases"] = f"""
-SELECT date_onset, coalesce(n, 0) AS n
-FROM (SELECT {days("date_estimates_start", f"date_case_linelist - {CFG.lag_days}")} AS date_onset FROM fc_dates)
-FULL JOIN (SELECT date_onset, count(*) AS n FROM cases
-  WHERE date_onset < (SELECT date_case_linelist - {CFG.lag_days} FROM fc_dates) GROUP BY ALL) USING (date_onset)"""
-CTES["smooth_cases"] = rolling("padded_cases", "n", "smooth", 3, "avg", "", "date_onset", "date_onset")
-CTES["backcast"] = f"""
-SELECT date_onset, CASE WHEN row_number() OVER (ORDER BY date_onset DESC) > 2 THEN smooth / a END AS n
-FROM smooth_cases LEFT JOIN asc_table USING (date_onset) WHERE date_onset >= (SELECT min(date_onset) FROM asc_table)"""
-CTES["unimputed"] = """
-SELECT scenario_label, date_onset, round_even(n, 0) AS n FROM (
-  SELECT scenario_label, date_onset, n FROM ev_forecast WHERE date_onset > (SELECT max(date_onset) FROM backcast)
-  UNION ALL SELECT scenario_label, date_onset, n FROM backcast CROSS JOIN (SELECT DISTINCT scenario_label FROM ev_forecast))"""
-CTES["imputable"] = f"""
-SELECT scenario_label, date_onset, n
-FROM (SELECT scenario_label, {days("min(date_onset)", "max(date_onset)")} AS date_onset FROM unimputed GROUP BY scenario_label)
-LEFT JOIN unimputed USING (scenario_label, date_onset)"""
-CTES["trajectory"] = interpolated("imputable", ["n"], "scenario_label", "date_onset", "scenario_label, date_onset", False)
-CTES["trajectory_range"] = """
-SELECT scenario_label, min(date_onset) AS first_day, max(date_onset) AS last_day FROM trajectory GROUP BY scenario_label"""
-CTES["rates_subset"] = """
-SELECT t.scenario_label, r.* FROM rates AS r JOIN trajectory_range AS t ON date_onset BETWEEN first_day AND last_day"""
-CTES["subset_range"] = """
-SELECT scenario_label, min(date_onset) AS first_rate, max(date_onset) AS last_rate FROM rates_subset GROUP BY scenario_label"""
-_cols = "bootstrap, age_group, pr_hosp, \"pr_ICU\", \"pr_ED\", pr_age_given_case"
-CTES["placed_rates"] = f"""
-SELECT scenario_label, date_onset, {_cols} FROM rates_subset
-UNION ALL SELECT scenario_label, date_onset + {CFG.hold_days}, {_cols} FROM rates_subset JOIN subset_range USING (scenario_label)
-  WHERE date_onset = last_rate
-UNION ALL SELECT scenario_label, last_rate + {CFG.anchor_days}, {_cols} FROM rates_subset JOIN subset_range USING (scenario_label)
-  WHERE date_onset = {d(CFG.anchor_date)}"""
-CTES["completed_rates"] = f"""
-SELECT scenario_label, date_onset, {_cols}
-FROM (SELECT scenario_label, {days("first_rate", "last_day")} AS date_onset FROM subset_range JOIN trajectory_range USING (scenario_label))
-JOIN (SELECT DISTINCT scenario_label, bootstrap FROM placed_rates) USING (scenario_label)
-JOIN (SELECT DISTINCT scenario_label, age_group FROM placed_rates) USING (scenario_label)
-FULL JOIN placed_rates USING (scenario_label, date_onset, bootstrap, age_group)"""
-CTES["filled_rates"] = interpolated(
-    "completed_rates", RATES, "scenario_label, bootstrap, age_group", "date_onset",
-    "scenario_label, bootstrap, age_group, date_onset", True,
-)
-CTES["rates_ahead"] = """
-SELECT scenario_label, bootstrap, age_group, date_onset, pr_hosp, "pr_ICU", "pr_ED",
-  pr_age_given_case / CASE WHEN count(*) OVER w = count(pr_age_given_case) OVER w THEN nullif(sum(pr_age_given_case) OVER w, 0) END
-    AS pr_age_given_case
-FROM filled_rates WINDOW w AS (PARTITION BY scenario_label, bootstrap, date_onset)"""
-CTES["asc_ahead"] = f"""
-SELECT scenario_label, date_onset, coalesce(
-  last_value(a IGNORE NULLS) OVER (PARTITION BY scenario_label ORDER BY date_onset ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-  first_value(a IGNORE NULLS) OVER (PARTITION BY scenario_label ORDER BY date_onset ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS a
-FROM (SELECT scenario_label, {days("first_rate", "last_day")} AS date_onset FROM subset_range JOIN trajectory_range USING (scenario_label))
-LEFT JOIN asc_table USING (date_onset)"""
-
-# --- simulation -----------------------------------------------------------------------------------
-
-_mature = "(SELECT date_hospital_linelist - 14 FROM fc_dates)"
+  SELECT *, {position} AS pos FROM {table}))"""
+
+
+MATURE = "(SELECT date_hospital_linelist - 14 FROM fc_dates)"
+_labels = ", ".join(f"'{s}'" for s in FORECAST_SCENARIOS)
+_bands = ", ".join(f"'{a}'" for a in AGE_BANDS)
 
 
 def stay_rows(group: str, start: str, end: str) -> str:
     return f"""
 SELECT '{group}' AS grp, age_group, person_id, list_sort(list(DISTINCT day) FILTER (day BETWEEN 0 AND 14)) AS days
 FROM (SELECT age_group, person_id, unnest(range(CAST({start} - date_onset AS BIGINT), CAST({end} - date_onset AS BIGINT) + 1)) AS day
-  FROM stays WHERE date_admit < {_mature} AND {start} IS NOT NULL)
+  FROM stays WHERE date_admit < {MATURE} AND {start} IS NOT NULL)
 GROUP BY ALL"""
 
 
-CTES["pattern_rows"] = f"""
-SELECT grp, age_group, days, CAST(coalesce(list_sum(list_transform(days, lambda x: 1 << x)), 0) AS BIGINT) AS mask FROM (
-  {stay_rows("ward", "date_admit", "date_discharge")}
-  UNION ALL {stay_rows("ICU", '"date_ICU_admit"', '"date_ICU_discharge"')}
-  UNION ALL SELECT DISTINCT 'ED', age_group, person_id, CASE WHEN date_presentation - date_onset BETWEEN 0 AND 14
-    THEN [CAST(date_presentation - date_onset AS BIGINT)] END FROM presentations WHERE date_presentation < {_mature})"""
-CTES["numbered_patterns"] = """
-SELECT *, row_number() OVER (PARTITION BY grp, age_group ORDER BY mask) - 1 AS pos FROM pattern_rows"""
-CTES["pattern_sizes"] = "SELECT grp, age_group, count(*) AS total FROM pattern_rows GROUP BY ALL"
-CTES["expected"] = """
-SELECT scenario_label, grp, bootstrap, age_group, date_onset, round(CASE grp
-    WHEN 'ward' THEN n * pr_age_given_case * pr_hosp * a
-    WHEN 'ICU' THEN n * pr_age_given_case * pr_hosp * "pr_ICU" * a
-    ELSE n * pr_age_given_case * "pr_ED" * a END, 9) AS x
-FROM trajectory JOIN rates_ahead USING (scenario_label, date_onset) JOIN asc_ahead USING (scenario_label, date_onset)
-CROSS JOIN (VALUES ('ward'), ('ICU'), ('ED')) AS g(grp)"""
-_u = uniform("round", "scenario_label", "grp", "bootstrap", "age_group", "date_onset")
-CTES["realised"] = f"""
-SELECT *, CAST(CASE WHEN (CASE grp WHEN 'ward' THEN x - floor(x) ELSE x END) >= u
-  THEN round_even(x + 0.5, 0) ELSE round_even(x - 0.5, 0) END AS BIGINT) AS n
-FROM (SELECT *, {_u} AS u FROM expected)"""
-_bands = ", ".join(f"'{a}'" for a in AGE_BANDS)
-CTES["patient_chunks"] = f"""
-SELECT *, {seeds("draw", "scenario_label", "grp", "bootstrap", "age_group", "date_onset")} FROM (
-  SELECT scenario_label, grp, bootstrap, age_group, date_onset, total, n, {chunks("n")}
-  FROM realised JOIN pattern_sizes USING (grp, age_group) WHERE n > 0 AND age_group IN ({_bands}))"""
-CTES["patients"] = f"""
-SELECT scenario_label, grp, bootstrap, age_group, date_onset, days, mask
-FROM (SELECT *, least(CAST(floor({seeded_uniform("i")} * total) AS BIGINT), total - 1) AS pos
-  FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM patient_chunks))
-JOIN numbered_patterns USING (grp, age_group, pos)"""
-CTES["occupied"] = """
-SELECT scenario_label, grp, bootstrap, age_group, date, count(*) AS n
-FROM (SELECT scenario_label, grp, bootstrap, age_group, date_onset + CAST(unnest(days) AS INTEGER) AS date
-  FROM patients WHERE grp <> 'ED') GROUP BY ALL"""
-CTES["admitted"] = """
-SELECT scenario_label, grp, bootstrap, age_group, date_onset + CAST(days[1] AS INTEGER) AS date, count(*) AS n
-FROM patients WHERE len(days) > 0 GROUP BY ALL"""
-_clip = "date >= (SELECT date_estimates_start + 14 FROM fc_dates) AND date <= last_day"
-CTES["beds"] = f"""
-SELECT scenario_label, grp, bootstrap, age_group, date, coalesce(n, 0) AS n
-FROM (SELECT scenario_label, grp, {days("min(date)", "max(date)")} AS date FROM occupied GROUP BY scenario_label, grp)
-JOIN (SELECT DISTINCT scenario_label, grp, bootstrap FROM occupied) USING (scenario_label, grp)
-JOIN (SELECT DISTINCT scenario_label, grp, age_group FROM occupied) USING (scenario_label, grp)
-LEFT JOIN occupied USING (scenario_label, grp, bootstrap, age_group, date)
-JOIN trajectory_range USING (scenario_label) WHERE {_clip}"""
-CTES["ed_rows"] = f"""
-SELECT scenario_label, bootstrap, age_group, date, n FROM admitted JOIN trajectory_range USING (scenario_label)
-WHERE grp = 'ED' AND {_clip}"""
-CTES["outputs"] = f"""
-SELECT scenario_label, bootstrap, date, age_group, grp, coalesce(n, 0) AS count, coalesce(adm, 0) AS admissions FROM (
-  SELECT b.*, a.n AS adm FROM beds AS b LEFT JOIN admitted AS a USING (scenario_label, grp, bootstrap, age_group, date)
-  UNION ALL BY NAME
-  SELECT scenario_label, e.bootstrap, date, age_group, CASE WHEN e.n IS NOT NULL THEN 'ED' END AS grp, 0 AS n, e.n AS adm
-  FROM (SELECT scenario_label, {days("min(date)", "max(date)")} AS date FROM beds WHERE grp = 'ward' GROUP BY scenario_label)
-  JOIN (SELECT DISTINCT scenario_label, age_group FROM ed_rows) USING (scenario_label)
-  FULL JOIN ed_rows AS e USING (scenario_label, date, age_group))"""
+def define(CFG: StudyConfig, odd: bool = False) -> None:
+    """The CTEs of a study. ``odd``: the trajectory has a scenario that ends early and one without rates."""
+    SEED = CFG.seed
+    data_date = d(data_date_of(EV_HOSPITAL_PATH)) if CFG.corrected else None
+
+    def uniform(purpose: str, *keys: str) -> str:
+        return uniform_of(SEED, purpose, *keys)
+
+    def seeds(purpose: str, *keys: str) -> str:
+        return seeds_of(SEED, purpose, *keys)
+
+    CTES["big_stays"] = hospital_sql("big_hospital", BIG_CONFIG.study_start)
+    CTES["big_mixed_stays"] = hospital_sql("big_hospital_mixed", BIG_CONFIG.study_start)
+    CTES["stays"] = hospital_sql("ev_hospital", CFG.study_start, "row_id,", data_date)
+    known = "AND age_group <> 'invalid'" if CFG.corrected else ""
+    CTES["cases"] = f"""
+    SELECT * FROM (SELECT CALCULATED_ONSET_DATE AS date_onset, {band("AGE_AT_EVENT_YEARS")} AS age_group FROM ev_cases)
+    WHERE date_onset >= {d(CFG.study_start)} AND age_group IS NOT NULL {known}"""
+    CTES["presentations"] = f"""
+    SELECT * FROM (SELECT row_id, person_id, ncims_calc_onset_dt AS date_onset, {band("age")} AS age_group,
+      presentation_date AS date_presentation FROM ev_ed)
+    WHERE date_onset >= {d(CFG.study_start)} AND age_group IS NOT NULL {known}"""
+    CTES["asc_table"] = "SELECT date_onset, asc_rate AS a FROM ev_ascertainment"
+    CTES["fc_dates"] = f"""
+    SELECT least(h, c) - {CFG.lookback_days} AS date_estimates_start, h AS date_hospital_linelist,
+      c AS date_case_linelist, {d(EV_FORECAST_DATE)} AS date_forecast
+    FROM (SELECT strptime(regexp_extract('{EV_HOSPITAL_PATH}', '\\d{{4}}_\\d{{2}}_\\d{{2}}'), '%Y_%m_%d')::DATE AS h,
+      max(date_onset) AS c FROM cases)"""
+
+    # --- series helpers -------------------------------------------------------------------------------
+
+    CTES["daily_by_age"] = """
+    SELECT age_group, date_admit AS date, count(*) AS n, count("date_ICU_admit") AS n_icu FROM big_stays GROUP BY ALL"""
+    CTES["gappy"] = "SELECT age_group, date, CASE WHEN n_icu > 0 THEN CAST(n AS DOUBLE) END AS x FROM daily_by_age"
+
+
+    # --- rates ----------------------------------------------------------------------------------------
+
+    CTES["first_stays"] = f"""
+    SELECT * FROM stays, fc_dates
+    WHERE date_onset >= date_estimates_start AND date_onset < date_hospital_linelist - {CFG.lag_days}
+    QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY date_admit NULLS LAST, row_id) = 1"""
+    CTES["first_visits"] = f"""
+    SELECT * FROM presentations, fc_dates
+    WHERE date_onset >= date_estimates_start AND date_onset < date_hospital_linelist - {CFG.lag_days}
+    QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY date_presentation NULLS LAST, row_id) = 1"""
+    CTES["stream_rows"] = f"""
+    SELECT *, row_number() OVER (PARTITION BY stream ORDER BY age_group, date_onset, is_icu) - 1 AS pos FROM (
+      SELECT 'case' AS stream, age_group, date_onset, 0 AS is_icu FROM cases, fc_dates
+      WHERE date_onset >= date_estimates_start AND date_onset < date_case_linelist - {CFG.lag_days}
+      UNION ALL SELECT 'hosp', age_group, date_onset, CASE WHEN "date_ICU_admit" IS NOT NULL THEN 1 ELSE 0 END FROM first_stays
+      UNION ALL SELECT 'ed', age_group, date_onset, 0 FROM first_visits)"""
+    CTES["boot_runs"] = f"""
+    SELECT *, {seeds("boot", "stream", "bootstrap")} FROM (SELECT stream, n, bootstrap, {chunks("n")}
+      FROM (SELECT stream, count(*) AS n FROM stream_rows GROUP BY stream)
+      CROSS JOIN (SELECT CAST(unnest(range(1, {CFG.n_bootstraps + 1})) AS INTEGER) AS bootstrap))"""
+    CTES["boot_draws"] = f"""
+    SELECT stream, bootstrap, least(CAST(floor({seeded_uniform("i")} * n) AS BIGINT), n - 1) AS pos
+    FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM boot_runs)"""
+    CTES["resamples"] = "SELECT stream, bootstrap, age_group, date_onset, is_icu FROM boot_draws JOIN stream_rows USING (stream, pos)"
+    CTES["numerators"] = """
+    SELECT bootstrap, age_group, date_onset, n_case, coalesce(n_hosp, 0) AS n_hosp, coalesce(n_icu, 0) AS n_icu, coalesce(n_ed, 0) AS n_ed
+    FROM (SELECT bootstrap, age_group, date_onset, count(*) AS n_case FROM resamples WHERE stream = 'case' GROUP BY ALL)
+    LEFT JOIN (SELECT bootstrap, age_group, date_onset, count(*) AS n_hosp FROM resamples WHERE stream = 'hosp' GROUP BY ALL)
+      USING (bootstrap, age_group, date_onset)
+    LEFT JOIN (SELECT bootstrap, age_group, date_onset, count(*) AS n_icu FROM resamples WHERE stream = 'hosp' AND is_icu = 1 GROUP BY ALL)
+      USING (bootstrap, age_group, date_onset)
+    LEFT JOIN (SELECT bootstrap, age_group, date_onset, count(*) AS n_ed FROM resamples WHERE stream = 'ed' GROUP BY ALL)
+      USING (bootstrap, age_group, date_onset)"""
+    CTES["recent_numerators"] = f"""
+    SELECT * FROM numerators
+    WHERE date_onset < (SELECT least(date_hospital_linelist, date_case_linelist) - {CFG.lag_days} FROM fc_dates)"""
+    CTES["full_numerators"] = f"""
+    SELECT bootstrap, age_group, date_onset, coalesce(n_case, 0) AS n_case, coalesce(n_hosp, 0) AS n_hosp,
+      coalesce(n_icu, 0) AS n_icu, coalesce(n_ed, 0) AS n_ed
+    FROM (SELECT DISTINCT bootstrap FROM recent_numerators) CROSS JOIN (SELECT DISTINCT age_group FROM recent_numerators)
+    CROSS JOIN (SELECT {days("min(date_onset)", "max(date_onset)")} AS date_onset FROM recent_numerators)
+    LEFT JOIN recent_numerators USING (bootstrap, age_group, date_onset)"""
+    _previous = "full_numerators"
+    for _c in ("n_case", "n_hosp", "n_icu", "n_ed"):
+        CTES[f"rolled_{_c}"] = rolling(
+            _previous, _c, f"{_c}_7", 7, "sum", "bootstrap, age_group", "date_onset",
+            "* EXCLUDE (w, rn, len)",
+        )
+        _previous = f"rolled_{_c}"
+    CTES["rates"] = f"""
+    SELECT bootstrap, age_group, date_onset,
+      CASE WHEN n_case_7 <> 0 THEN CAST(n_hosp_7 AS DOUBLE) / CAST(n_case_7 AS DOUBLE) END AS pr_hosp,
+      CASE WHEN n_hosp_7 <> 0 THEN CAST(n_icu_7 AS DOUBLE) / CAST(n_hosp_7 AS DOUBLE) WHEN n_hosp_7 = 0 THEN 0.0::DOUBLE END AS "pr_ICU",
+      CASE WHEN n_case_7 <> 0 THEN CAST(n_ed_7 AS DOUBLE) / CAST(n_case_7 AS DOUBLE) END AS "pr_ED",
+      CASE WHEN total <> 0 THEN CAST(n_case_7 AS DOUBLE) / CAST(total AS DOUBLE) END AS pr_age_given_case
+    FROM (SELECT *, sum(n_case_7) OVER (PARTITION BY bootstrap, date_onset) AS total FROM {_previous})"""
+
+    # --- trajectory -----------------------------------------------------------------------------------
+
+    CTES["padded_cases"] = f"""
+    SELECT date_onset, coalesce(n, 0) AS n
+    FROM (SELECT {days("date_estimates_start", f"date_case_linelist - {CFG.lag_days}")} AS date_onset FROM fc_dates)
+    FULL JOIN (SELECT date_onset, count(*) AS n FROM cases
+      WHERE date_onset < (SELECT date_case_linelist - {CFG.lag_days} FROM fc_dates) GROUP BY ALL) USING (date_onset)"""
+    CTES["smooth_cases"] = rolling("padded_cases", "n", "smooth", 3, "avg", "", "date_onset", "date_onset")
+    CTES["backcast"] = f"""
+    SELECT date_onset, CASE WHEN row_number() OVER (ORDER BY date_onset DESC) > 2 THEN smooth / a END AS n
+    FROM smooth_cases LEFT JOIN asc_table USING (date_onset) WHERE date_onset >= (SELECT min(date_onset) FROM asc_table)"""
+    CTES["forecast_rows"] = f"""
+    SELECT scenario_label, date_onset, n
+    FROM (SELECT DISTINCT date_onset FROM ev_forecast) CROSS JOIN (SELECT unnest([{_labels}]) AS scenario_label)
+    LEFT JOIN ev_forecast USING (scenario_label, date_onset)"""
+    CTES["unimputed"] = """
+    SELECT scenario_label, date_onset, round_even(n, 0) AS n FROM (
+      SELECT scenario_label, date_onset, n FROM forecast_rows WHERE date_onset > (SELECT max(date_onset) FROM backcast)
+      UNION ALL SELECT scenario_label, date_onset, n FROM backcast CROSS JOIN (SELECT DISTINCT scenario_label FROM ev_forecast))"""
+    CTES["imputable"] = f"""
+    SELECT scenario_label, date_onset, n
+    FROM (SELECT scenario_label, {days("min(date_onset)", "max(date_onset)")} AS date_onset FROM unimputed GROUP BY scenario_label)
+    LEFT JOIN unimputed USING (scenario_label, date_onset)"""
+    CTES["plain_trajectory"] = interpolated("imputable", ["n"], "scenario_label", "date_onset", "scenario_label, date_onset", False)
+    more = f"""
+    UNION ALL SELECT '0-SHORT', date_onset, n FROM plain_trajectory WHERE scenario_label = '1-URGENT' AND date_onset <= {d(ODD_END)}
+    UNION ALL SELECT '6-LATE', date_onset + 200, n FROM plain_trajectory WHERE scenario_label = '1-URGENT'"""
+    CTES["trajectory"] = "SELECT * FROM plain_trajectory" + (more if odd else "")
+    CTES["trajectory_range"] = """
+    SELECT scenario_label, min(date_onset) AS first_day, max(date_onset) AS last_day FROM trajectory GROUP BY scenario_label"""
+    CTES["rates_subset"] = """
+    SELECT t.scenario_label, r.* FROM rates AS r JOIN trajectory_range AS t ON date_onset BETWEEN first_day AND last_day"""
+    CTES["subset_range"] = """
+    SELECT scenario_label, min(date_onset) AS first_rate, max(date_onset) AS last_rate FROM rates_subset GROUP BY scenario_label"""
+    _cols = "bootstrap, age_group, pr_hosp, \"pr_ICU\", \"pr_ED\", pr_age_given_case"
+    CTES["placed_rates"] = f"""
+    SELECT scenario_label, date_onset, {_cols} FROM rates_subset
+    UNION ALL SELECT scenario_label, date_onset + {CFG.hold_days}, {_cols} FROM rates_subset JOIN subset_range USING (scenario_label)
+      WHERE date_onset = last_rate
+    UNION ALL SELECT scenario_label, last_rate + {CFG.anchor_days}, {_cols} FROM rates_subset JOIN subset_range USING (scenario_label)
+      WHERE date_onset = {d(CFG.anchor_date)}"""
+    CTES["completed_rates"] = f"""
+    SELECT scenario_label, date_onset, {_cols}
+    FROM (SELECT scenario_label, {days("first_rate", "last_day")} AS date_onset FROM subset_range JOIN trajectory_range USING (scenario_label))
+    JOIN (SELECT DISTINCT scenario_label, bootstrap FROM placed_rates) USING (scenario_label)
+    JOIN (SELECT DISTINCT scenario_label, age_group FROM placed_rates) USING (scenario_label)
+    FULL JOIN placed_rates USING (scenario_label, date_onset, bootstrap, age_group)"""
+    CTES["filled_rates"] = interpolated(
+        "completed_rates", RATES, "scenario_label, bootstrap, age_group", "date_onset",
+        "scenario_label, bootstrap, age_group, date_onset", True, CFG.corrected,
+    )
+    whole = "true" if CFG.corrected else "count(*) OVER w = count(pr_age_given_case) OVER w"
+    CTES["rates_ahead"] = f"""
+    SELECT scenario_label, bootstrap, age_group, date_onset, pr_hosp, "pr_ICU", "pr_ED",
+      pr_age_given_case / CASE WHEN {whole} THEN nullif(sum(pr_age_given_case) OVER w, 0) END
+        AS pr_age_given_case
+    FROM filled_rates WINDOW w AS (PARTITION BY scenario_label, bootstrap, date_onset)"""
+    CTES["asc_ahead"] = f"""
+    SELECT scenario_label, date_onset, coalesce(
+      last_value(a IGNORE NULLS) OVER (PARTITION BY scenario_label ORDER BY date_onset ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      first_value(a IGNORE NULLS) OVER (PARTITION BY scenario_label ORDER BY date_onset ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS a
+    FROM (SELECT scenario_label, {days("first_rate", "last_day")} AS date_onset FROM subset_range JOIN trajectory_range USING (scenario_label))
+    LEFT JOIN asc_table USING (date_onset)"""
+
+    # --- simulation -----------------------------------------------------------------------------------
+
+
+
+    CTES["pattern_rows"] = f"""
+    SELECT grp, age_group, days, CAST(coalesce(list_sum(list_transform(days, lambda x: 1 << x)), 0) AS BIGINT) AS mask FROM (
+      {stay_rows("ward", "date_admit", "date_discharge")}
+      UNION ALL {stay_rows("ICU", '"date_ICU_admit"', '"date_ICU_discharge"')}
+      UNION ALL SELECT DISTINCT 'ED', age_group, person_id, CASE WHEN date_presentation - date_onset BETWEEN 0 AND 14
+        THEN [CAST(date_presentation - date_onset AS BIGINT)] END FROM presentations WHERE date_presentation < {MATURE})"""
+    CTES["numbered_patterns"] = """
+    SELECT *, row_number() OVER (PARTITION BY grp, age_group ORDER BY mask) - 1 AS pos FROM pattern_rows"""
+    CTES["pattern_sizes"] = "SELECT grp, age_group, count(*) AS total FROM pattern_rows GROUP BY ALL"
+    CTES["expected"] = """
+    SELECT scenario_label, grp, bootstrap, age_group, date_onset, round(CASE grp
+        WHEN 'ward' THEN n * pr_age_given_case * pr_hosp * a
+        WHEN 'ICU' THEN n * pr_age_given_case * pr_hosp * "pr_ICU" * a
+        ELSE n * pr_age_given_case * "pr_ED" * a END, 9) AS x
+    FROM trajectory JOIN rates_ahead USING (scenario_label, date_onset) JOIN asc_ahead USING (scenario_label, date_onset)
+    CROSS JOIN (VALUES ('ward'), ('ICU'), ('ED')) AS g(grp)"""
+    _u = uniform("round", "scenario_label", "grp", "bootstrap", "age_group", "date_onset")
+    rounded = "CAST(floor(x) AS BIGINT) + CASE WHEN x - floor(x) > u THEN 1 ELSE 0 END"
+    if not CFG.corrected:
+        rounded = """CAST(CASE WHEN (CASE grp WHEN 'ward' THEN x - floor(x) ELSE x END) >= u
+          THEN round_even(x + 0.5, 0) ELSE round_even(x - 0.5, 0) END AS BIGINT)"""
+    CTES["realised"] = f"SELECT *, {rounded} AS n FROM (SELECT *, {_u} AS u FROM expected)"
+    CTES["patient_chunks"] = f"""
+    SELECT *, {seeds("draw", "scenario_label", "grp", "bootstrap", "age_group", "date_onset")} FROM (
+      SELECT scenario_label, grp, bootstrap, age_group, date_onset, total, n, {chunks("n")}
+      FROM realised JOIN pattern_sizes USING (grp, age_group) WHERE n > 0 AND age_group IN ({_bands}))"""
+    CTES["patients"] = f"""
+    SELECT scenario_label, grp, bootstrap, age_group, date_onset, days, mask
+    FROM (SELECT *, least(CAST(floor({seeded_uniform("i")} * total) AS BIGINT), total - 1) AS pos
+      FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM patient_chunks))
+    JOIN numbered_patterns USING (grp, age_group, pos)"""
+    CTES["occupied"] = """
+    SELECT scenario_label, grp, bootstrap, age_group, date, count(*) AS n
+    FROM (SELECT scenario_label, grp, bootstrap, age_group, date_onset + CAST(unnest(days) AS INTEGER) AS date
+      FROM patients WHERE grp <> 'ED') GROUP BY ALL"""
+    CTES["admitted"] = """
+    SELECT scenario_label, grp, bootstrap, age_group, date_onset + CAST(days[1] AS INTEGER) AS date, count(*) AS n
+    FROM patients WHERE len(days) > 0 GROUP BY ALL"""
+    _clip = "date >= (SELECT date_estimates_start + 14 FROM fc_dates) AND date <= last_day"
+    CTES["beds"] = f"""
+    SELECT scenario_label, grp, bootstrap, age_group, date, coalesce(n, 0) AS n
+    FROM (SELECT scenario_label, grp, {days("min(date)", "max(date)")} AS date FROM occupied GROUP BY scenario_label, grp)
+    JOIN (SELECT DISTINCT scenario_label, grp, bootstrap FROM occupied) USING (scenario_label, grp)
+    JOIN (SELECT DISTINCT scenario_label, grp, age_group FROM occupied) USING (scenario_label, grp)
+    LEFT JOIN occupied USING (scenario_label, grp, bootstrap, age_group, date)
+    JOIN trajectory_range USING (scenario_label) WHERE {_clip}"""
+    CTES["ed_rows"] = f"""
+    SELECT scenario_label, bootstrap, age_group, date, n FROM admitted JOIN trajectory_range USING (scenario_label)
+    WHERE grp = 'ED' AND {_clip}"""
+    seen = "scenario_label, date, age_group" + (", bootstrap" if CFG.corrected else "")
+    members = "JOIN (SELECT DISTINCT scenario_label, bootstrap FROM ed_rows) USING (scenario_label)" if CFG.corrected else ""
+    bootstrap = "bootstrap" if CFG.corrected else "e.bootstrap"
+    group = "'ED'" if CFG.corrected else "CASE WHEN e.n IS NOT NULL THEN 'ED' END"
+    CTES["outputs"] = f"""
+    SELECT scenario_label, bootstrap, date, age_group, grp, coalesce(n, 0) AS count, coalesce(adm, 0) AS admissions FROM (
+      SELECT b.*, a.n AS adm FROM beds AS b LEFT JOIN admitted AS a USING (scenario_label, grp, bootstrap, age_group, date)
+      UNION ALL BY NAME
+      SELECT scenario_label, {bootstrap}, date, age_group, {group} AS grp, 0 AS n, e.n AS adm
+      FROM (SELECT scenario_label, {days("min(date)", "max(date)")} AS date FROM beds WHERE grp = 'ward' GROUP BY scenario_label)
+      JOIN (SELECT DISTINCT scenario_label, age_group FROM ed_rows) USING (scenario_label) {members}
+      FULL JOIN ed_rows AS e USING ({seen}))"""
+
+
+define(CFG)
 
 # --- queries --------------------------------------------------------------------------------------
 
@@ -411,12 +450,7 @@ SELECT date_onset, age_group FROM (
 ORACLE["read_case_linelist"] = _case_lines()
 ORACLE["age_band_counts_to_linelist"] = _counted_units()
 ORACLE["ascertainment"] = build('SELECT date_onset, a AS "asc" FROM asc_table')
-_slots = "SELECT DISTINCT date_onset FROM ev_forecast"
-_labels = ", ".join(f"'{s}'" for s in FORECAST_SCENARIOS)
-ORACLE["scenario_forecast_long"] = build(f"""
-SELECT scenario_label, date_onset, n AS count
-FROM ({_slots}) CROSS JOIN (SELECT unnest([{_labels}]) AS scenario_label)
-LEFT JOIN ev_forecast USING (scenario_label, date_onset)""")
+ORACLE["scenario_forecast_long"] = build("SELECT scenario_label, date_onset, n AS count FROM forecast_rows")
 ORACLE["age_band"] = build(f"SELECT {band('age')} AS age_group, count(*) AS n FROM big_hospital GROUP BY 1")
 ORACLE["format_cases"] = build("SELECT * FROM cases")
 ORACLE["format_hospital"] = build("SELECT * FROM big_stays")
@@ -446,7 +480,8 @@ for _name, _extend in (("interpolate_linear", False), ("interpolate_constant_end
         f"SELECT age_group, date, {r9('x')} FROM ({interpolated('gappy', ['x'], 'age_group', 'date', 'age_group, date', _extend)})"
     )
 ORACLE["first_stay_per_person"] = build("""
-SELECT * FROM stays QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY date_admit NULLS LAST, row_id) = 1""")
+SELECT * FROM big_stays QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY date_admit NULLS LAST, date_onset NULLS LAST,
+  age_group NULLS LAST, date_discharge NULLS LAST, "date_ICU_admit" NULLS LAST, "date_ICU_discharge" NULLS LAST) = 1""")
 CTES["order_members"] = """
 SELECT o_orderpriority, o_orderstatus, o_orderkey % 50 AS member, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS x
 FROM orders GROUP BY ALL"""
@@ -506,11 +541,6 @@ SELECT date_onset, age_group, CASE WHEN {_known} THEN round(median("{_rate}"), 9
   CASE WHEN {_band} THEN round(quantile_cont("{_rate}", 0.95), 9) END AS upper_90
 FROM rates {_where} GROUP BY ALL""")
 ORACLE["case_trajectory"] = build("SELECT scenario_label, date_onset, round(n, 9) AS count FROM trajectory")
-ORACLE["extend_rates"] = build(
-    f"SELECT scenario_label, bootstrap, age_group, date_onset, {_rounded_rates} FROM rates_ahead"
-)
-ORACLE["extend_ascertainment"] = build('SELECT scenario_label, date_onset, a AS "asc" FROM asc_ahead')
-
 _text = "coalesce(array_to_string(days, ','), '')"
 for _group in ("ward", "ICU", "ED"):
     _name = _group.lower()
@@ -524,11 +554,6 @@ FROM (SELECT grp AS "group", age_group, {_text} AS days, count(*) AS n FROM patt
 SELECT scenario_label, bootstrap, age_group, date_onset, x AS expected, n FROM realised WHERE grp = '{_group}'""")
     ORACLE[f"draw_{_name}"] = build(f"""
 SELECT bootstrap, age_group, {_text} AS days, count(*) AS n FROM patients WHERE grp = '{_group}' GROUP BY ALL""")
-ORACLE["rejected_cells"] = build(f"""
-SELECT * FROM (SELECT scenario_label, grp AS "group", bootstrap, age_group, date_onset, x AS expected, n,
-  CASE WHEN x IS NULL THEN 'no expected count' WHEN age_group NOT IN ({_bands}) THEN 'age outside the model'
-    WHEN n > 0 AND total IS NULL THEN 'no pattern for age group' END AS reason
-  FROM realised LEFT JOIN pattern_sizes USING (grp, age_group)) WHERE reason IS NOT NULL""")
 _out_keys = 'scenario_label, grp AS "group", bootstrap, age_group, date'
 ORACLE["sampled_occupancy"] = build(f"SELECT {_out_keys}, n AS occupied FROM beds")
 ORACLE["sampled_admissions"] = build(f"SELECT {_out_keys}, n AS admitted FROM admitted WHERE grp <> 'ED'")
@@ -541,10 +566,10 @@ SELECT scenario_label, bootstrap, date, grp AS "group", age_group, CAST(sum(admi
 FROM outputs GROUP BY ALL""")
 
 
-def _fan(value: str, by: str) -> str:
+def _fan(value: str, by: str, corrected: bool = False) -> str:
     ids = f"scenario_label, date, grp{by}"
     totals = f"SELECT {ids}, bootstrap, sum({value}) AS x FROM outputs GROUP BY ALL"
-    if by and value == "admissions":
+    if corrected or by and value == "admissions":
         totals = f"""
 SELECT {ids}, coalesce(x, 0) AS x FROM (SELECT DISTINCT {ids} FROM outputs) AS i
 CROSS JOIN (SELECT DISTINCT bootstrap FROM outputs) AS m
@@ -565,3 +590,48 @@ FROM member_totals GROUP BY ALL"""
 for _value, _name in (("count", "occupancy"), ("admissions", "admissions")):
     for _by, _suffix in (("", ""), (", age_group", "_aged")):
         ORACLE[f"fan_{_name}{_suffix}"] = _fan(_value, _by)
+
+# --- a trajectory with a scenario that ends early and one without rates ----------------------------
+
+define(CFG, odd=True)
+ORACLE["extend_rates"] = build(
+    f"SELECT scenario_label, bootstrap, age_group, date_onset, {_rounded_rates} FROM rates_ahead"
+)
+ORACLE["extend_ascertainment"] = build('SELECT scenario_label, date_onset, a AS "asc" FROM asc_ahead')
+ORACLE["rejected_cells"] = build(f"""
+SELECT * FROM (SELECT scenario_label, grp AS "group", bootstrap, age_group, date_onset, x AS expected, n,
+  CASE WHEN x IS NULL THEN 'no expected count' WHEN age_group NOT IN ({_bands}) THEN 'age outside the model'
+    WHEN n > 0 AND total IS NULL THEN 'no pattern for age group' END AS reason
+  FROM realised LEFT JOIN pattern_sizes USING (grp, age_group)) WHERE reason IS NOT NULL
+UNION ALL SELECT scenario_label, NULL, NULL, NULL, NULL, NULL, NULL, 'no rates for scenario'
+FROM trajectory_range ANTI JOIN subset_range USING (scenario_label)""")
+
+# --- corrected semantics --------------------------------------------------------------------------
+
+define(CORRECTED)
+ORACLE["format_hospital_corrected"] = build("SELECT * FROM stays")
+ORACLE["extend_rates_corrected"] = build(
+    f"SELECT scenario_label, bootstrap, age_group, date_onset, {_rounded_rates} FROM rates_ahead"
+)
+ORACLE["forecast_outputs_corrected"] = build(f"SELECT {_out_keys}, count, admissions FROM outputs")
+ORACLE["fan_admissions_aged_corrected"] = _fan("admissions", ", age_group", corrected=True)
+define(CFG)
+
+# --- stored and counted ---------------------------------------------------------------------------
+
+ORACLE["case_band_counts"] = f"SELECT date_onset, age_group, count(*) AS n FROM ({ORACLE['age_band_counts_to_linelist']}) GROUP BY ALL"
+ORACLE["bootstrap_multinomial_totals"] = build(f"""
+SELECT stream, bootstrap, n, true AS supported FROM (SELECT stream, count(*) AS n FROM stream_rows GROUP BY stream)
+CROSS JOIN (SELECT CAST(unnest(range(1, {CFG.n_bootstraps + 1})) AS INTEGER) AS bootstrap)""")
+_kept = {
+    "case_counts": "(SELECT DISTINCT date_onset, age_group FROM cases)",
+    "hospital_linelist": "stays",
+    "ED_linelist": "presentations",
+    "ascertainment": "asc_table",
+    "case_forecast": "forecast_rows",
+    "forecast_dates": "fc_dates",
+    "time_varying_estimates": "rates",
+    "case_trajectory": "trajectory",
+    "outputs": "outputs",
+}
+ORACLE["stored_study"] = build(" UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM {table}" for name, table in _kept.items()))

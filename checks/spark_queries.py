@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
+from surgecast import StudyConfig
 from surgecast.functions import age_band
 from surgecast.operators.quantiles import central_intervals
 from surgecast.operators.reshape import complete_daily, stay_days
 from surgecast.operators.sampling import bootstrap_counts
 from surgecast.operators.series import fill_downup, first_per_group, interpolate, rolling_extend
-from surgecast.operators.staging import stage
+from surgecast.operators.staging import shared_folder, stage
 from surgecast.plans import forecast as fc
 from surgecast.plans import occupancy, rates, study, summaries
 from surgecast.plans.trajectory import make_case_trajectory
@@ -21,6 +25,11 @@ from surgecast.sources import linelists, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = v.EV_CONFIG
+# Tables of a stored study that are read back.
+STORED = [
+    "case_counts", "hospital_linelist", "ED_linelist", "ascertainment", "case_forecast", "forecast_dates",
+    "time_varying_estimates", "case_trajectory", "outputs",
+]
 QUERIES: dict[str, Query] = {}
 
 
@@ -36,8 +45,8 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 9) for c in columns})
 
 
-def _dates(spark: SparkSession, sf: str):
-    return linelists.resolve_forecast_dates(v.cases(spark, sf), v.EV_HOSPITAL_PATH, v.EV_FORECAST_DATE, CFG)
+def _dates(spark: SparkSession, sf: str, cfg: StudyConfig = CFG):
+    return linelists.resolve_forecast_dates(v.cases(spark, sf, cfg), v.EV_HOSPITAL_PATH, v.EV_FORECAST_DATE, cfg)
 
 
 # --- sources and cleaning ---------------------------------------------------------------------
@@ -45,21 +54,27 @@ def _dates(spark: SparkSession, sf: str):
 
 @query("read_case_linelist")
 def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A file whose columns are in reverse order and whose dates use slashes in every second row."""
     day = F.col("ts").cast("date")
-    iso = F.date_format(day, "yyyy-MM-dd")
+    text = F.when(F.col("event_id") % 2 == 0, F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "yyyy/M/d"))
     bad_age = F.when(F.col("event_id") % 13 == 0, "unknown").otherwise((F.col("user_id") % 100).cast("string"))
-    bad_day = F.when(F.col("event_id") % 17 == 0, "31/31/2024").otherwise(iso)
+    bad_day = F.when(F.col("event_id") % 17 == 0, "31/31/2024").otherwise(text)
     fields = [
-        F.col("event_id").cast("string"), F.lit("Confirmed"), iso, bad_day, iso, bad_age, F.lit("F"),
-        F.lit("Local"), F.col("event_type"), F.lit("NA"), F.lit('"cough, fever"'), F.lit("NA"),
-        F.lit("Home"), F.lit("NA"), F.lit("No"), F.lit("Yes"), iso, F.lit("NA"), F.lit("BA.5"), F.lit("PCR"),
+        F.col("event_id").cast("string"), F.lit("Confirmed"), text, bad_day, text, bad_age, F.lit("F"),
+        F.lit("Local"), F.col("event_type"), F.lit("NA"), F.lit("cough, fever"), F.lit("NA"),
+        F.lit("Home"), F.lit("NA"), F.lit("No"), F.lit("Yes"), text, F.lit("NA"), F.lit("BA.5"), F.lit("PCR"),
     ]
-    lines = v.table(spark, sf, "events").select(F.concat_ws(",", *fields).alias("line"))
-    return readers.parse_case_lines(lines, "line")
+    named = [f.alias(n) for f, n in zip(fields, readers.CASE_LINELIST_COLUMNS, strict=True)]
+    path = _scratch(spark, "cases")
+    v.table(spark, sf, "events").select(*reversed(named)).write.csv(path, header=True)
+    return readers.read_case_linelist(spark, path)
 
 
-@query("age_band_counts_to_linelist")
-def _(spark: SparkSession, sf: str) -> DataFrame:
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/surgecast/{name}-{uuid.uuid4().hex}"
+
+
+def _wide_cases(spark: SparkSession, sf: str) -> DataFrame:
     bands = [f"[{low}, {low + 10})" for low in range(0, 80, 10)] + ["[80, 150)"]
     low = F.floor(F.col("AGE_AT_EVENT_YEARS") / 10) * 10
     band = F.when(low >= 80, bands[-1]).otherwise(
@@ -73,7 +88,28 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         .count()
         .fillna(0)
     )
-    return readers.case_bands_to_linelist(wide)
+    # counts as files write them: 3, 3.0 and 1,234
+    day = F.dayofmonth(F.to_date("day_specimen_date", "d/M/yyyy")) % 3
+    return wide.select(
+        "day_specimen_date",
+        *(
+            F.when(day == 0, F.col(f"`{b}`").cast("string"))
+            .when(day == 1, F.concat(F.col(f"`{b}`").cast("string"), F.lit(".0")))
+            .otherwise(F.format_number(F.col(f"`{b}`"), 0))
+            .alias(b)
+            for b in bands
+        ),
+    )
+
+
+@query("age_band_counts_to_linelist")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.case_bands_to_linelist(_wide_cases(spark, sf))
+
+
+@query("case_band_counts")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.case_bands_to_counts(_wide_cases(spark, sf))
 
 
 @query("ascertainment")
@@ -102,6 +138,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return v.big_stays(spark, sf)
 
 
+@query("format_hospital_corrected")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return v.stays(spark, sf, v.CORRECTED)
+
+
 @query("format_ed")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return v.presentations(spark, sf)
@@ -122,7 +163,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _daily_by_age(spark: SparkSession, sf: str) -> DataFrame:
-    admitted = v.stays(spark, sf).groupBy("age_group", F.col("date_admit").alias("date"))
+    admitted = v.big_stays(spark, sf).groupBy("age_group", F.col("date_admit").alias("date"))
     return admitted.agg(F.count(F.lit(1)).alias("n"), F.count("date_ICU_admit").alias("n_icu"))
 
 
@@ -166,7 +207,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("first_stay_per_person")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    df = v.stays(spark, sf)
+    df = v.big_stays(spark, sf)
     return first_per_group(df, ["person_id"], linelists.stay_order(df, "date_admit"))
 
 
@@ -240,12 +281,21 @@ def _cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _rates(spark: SparkSession, sf: str) -> DataFrame:
-    return study.staged_rates(v.inputs(spark, sf), _dates(spark, sf), CFG)
+def _rates(spark: SparkSession, sf: str, cfg: StudyConfig = CFG) -> DataFrame:
+    return study.staged_rates(v.inputs(spark, sf, cfg), _dates(spark, sf, cfg), cfg)
+
 
+def _trajectory(spark: SparkSession, sf: str, cfg: StudyConfig = CFG) -> DataFrame:
+    return study.staged_trajectory(v.inputs(spark, sf, cfg), _dates(spark, sf, cfg), cfg)
 
-def _trajectory(spark: SparkSession, sf: str) -> DataFrame:
-    return study.staged_trajectory(v.inputs(spark, sf), _dates(spark, sf), CFG)
+
+def _odd_trajectory(spark: SparkSession, sf: str) -> DataFrame:
+    """With a scenario that ends before the others and one that starts after the last rates."""
+    plain = _trajectory(spark, sf)
+    one = plain.where("scenario_label = '1-URGENT'")
+    short = one.where(F.col("date_onset") <= F.lit(v.ODD_END)).withColumn("scenario_label", F.lit("0-SHORT"))
+    late = one.withColumns({"scenario_label": F.lit("6-LATE"), "date_onset": F.date_add("date_onset", 200)})
+    return stage(plain.unionByName(short).unionByName(late))
 
 
 @query("bootstrap_cell_counts")
@@ -278,9 +328,26 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(trajectory, "count")
 
 
+@query("bootstrap_multinomial_totals")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of multinomial replicates, and whether they hold only cells that the data have."""
+    cells = _cells(spark, sf)
+    drawn = rates.resample_cells(cells, replace(CFG, bootstrap_method="multinomial"))
+    known = cells.select("stream", *rates.CELL, F.lit(True).alias("known"))
+    seen = drawn.join(known, ["stream", *rates.CELL], "left")
+    return seen.groupBy("stream", "bootstrap").agg(F.sum("n").alias("n"), (F.count("known") == F.count(F.lit(1))).alias("supported"))
+
+
 def _spans(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     estimates = _rates(spark, sf)
-    return estimates, rates.horizons(estimates, _trajectory(spark, sf))
+    return estimates, rates.horizons(estimates, _odd_trajectory(spark, sf))
+
+
+@query("extend_rates_corrected")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    estimates = _rates(spark, sf, v.CORRECTED)
+    spans = rates.horizons(estimates, _trajectory(spark, sf, v.CORRECTED))
+    return _rounded(rates.per_scenario(rates.extend_rates(estimates, spans, v.CORRECTED), spans), *rates.RATES)
 
 
 @query("extend_rates")
@@ -306,7 +373,7 @@ def _patterns(spark: SparkSession, sf: str) -> DataFrame:
 
 def _shown(patterns: DataFrame) -> DataFrame:
     """Masks as text, to compare across engines."""
-    return patterns.withColumn("days", F.concat_ws(",", fc.mask_days(F.col("mask")))).drop("mask")
+    return patterns.withColumn("days", F.concat_ws(",", fc.mask_days(F.col("mask"), CFG.stay_cap_days))).drop("mask")
 
 
 def _expected(spark: SparkSession, sf: str) -> DataFrame:
@@ -340,7 +407,10 @@ for _group in ("ward", "ICU", "ED"):
 
 @query("rejected_cells")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return fc.rejected_cells(_expected(spark, sf), _patterns(spark, sf))
+    trajectory, estimates = _odd_trajectory(spark, sf), _rates(spark, sf)
+    expected = stage(fc.expected_table(trajectory, estimates, v.ascertainment(spark, sf), CFG))
+    unrated = rates.scenarios_without_rates(trajectory, rates.horizons(estimates, trajectory))
+    return fc.rejected_cells(expected, _patterns(spark, sf), unrated)
 
 
 def _sampled(spark: SparkSession, sf: str):
@@ -365,8 +435,31 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return fc.sampled_ed(tables.samples, tables.trajectory, dates, CFG).select(*fc.KEYS, "admitted")
 
 
-def _outputs(spark: SparkSession, sf: str) -> DataFrame:
-    return study.forecast_outputs(v.inputs(spark, sf), CFG)
+def _outputs(spark: SparkSession, sf: str, cfg: StudyConfig = CFG) -> DataFrame:
+    return study.forecast_outputs(v.inputs(spark, sf, cfg), cfg)
+
+
+@query("forecast_outputs_corrected")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return _outputs(spark, sf, v.CORRECTED)
+
+
+@query("fan_admissions_aged_corrected")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    fan = summaries.fan_table(stage(_outputs(spark, sf, v.CORRECTED)), "admissions", ["age_group"], v.CORRECTED)
+    return _rounded(fan, "lower", "upper")
+
+
+@query("stored_study")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of tables that a whole study has stored, read back."""
+    path = _scratch(spark, "study")
+    study.run_study(v.inputs(spark, sf), path, CFG)
+    counts = [
+        spark.read.parquet(f"{path}/{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+        for name in STORED
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("forecast_outputs")

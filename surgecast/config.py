@@ -28,6 +28,12 @@ class StudyConfig:
     n_bootstraps: int = 50
     seed: int = 20230712
     semantics: str = "reference"
+    #: "hashed" draws every case of every replicate by itself; "multinomial" draws a replicate's counts at
+    #: once, with the same distribution, at a cost that does not grow with the cases.
+    bootstrap_method: str = "hashed"
+    #: What a forecast does about patients it has no pattern for and scenarios it has no rates for:
+    #: "stop" with an error, or "report" them in ``rejected_cells`` and forecast the rest.
+    losses: str = "stop"
 
     lookback_days: int = 90  # estimation window before the earlier data date
     lag_days: int = 2  # most recent days dropped as incomplete
@@ -42,6 +48,10 @@ class StudyConfig:
     def __post_init__(self) -> None:
         if self.semantics not in ("reference", "corrected"):
             raise ValueError(f"unknown semantics {self.semantics!r}")
+        if self.bootstrap_method not in ("hashed", "multinomial"):
+            raise ValueError(f"unknown bootstrap method {self.bootstrap_method!r}")
+        if self.losses not in ("stop", "report"):
+            raise ValueError(f"unknown rule for losses {self.losses!r}")
         if not 0 < self.stay_cap_days <= 15:
             raise ValueError("stay_cap_days must fit a 16-bit mask")
 

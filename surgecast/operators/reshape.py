@@ -7,25 +7,35 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgecast.operators.staging import grid_width, work_width
+from surgecast.operators.staging import work_width
 
 ROWS_PER_CHUNK = 10_000
+CHUNKS_PER_BLOCK = 1_000
 
 
 def chunk_rows(df: DataFrame, n: Column, keys: Sequence[str]) -> DataFrame:
     """Cut rows that stand for ``n`` units each into chunks ``_chunk`` = 0, 1, ... of ``_size`` units.
 
     The counts may be very uneven (one row can hold a third of everything), so the chunks, not the
-    rows, are spread over the tasks, by (``keys``, chunk). The number of tasks follows the total,
-    which is summed first: ``df`` is read twice. None for ``n`` < 1 or NULL.
+    rows, are spread over the tasks, by (``keys``, chunk). They are numbered in blocks, so that no
+    row holds more than a block's numbers, after the rows are spread by ``keys``. The number of tasks follows
+    the total, which is summed first: ``df`` is read twice. None for ``n`` < 1 or NULL.
     """
     counted = df.withColumn("_n", n.cast("bigint")).where(F.col("_n") >= 1)
     units = counted.agg(F.sum("_n")).first()[0] or 0
+    width = work_width(df.sparkSession, units)
+    chunks = F.expr(f"(_n - 1L) div {ROWS_PER_CHUNK}L")
+    blocks = (
+        counted.withColumn("_last", chunks)
+        .repartition(*keys)
+        .withColumn("_block", F.explode(F.expr(f"sequence(0L, _last div {CHUNKS_PER_BLOCK}L)")))
+    )
+    inside = f"sequence(_block * {CHUNKS_PER_BLOCK}L, least(_last, _block * {CHUNKS_PER_BLOCK}L + {CHUNKS_PER_BLOCK - 1}L))"
     return (
-        counted.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1L) div {ROWS_PER_CHUNK}L)")))
+        blocks.withColumn("_chunk", F.explode(F.expr(inside)))
         .withColumn("_size", F.expr(f"least(_n - _chunk * {ROWS_PER_CHUNK}L, {ROWS_PER_CHUNK}L)"))
-        .drop("_n")
-        .repartition(work_width(df.sparkSession, units), *keys, "_chunk")
+        .drop("_n", "_last", "_block")
+        .repartition(width, *keys, "_chunk")
     )
 
 
@@ -95,7 +105,7 @@ def complete_daily(
     values = [c for c in df.columns if c not in cell]
     merged = df.unionByName(grid.select(cell), allowMissingColumns=True)
     if within or keys:
-        merged = merged.repartition(grid_width(df.sparkSession), *within, *keys)
+        merged = merged.repartition(*within, *keys)
     out = merged.groupBy(*cell).agg(*[F.max(v).alias(v) for v in values])
     if fill:
         out = out.fillna(dict(fill))

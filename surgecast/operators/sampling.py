@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from surgecast.functions.hashing import key_text, sequence_seeds, sequence_uniform
 from surgecast.operators.reshape import chunk_rows, number_chunks
+from surgecast.operators.staging import lookup
 
 INDEX_BUCKETS = 1024
 
@@ -49,7 +50,7 @@ def weighted_index(
         cells.where(F.col(weight) > 0)
         .withColumn("_hi", F.sum(weight).over(upto))
         .withColumn("_lo", F.col("_hi") - F.col(weight))
-        .join(F.broadcast(strata(cells, group, weight)), list(group))  # one row per group
+        .join(strata(cells, group, weight), list(group))
     )
     parts = F.expr(f"sequence((_lo * {buckets}L) div _total, ((_hi - 1L) * {buckets}L) div _total)")
     slot = F.col("_stratum") * buckets + F.col("_part")
@@ -60,7 +61,7 @@ def weighted_index(
 def draw_cells(units: DataFrame, index: DataFrame, u: Column, *, buckets: int = INDEX_BUCKETS) -> DataFrame:
     """Give every unit (with its group's ``_total`` and ``_stratum``) one cell, by the weights.
 
-    The index is bounded by its cell domain, not by the data, so it is always broadcast: units are
+    ``index`` is joined as it comes: if it is marked for broadcast (see :func:`lookup`), units are
     never shuffled, however many fall into one group.
     """
     # Coalesced only to be visibly non-null: otherwise the join adds a null filter that draws again.
@@ -68,7 +69,7 @@ def draw_cells(units: DataFrame, index: DataFrame, u: Column, *, buckets: int =
     slot = F.expr(f"coalesce(_stratum * {buckets}L + (_at * {buckets}L) div _total, 0L)")
     placed = units.withColumn("_at", F.coalesce(position, F.lit(0).cast("bigint"))).withColumn("_unit_slot", slot)
     inside = [F.col("_unit_slot") == F.col("_slot"), F.col("_at") >= F.col("_lo"), F.col("_at") < F.col("_hi")]
-    joined = placed.join(F.broadcast(index), inside)
+    joined = placed.join(index, inside)
     return joined.drop("_at", "_unit_slot", "_slot", "_lo", "_hi", "_total", "_stratum")
 
 
@@ -99,8 +100,9 @@ def bootstrap_counts(
     counts are shuffled. Zero counts have no row.
     """
     replicate = F.explode(F.sequence(F.lit(1), F.lit(n_bootstraps)))
-    runs = strata(cells, group, weight).withColumn("bootstrap", replicate)
-    index = weighted_index(cells, group, cell, weight)
+    # strata() numbers its few rows in one task; from here on they are spread
+    runs = strata(cells, group, weight).repartition(*group).withColumn("bootstrap", replicate)
+    index = lookup(weighted_index(cells, group, cell, weight))
     drawn = draw_units(runs, F.col("_total"), [*group, "bootstrap"], index, seed, "boot")
     return drawn.groupBy(*group, "bootstrap", *cell).agg(F.count(F.lit(1)).alias(weight))
 

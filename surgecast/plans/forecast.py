@@ -12,8 +12,8 @@ from surgecast.config import ForecastDates, StudyConfig
 from surgecast.functions import AGE_BANDS, counted_days, hashed_uniform
 from surgecast.operators.reshape import ROWS_PER_CHUNK, complete_daily
 from surgecast.operators.sampling import draw_units, randomised_round, strata, weighted_index
-from surgecast.operators.staging import stage
-from surgecast.plans.rates import SPAN, extend_ascertainment, extend_rates, horizons
+from surgecast.operators.staging import lookup, stage
+from surgecast.plans.rates import SPAN, extend_ascertainment, extend_rates, horizons, scenarios_without_rates
 
 CELL = ["scenario_label", "group", "bootstrap", "age_group", "date_onset"]
 STRATUM = ["group", "age_group"]
@@ -100,9 +100,9 @@ def expected_patients(
     their random rounding. Expected values are kept to nine decimals so that the last bits of a
     floating-point sum, which vary with the order rows arrive in, cannot flip a rounding.
     """
-    cases = trajectory.join(F.broadcast(spans), "scenario_label")  # one row per scenario
+    cases = trajectory.join(spans, "scenario_label")
     cases = cases.join(ascertainment_ahead, [*SPAN, "date_onset"])
-    base = rates_ahead.join(F.broadcast(cases), [*SPAN, "date_onset"])  # scenarios x days
+    base = rates_ahead.join(cases, [*SPAN, "date_onset"])
     seen = F.col("count") * F.col("pr_age_given_case")
     hosp = seen * F.col("pr_hosp")
     expected = {
@@ -126,26 +126,46 @@ def expected_patients(
 def drawn_patients(expected: DataFrame, patterns: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """One row per patient with a pattern drawn from the patient's group and age.
 
-    Groups and ages outside the model's bands, or without any pattern, get no patients (see
-    :func:`rejected_cells`). Rows are partitioned by (cell, ``_chunk``). Both inputs are read more
+    Ages outside the model's bands get no patients, nor do groups without any pattern: those are
+    listed by :func:`rejected_cells`, and the study stops unless told to go on. Rows are partitioned by (cell, ``_chunk``). Both inputs are read more
     than once: pass staged tables.
     """
     cells = expected.where(F.col("age_group").isin(AGE_BANDS)).select(*CELL, F.col("n").alias("_patients"))
-    cells = cells.join(F.broadcast(strata(patterns, STRATUM, "n")), STRATUM)  # one row per group and age
-    index = weighted_index(patterns, STRATUM, ["mask"], "n")
+    cells = cells.join(strata(patterns, STRATUM, "n"), STRATUM)
+    index = lookup(weighted_index(patterns, STRATUM, ["mask"], "n"))
     return draw_units(cells, F.col("_patients"), CELL, index, cfg.seed, "draw").drop("_patients")
 
 
-def rejected_cells(expected: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Cells the forecast cannot use: no expected value, or patients without a pattern to draw."""
-    known = patterns.select(STRATUM).distinct().withColumn("_known", F.lit(True))  # groups x ages
+NO_PATTERN, NO_RATES = "no pattern for age group", "no rates for scenario"
+
+
+def rejected_cells(expected: DataFrame, patterns: DataFrame, unrated: DataFrame | None = None) -> DataFrame:
+    """Cells the forecast cannot use: no expected value, or patients without a pattern to draw.
+
+    ``unrated`` scenarios have no cells; each is one row with nothing but its label and reason.
+    """
+    known = patterns.select(STRATUM).distinct().withColumn("_known", F.lit(True))
     reason = (
         F.when(F.col("expected").isNull(), "no expected count")
         .when(~F.col("age_group").isin(AGE_BANDS), "age outside the model")
-        .when((F.col("n") > 0) & F.col("_known").isNull(), "no pattern for age group")
+        .when((F.col("n") > 0) & F.col("_known").isNull(), NO_PATTERN)
     )
-    joined = expected.join(F.broadcast(known), STRATUM, "left")
-    return joined.withColumn("reason", reason).where("reason is not null").drop("_known")
+    joined = expected.join(known, STRATUM, "left")
+    cells = joined.withColumn("reason", reason).where("reason is not null").drop("_known")
+    if unrated is None:
+        return cells
+    return cells.unionByName(unrated.select("scenario_label", F.lit(NO_RATES).alias("reason")), allowMissingColumns=True)
+
+
+def stop_on_losses(rejected: DataFrame, cfg: StudyConfig) -> None:
+    """Raise if the forecast would leave out patients or scenarios, unless ``cfg.losses`` is "report"."""
+    if cfg.losses == "report":
+        return
+    lost = rejected.where(F.col("reason").isin(NO_PATTERN, NO_RATES)).groupBy("reason").agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("patients"))
+    lost = lost.orderBy("reason").collect()  # one row per reason
+    if lost:
+        found = "; ".join(f"{r.reason}: {r.cells} cells, {r.patients or 0} patients" for r in lost)
+        raise ValueError(f"the forecast would be incomplete ({found}); set losses='report' to go on without them")
 
 
 # Per-day counts of a chunk are summed as bit fields, several to an integer: a chunk has fewer
@@ -199,9 +219,9 @@ KEYS = ["scenario_label", "group", "bootstrap", "age_group", "date"]
 
 
 def _clip(df: DataFrame, trajectory: DataFrame, dates: ForecastDates, cfg: StudyConfig) -> DataFrame:
-    ends = trajectory.groupBy("scenario_label").agg(F.max("date_onset").alias("_end"))  # one row per scenario
+    ends = trajectory.groupBy("scenario_label").agg(F.max("date_onset").alias("_end"))
     start = F.lit(dates.estimates_start + dt.timedelta(cfg.stay_cap_days))
-    kept = df.where(F.col("date") >= start).join(F.broadcast(ends), "scenario_label")
+    kept = df.where(F.col("date") >= start).join(ends, "scenario_label")
     return kept.where(F.col("date") <= F.col("_end")).drop("_end")
 
 
@@ -278,6 +298,7 @@ class ForecastTables:
     expected: DataFrame
     patterns: DataFrame
     samples: DataFrame
+    rejected: DataFrame
 
 
 def expected_table(
@@ -301,5 +322,7 @@ def sample_patients(
     """Run the simulation up to its daily sums. ``trajectory`` and ``rates`` must be staged."""
     expected = stage(expected_table(trajectory, rates, ascertainment, cfg))
     patterns = stage(stay_patterns(stays, dates, cfg).unionByName(ed_offsets(presentations, dates, cfg)))
+    rejected = stage(rejected_cells(expected, patterns, scenarios_without_rates(trajectory, horizons(rates, trajectory))))
+    stop_on_losses(rejected, cfg)
     samples = stage(daily_samples(expected, patterns, cfg))
-    return ForecastTables(trajectory, expected, patterns, samples)
+    return ForecastTables(trajectory, expected, patterns, samples, rejected)

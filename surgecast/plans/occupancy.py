@@ -32,25 +32,20 @@ def _block_bits(mask: str) -> Column:
     return F.expr(f"shiftright(shiftleft(bigint({mask}), {shift}), 16) & {(1 << _BLOCK) - 1}L").alias(mask)
 
 
-def calculate_occupancy(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
-    """(date, group in {ward, ICU}, count), gap-free from the first day to the last but one.
-
-    ``stays`` are cleaned. A person counts once per day. Days are held as bits of 32-day blocks, so
-    a stay shuffles as one or two rows however long it is, and several stays of a person merge by
-    ``bit_or``. Of the merged days only the changes are counted: first days add one, days after last
-    days take one off, and the running sum is the occupancy. Masks of first or last days take few
-    distinct values, so they collapse map-side.
-    """
+def _block_masks(counted: DataFrame, cfg: StudyConfig, *keep: str) -> DataFrame:
+    """A row for each 32-day block that a stay touches, one or two, with its days as bits of the block."""
     blocks = F.expr(
         f"sequence(int(floor(onset / {_BLOCK})), int(floor((onset + {cfg.stay_cap_days}) / {_BLOCK})))"
     )
-    masks = _counted(stays, cfg).withColumn("block", F.explode(blocks))
-    persons = (
-        masks.select("person_id", "block", _block_bits("h"), _block_bits("i"))
-        .where("h + i > 0")
-        .groupBy("person_id", "block")
-        .agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
-    )
+    masks = counted.withColumn("block", F.explode(blocks))
+    return masks.select("person_id", "block", *keep, _block_bits("h"), _block_bits("i")).where("h + i > 0")
+
+
+def _changes(masks: DataFrame, by: list[str]) -> DataFrame:
+    """(date, by.., h, i): how the numbers counted by masks change on a day.
+
+    Masks of first or last days take few distinct values, so they collapse map-side.
+    """
     edges = F.array(
         *[
             F.struct(
@@ -61,20 +56,33 @@ def calculate_occupancy(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> D
         ]
     )
     patterns = (
-        persons.select("block", F.explode(edges).alias("e"))
-        .select("block", "e.*")
+        masks.select("block", *by, F.explode(edges).alias("e"))
+        .select("block", *by, "e.*")
         .where("mask != 0")
-        .groupBy("block", "series", "sign", "mask")
+        .groupBy("block", *by, "series", "sign", "mask")
         .agg(F.sum("sign").alias("n"))
     )
     bits = F.explode(F.sequence(F.lit(0), F.lit(_BLOCK - 1)))
     day = F.expr(f"date_from_unix_date(int(block * {_BLOCK} + bit + if(sign < 0, 1, 0)))")
-    changes = (
+    return (
         patterns.withColumn("bit", bits)
         .where("shiftright(mask, bit) & 1 = 1")
-        .groupBy(day.alias("date"))
+        .groupBy(day.alias("date"), *by)
         .agg(*[F.sum(F.when(F.col("series") == k, F.col("n")).otherwise(0)).alias(k) for k in "hi"])
     )
+
+
+def calculate_occupancy(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+    """(date, group in {ward, ICU}, count), gap-free from the first day to the last but one.
+
+    ``stays`` are cleaned. A person counts once per day. Days are held as bits of 32-day blocks, so
+    a stay shuffles as one or two rows however long it is, and several stays of a person merge by
+    ``bit_or``. Of the merged days only the changes are counted: first days add one, days after last
+    days take one off, and the running sum is the occupancy.
+    """
+    masks = _block_masks(_counted(stays, cfg), cfg)
+    persons = masks.groupBy("person_id", "block").agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
+    changes = _changes(persons, [])
     # one row per day of change: a few thousand rows at most
     running = Window.orderBy("date")
     occupied = changes.select(
@@ -108,31 +116,48 @@ def calculate_occupancy_aged(stays: DataFrame, cfg: StudyConfig = StudyConfig())
     """(age_group, date, group, count): every age group present, over the days of the whole table.
 
     A person counts once per day, under the age group of the first stay (by admission, onset, age)
-    that covers the day. That order is packed into one integer, so the choice is a plain ``min``
-    that combines before the shuffle.
+    that covers the day. Stays are held as masks, as for the whole occupancy, with that order packed
+    into one integer; it only matters where the age groups of a person's stays in a block differ.
     """
     code = F.expr(
         f"if(age_group = '{INVALID_AGE}', {len(_AGE_LABELS)}, if(age_group = '{AGE_BANDS[0]}', 1, int(left(age_group, 1)) + 1))"
     )
     order = (F.unix_date("date_admit").cast("bigint") * (1 << 20) + F.unix_date("date_onset")) * 16 + code
-    offsets = F.explode(F.sequence(F.lit(0), F.lit(cfg.stay_cap_days)))
-    days = (
-        _counted(stays, cfg, order.alias("order")).withColumn("d", offsets).where("shiftright(h | i, d) & 1 = 1")
-    )
-    person_days = days.groupBy("person_id", (F.col("onset") + F.col("d")).alias("day")).agg(
-        *[F.min(F.expr(f"if(shiftright({s}, d) & 1 = 1, order, null)")).alias(s) for s in "hi"]
+    masks = _block_masks(_counted(stays, cfg, order.alias("order")), cfg, "order")
+    # A person has at most days x days x ages distinct stays in a block, however many rows.
+    distinct = masks.groupBy("person_id", "block", "order").agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
+    persons = distinct.groupBy("person_id", "block").agg(
+        F.bit_or("h").alias("h"),
+        F.bit_or("i").alias("i"),
+        (F.min(F.col("order") % 16)).alias("code"),
+        (F.max(F.col("order") % 16)).alias("other"),
+        F.collect_list(F.struct("order", "h", "i")).alias("stays"),
     )
-    codes = [(F.col(s) % 16).alias(s) for s in "hi"]
-    cells = person_days.groupBy("day", *codes).agg(F.count(F.lit(1)).alias("n"))  # days x ages x ages
+    own = F.array(F.struct("code", "h", "i"))
+    # Where the age group differs between stays, each takes the days that no earlier one covers.
+    none = F.struct(F.lit(0).cast("bigint").alias("h"), F.lit(0).cast("bigint").alias("i"), F.array().cast("array<struct<code:bigint,h:bigint,i:bigint>>").alias("out"))
+
+    def take(seen: Column, x: Column) -> Column:
+        left = F.struct(
+            (x["order"] % 16).alias("code"),
+            x["h"].bitwiseAND(F.bitwise_not(seen["h"])).alias("h"),
+            x["i"].bitwiseAND(F.bitwise_not(seen["i"])).alias("i"),
+        )
+        return F.struct(seen["h"].bitwiseOR(x["h"]).alias("h"), seen["i"].bitwiseOR(x["i"]).alias("i"), F.array_append(seen["out"], left).alias("out"))
+
+    resolved = F.aggregate(F.array_sort("stays"), none, take, lambda seen: seen["out"])
+    parts = persons.select("block", F.explode(F.when(F.col("code") == F.col("other"), own).otherwise(resolved)).alias("x")).select("block", "x.*")
+    changes = _changes(parts, ["code"])
 
     ages = list(enumerate(_AGE_LABELS, start=1))
-    counts = [F.sum(F.when(F.col(s) == k, F.col("n")).otherwise(0)).alias(f"{s}{k}") for s in "hi" for k, _ in ages]
-    daily = (
-        cells.groupBy(F.date_from_unix_date("day").alias("date"))
-        .agg(*counts, F.count("h").alias("hospital"))
-        .where("hospital > 0")
-        .drop("hospital")
-    )
+    sums = [F.sum(F.when(F.col("code") == k, F.col(s)).otherwise(0)).alias(f"{s}{k}") for s in "hi" for k, _ in ages]
+    # one row per day of change: a few thousand rows at most
+    running = Window.orderBy("date")
+    counts = {f"{s}{k}": F.sum(f"{s}{k}").over(running) for s in "hi" for k, _ in ages}
+    occupied = changes.groupBy("date").agg(*sums).select("date", F.lead("date").over(running).alias("next"), *(c.alias(n) for n, c in counts.items()))
+    spans = F.explode(F.sequence("date", F.date_sub("next", 1), F.expr("interval 1 day")))
+    hospital = F.expr(" + ".join(f"h{k}" for k, _ in ages))
+    daily = occupied.where("next is not null").withColumn("date", spans).drop("next").where(hospital > 0)
     # A present age group has a day with a hospital count; the daily table is small.
     everywhere = Window.partitionBy()
     present = {f"p{k}": F.max(F.col(f"h{k}")).over(everywhere) > 0 for k, _ in ages}

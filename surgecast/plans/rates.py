@@ -12,8 +12,8 @@ from surgecast.operators.quantiles import median_band
 from surgecast.operators.reshape import complete_daily
 from surgecast.operators.sampling import bootstrap_counts, multinomial_counts
 from surgecast.operators.series import fill_downup, first_per_group, interpolate, rolling_extend
-from surgecast.operators.staging import grid_width, stage
-from surgecast.sources.linelists import stay_order
+from surgecast.operators.staging import stage
+from surgecast.sources.linelists import cases_in_row, stay_order
 
 RATES = ["pr_hosp", "pr_ICU", "pr_ED", "pr_age_given_case"]
 CELL = ["age_group", "date_onset", "is_icu"]
@@ -40,25 +40,26 @@ def rate_cells(
         presentations.where(at_hospital), ["person_id"], stay_order(presentations, "date_presentation")
     )
     no_icu = F.lit(0).alias("is_icu")
+    one = F.lit(1).alias("n")
     streams = {
         "case": cases.where(_in_window(dates.estimates_start, dates.case_linelist, cfg)).select(
-            "age_group", "date_onset", no_icu
+            "age_group", "date_onset", no_icu, cases_in_row(cases).alias("n")
         ),
         "hosp": first_stay.select(
-            "age_group", "date_onset", F.col("date_ICU_admit").isNotNull().cast("int").alias("is_icu")
+            "age_group", "date_onset", F.col("date_ICU_admit").isNotNull().cast("int").alias("is_icu"), one
         ),
-        "ed": first_visit.select("age_group", "date_onset", no_icu),
+        "ed": first_visit.select("age_group", "date_onset", no_icu, one),
     }
     counted = [
-        rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n")).select(F.lit(stream).alias("stream"), *CELL, "n")
+        rows.groupBy(*CELL).agg(F.sum("n").cast("bigint").alias("n")).where("n > 0").select(F.lit(stream).alias("stream"), *CELL, "n")
         for stream, rows in streams.items()
     ]
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
-def resample_cells(cells: DataFrame, cfg: StudyConfig, method: str = "hashed") -> DataFrame:
+def resample_cells(cells: DataFrame, cfg: StudyConfig) -> DataFrame:
     """Bootstrap resamples of the streams, as counts per (stream, bootstrap, cell)."""
-    draw = {"hashed": bootstrap_counts, "multinomial": multinomial_counts}[method]
+    draw = {"hashed": bootstrap_counts, "multinomial": multinomial_counts}[cfg.bootstrap_method]
     return draw(cells, ["stream"], CELL, "n", cfg.n_bootstraps, cfg.seed)
 
 
@@ -107,11 +108,10 @@ def time_varying_estimates(
     presentations: DataFrame,
     dates: ForecastDates,
     cfg: StudyConfig = StudyConfig(),
-    method: str = "hashed",
 ) -> DataFrame:
     """(bootstrap, age_group, date_onset) with the four rates."""
     cells = stage(rate_cells(cases, stays, presentations, dates, cfg))
-    return smooth_rates(stage(rate_numerators(resample_cells(cells, cfg, method))), dates, cfg)
+    return smooth_rates(stage(rate_numerators(resample_cells(cells, cfg))), dates, cfg)
 
 
 def horizons(rates: DataFrame, trajectory: DataFrame) -> DataFrame:
@@ -131,6 +131,11 @@ def horizons(rates: DataFrame, trajectory: DataFrame) -> DataFrame:
     return spans.where(F.col("first") <= F.col("last"))
 
 
+def scenarios_without_rates(trajectory: DataFrame, spans: DataFrame) -> DataFrame:
+    """(scenario_label): scenarios none of whose days has rates, so that nothing can be forecast."""
+    return trajectory.select("scenario_label").distinct().join(spans, "scenario_label", "left_anti")
+
+
 def extend_rates(rates: DataFrame, spans: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(first, last, end, bootstrap, age_group, date_onset) with the rates up to ``end``.
 
@@ -152,7 +157,7 @@ def extend_rates(rates: DataFrame, spans: DataFrame, cfg: StudyConfig = StudyCon
     full = complete_daily(placed, "date_onset", MEMBER, within=SPAN, start=F.col("first"), end=F.col("end"))
     filled = interpolate(full, RATES, [*SPAN, *MEMBER], "date_onset", by_date=cfg.corrected, extend_ends=True)
     day_key = [*SPAN, "bootstrap", "date_onset"]
-    filled = filled.repartition(grid_width(filled.sparkSession), *day_key)
+    filled = filled.repartition(*day_key)
     same_day = Window.partitionBy(*day_key)
     total = F.sum("pr_age_given_case").over(same_day)
     if not cfg.corrected:
@@ -170,7 +175,7 @@ def extend_ascertainment(ascertainment: DataFrame, spans: DataFrame) -> DataFram
 
 def per_scenario(extended: DataFrame, spans: DataFrame) -> DataFrame:
     """Repeat span-keyed rows under each scenario of the span."""
-    return extended.join(F.broadcast(spans), SPAN).drop(*SPAN)  # spans: one row per scenario
+    return extended.join(spans, SPAN).drop(*SPAN)
 
 
 def summarise_rate(

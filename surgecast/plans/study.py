@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from surgecast.config import ForecastDates, StudyConfig
-from surgecast.operators.staging import stage
+from surgecast.operators.staging import release, stage
 from surgecast.plans import forecast as fc
 from surgecast.plans import occupancy, rates, summaries
 from surgecast.plans.trajectory import make_case_trajectory
-from surgecast.sources.linelists import resolve_forecast_dates
+from surgecast.sources.linelists import count_cases, forecast_dates_table, resolve_forecast_dates
 from surgecast.sources.readers import write_results
 
 
@@ -20,13 +20,14 @@ from surgecast.sources.readers import write_results
 class Inputs:
     """Cleaned inputs of a study."""
 
-    cases: DataFrame  # date_onset, age_group
+    cases: DataFrame  # date_onset, age_group; with n, daily counts
     stays: DataFrame
     presentations: DataFrame
     ascertainment: DataFrame  # date_onset, asc
     forecast: DataFrame  # scenario_label, date_onset, count
     hospital_path: str
     forecast_date: dt.date
+    rejects: DataFrame | None = None  # cells of the input files that could not be read
 
 
 def dates_of(inputs: Inputs, cfg: StudyConfig) -> ForecastDates:
@@ -60,31 +61,54 @@ def forecast_outputs(inputs: Inputs, cfg: StudyConfig = StudyConfig()) -> DataFr
     return fc.assemble_outputs(tables.samples, tables.trajectory, dates, cfg)
 
 
+def _stored(spark: SparkSession, table: DataFrame, path: str) -> DataFrame:
+    write_results(table, path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def run_study(inputs: Inputs, out: str, cfg: StudyConfig = StudyConfig()) -> list[str]:
-    """Write every result table under ``out`` and return their names."""
+    """Write every table of a study under ``out`` and return their names.
+
+    The cleaned inputs are stored first, cases as daily counts, and everything else is computed from
+    what is stored: each input is read and cleaned once.
+    """
+    spark = inputs.cases.sparkSession
+    cleaned = {
+        "case_counts": count_cases(inputs.cases),
+        "hospital_linelist": inputs.stays,
+        "ED_linelist": inputs.presentations,
+        "ascertainment": inputs.ascertainment,
+        "case_forecast": inputs.forecast,
+    }
+    if inputs.rejects is not None:
+        cleaned["rejected_inputs"] = inputs.rejects
+    stored = {name: _stored(spark, table, f"{out}/{name}") for name, table in cleaned.items()}
+    inputs = replace(
+        inputs,
+        cases=stored["case_counts"],
+        stays=stored["hospital_linelist"],
+        presentations=stored["ED_linelist"],
+        ascertainment=stored["ascertainment"],
+        forecast=stored["case_forecast"],
+    )
     dates = dates_of(inputs, cfg)
+    dated = forecast_dates_table(inputs.cases, inputs.hospital_path, inputs.forecast_date, cfg)
     estimates = staged_rates(inputs, dates, cfg)
     trajectory = staged_trajectory(inputs, dates, cfg)
     tables = fc.sample_patients(
         trajectory, estimates, inputs.ascertainment, inputs.stays, inputs.presentations, dates, cfg
     )
-    spark = trajectory.sparkSession
     by_scenario = f"{out}/outputs"
     write_results(fc.assemble_outputs(tables.samples, trajectory, dates, cfg), by_scenario, "scenario_label")
     outputs = spark.read.parquet(by_scenario)
     results = {
+        "forecast_dates": dated,
         "occupancy": occupancy.calculate_occupancy(inputs.stays, cfg),
         "occupancy_aged": occupancy.calculate_occupancy_aged(inputs.stays, cfg),
         "time_varying_estimates": estimates,
         "case_trajectory": trajectory,
-        "rejected_cells": fc.rejected_cells(tables.expected, tables.patterns),
-        "admissions_observed": summaries.admissions_observed(inputs.stays, cfg),
-        "admissions_smoothed": summaries.admissions_smoothed(inputs.stays, cfg),
-        "icu_admissions_observed": summaries.icu_admissions_observed(inputs.stays, cfg),
-        "ed_observed": summaries.ed_observed(inputs.presentations, dates, cfg),
-        "admissions_observed_aged": summaries.admissions_observed_aged(inputs.stays, dates, cfg),
-        "icu_admissions_observed_aged": summaries.icu_admissions_observed_aged(inputs.stays, dates, cfg),
-        "ed_observed_aged": summaries.ed_observed_aged(inputs.presentations, dates, cfg),
+        "rejected_cells": tables.rejected,
+        **summaries.observed_series(inputs.stays, inputs.presentations, dates, cfg),
     }
     for value, name in (("count", "occupancy"), ("admissions", "admissions")):
         results[f"fan_{name}"] = summaries.fan_table(outputs, value, cfg=cfg)
@@ -93,4 +117,5 @@ def run_study(inputs: Inputs, out: str, cfg: StudyConfig = StudyConfig()) -> lis
         results[f"rate_summary_{rate}"] = rates.summarise_rate(estimates, rate, dates, cfg)
     for name, table in results.items():
         write_results(table, f"{out}/{name}")
-    return ["outputs", *results]
+    release()
+    return [*cleaned, "outputs", *results]

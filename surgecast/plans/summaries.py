@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from surgecast.config import ForecastDates, StudyConfig
 from surgecast.operators.quantiles import central_intervals
 from surgecast.operators.series import first_per_group, rolling_mean_full
+from surgecast.operators.staging import stage
 from surgecast.sources.linelists import stay_order
 
 FAN_LEVELS = (50, 70, 90)
@@ -19,7 +20,12 @@ FAN_LEVELS = (50, 70, 90)
 def _daily(rows: DataFrame, date: str, cfg: StudyConfig, *by: str) -> DataFrame:
     start = cfg.plot_start + dt.timedelta(cfg.plot_warmup_days)
     counts = rows.where(F.col(date) >= F.lit(start)).groupBy(date, *by)
-    return counts.agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.sum("n").alias("n") if "n" in rows.columns else F.count(F.lit(1)).alias("n"))
+
+
+def first_row_counts(rows: DataFrame, *by: str) -> DataFrame:
+    """First rows per person as counts, from which several daily series are summed."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _reported(df: DataFrame, cfg: StudyConfig) -> DataFrame:
@@ -62,7 +68,10 @@ def icu_admissions_observed(stays: DataFrame, cfg: StudyConfig = StudyConfig())
 
 def admissions_smoothed(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """Seven-row centred mean of the daily admissions; days without admissions are not rows."""
-    daily = admissions_observed(stays, cfg)
+    return _smoothed(admissions_observed(stays, cfg), cfg)
+
+
+def _smoothed(daily: DataFrame, cfg: StudyConfig) -> DataFrame:
     mean = rolling_mean_full("n", cfg.admission_window, [], "date_admit")
     return daily.select("date_admit", mean.alias("n"))
 
@@ -89,6 +98,24 @@ def ed_observed_aged(
     return _daily(earliest_presentations(presentations, dates, cfg), "date_presentation", cfg, "age_group")
 
 
+def observed_series(
+    stays: DataFrame, presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
+) -> dict[str, DataFrame]:
+    """All observed series of a study. Each set of first rows is found once and kept as daily counts."""
+    listed = stage(first_row_counts(first_listed_stays(stays, cfg), "date_admit", "date_ICU_admit"))
+    settled = stage(first_row_counts(earliest_stays(stays, dates, cfg), "date_admit", "date_ICU_admit", "age_group"))
+    visits = stage(first_row_counts(earliest_presentations(presentations, dates, cfg), "date_presentation", "age_group"))
+    return {
+        "admissions_observed": _daily(listed, "date_admit", cfg),
+        "admissions_smoothed": _smoothed(_daily(listed, "date_admit", cfg), cfg),
+        "icu_admissions_observed": _daily(listed, "date_ICU_admit", cfg),
+        "ed_observed": _daily(visits, "date_presentation", cfg),
+        "admissions_observed_aged": _daily(settled, "date_admit", cfg, "age_group"),
+        "icu_admissions_observed_aged": _daily(settled, "date_ICU_admit", cfg, "age_group"),
+        "ed_observed_aged": _daily(visits, "date_presentation", cfg, "age_group"),
+    }
+
+
 def ensemble_totals(outputs: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Sum of ``value`` per member, day and group (and ``by``)."""
     return outputs.groupBy("scenario_label", "bootstrap", "date", "group", *by).agg(F.sum(value).alias(value))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from surgecast.config import ForecastDates, StudyConfig
 from surgecast.operators.reshape import fill_daily_gaps
 from surgecast.operators.series import interpolate, rolling_extend
+from surgecast.sources.linelists import cases_in_row
 
 
 def backcast(
@@ -21,9 +22,9 @@ def backcast(
     are. The result starts with the first ascertainment date, and its last two days are NULL.
     """
     last = _last_day(dates, cfg)
-    observed = cases.where(F.col("date_onset") < F.lit(last)).select("date_onset", F.lit(1).alias("seen"))
+    observed = cases.where(F.col("date_onset") < F.lit(last)).select("date_onset", cases_in_row(cases).alias("seen"))
     padding = cases.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(dates.estimates_start), F.lit(last))).alias("date_onset"), F.lit(0).alias("seen")
+        F.explode(F.sequence(F.lit(dates.estimates_start), F.lit(last))).alias("date_onset"), F.lit(0).cast("bigint").alias("seen")
     )
     # one row per day from here on
     daily = observed.unionByName(padding).groupBy("date_onset").agg(F.sum("seen").alias("count"))

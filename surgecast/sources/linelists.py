@@ -7,6 +7,7 @@ file and breaks ties wherever "the first row" matters.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +78,16 @@ def format_ed(raw: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     )
 
 
+def cases_in_row(cases: DataFrame) -> Column:
+    """How many cases a row stands for: ``n`` of daily counts, one of a line list."""
+    return (F.col("n") if "n" in cases.columns else F.lit(1)).cast("bigint")
+
+
+def count_cases(cases: DataFrame) -> DataFrame:
+    """(date_onset, age_group, n): a line list, or finer counts, as daily counts."""
+    return cases.groupBy("date_onset", "age_group").agg(F.sum(cases_in_row(cases)).alias("n"))
+
+
 def stay_order(df: DataFrame, *first: str) -> list[Column]:
     """A total order of rows: the given columns (NULL last), then file position or every column."""
     rest = ["row_id"] if "row_id" in df.columns else [c for c in df.columns if c not in ("person_id", *first)]
@@ -87,7 +98,8 @@ def forecast_dates_table(
     cases: DataFrame, hospital_path: str, forecast: dt.date, cfg: StudyConfig = StudyConfig()
 ) -> DataFrame:
     """The study's dates as one row: the hospital data date comes from the file name."""
-    dated = cases.agg(F.max("date_onset").alias("date_case_linelist")).withColumn(
+    seen = cases.where("n > 0") if "n" in cases.columns else cases
+    dated = seen.agg(F.max("date_onset").alias("date_case_linelist")).withColumn(
         "date_hospital_linelist", date_from_file_name(F.lit(hospital_path))
     )
     earlier = F.least("date_hospital_linelist", "date_case_linelist")
@@ -99,6 +111,12 @@ def forecast_dates_table(
     )
 
 
+def data_date_of(path: str) -> dt.date | None:
+    """The data date in a file's name, where stays still open are censored in corrected mode."""
+    stamps = re.findall(r"\d{4}_\d{2}_\d{2}", path)
+    return dt.datetime.strptime(stamps[0], "%Y_%m_%d").date() if stamps else None
+
+
 def resolve_forecast_dates(
     cases: DataFrame, hospital_path: str, forecast: dt.date, cfg: StudyConfig = StudyConfig()
 ) -> ForecastDates:

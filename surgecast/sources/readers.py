@@ -28,16 +28,48 @@ HOSPITAL_DDL = """
 
 ED_DDL = "person_id string, age double, ncims_calc_onset_dt timestamp_ntz, presentation_date timestamp_ntz"
 
-# An unreadable cell becomes NULL; the rest of its row is kept.
-_CSV_OPTIONS = {"mode": "PERMISSIVE", "dateFormat": "yyyy-MM-dd", "nullValue": "NA"}
+# An unreadable cell becomes NULL; the rest of its row is kept. Dates are written with either separator.
+_CSV_OPTIONS = {"mode": "PERMISSIVE", "dateFormat": "[yyyy-M-d][yyyy/M/d]", "nullValue": "NA"}
 
 
 CASE_LINELIST_COLUMNS = [field.split()[0] for field in CASE_LINELIST_DDL.split(",")]
 
 
 def read_case_linelist(spark: SparkSession, path: str) -> DataFrame:
-    """The 20-column case line list."""
-    return spark.read.options(**_CSV_OPTIONS).csv(path, schema=CASE_LINELIST_DDL, header=True)
+    """The 20-column case line list, by the names in its header."""
+    return _typed(_read_text(spark, path), T.StructType.fromDDL(CASE_LINELIST_DDL))
+
+
+def case_linelist_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(column, text, n): cells of the case line list that hold text but no value of the column's type."""
+    return _unreadable(_read_text(spark, path), T.StructType.fromDDL(CASE_LINELIST_DDL))
+
+
+def _read_text(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.options(**_CSV_OPTIONS).csv(path, header=True)
+
+
+def _value(name: str, kind: T.DataType) -> Column:
+    """The text of a column as its type; NULL if it cannot be read."""
+    text = F.col(f"`{name}`")
+    if isinstance(kind, T.DateType):
+        return F.coalesce(*(F.try_to_date(F.trim(text), p) for p in ("yyyy-M-d", "yyyy/M/d")))
+    return text.try_cast(kind)
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """By header name, so extra or reordered columns do not matter."""
+    return raw.select(*(_value(f.name, f.dataType).alias(f.name) for f in schema))
+
+
+def _unreadable(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    cells = [
+        F.when(F.col(f"`{f.name}`").isNotNull() & _value(f.name, f.dataType).isNull(), F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("text")))
+        for f in schema
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    bad = raw.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("cell.*")
+    return bad.groupBy("column", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
 def parse_case_lines(lines: DataFrame, line: str) -> DataFrame:
@@ -59,9 +91,7 @@ def read_presentations(spark: SparkSession, path: str, fmt: str = "csv") -> Data
 def _read_export(spark: SparkSession, path: str, fmt: str, ddl: str) -> DataFrame:
     schema = T.StructType.fromDDL(ddl)
     if fmt == "csv":
-        # by header name, so extra or reordered columns of the export do not matter
-        raw = spark.read.options(**_CSV_OPTIONS).csv(path, header=True)
-        return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+        return _typed(_read_text(spark, path), schema)
     return spark.read.format(fmt).load(path).select(*schema.names)
 
 
@@ -70,19 +100,54 @@ def read_case_bands(spark: SparkSession, path: str, *, corrected: bool = False)
     return case_bands_to_linelist(spark.read.options(**_CSV_OPTIONS).csv(path, header=True), corrected=corrected)
 
 
-def case_bands_to_linelist(wide: DataFrame, *, corrected: bool = False) -> DataFrame:
-    """``day_specimen_date`` plus one ``[lo, hi)`` count column per band -> one row per case."""
+def parse_count(text: Column) -> Column:
+    """A whole number as a file may write it: 3, 3.0 or 1,234. NULL for anything else."""
+    number = F.regexp_replace(F.trim(text.cast("string")), ",", "").try_cast("double")
+    return F.when((number == F.floor(number)) & (F.abs(number) < 2**53), number.cast("bigint"))
+
+
+def _band_cells(wide: DataFrame, corrected: bool) -> DataFrame:
     bands = [c for c in wide.columns if c.startswith("[")]
-    counts = [F.col(f"`{c}`").try_cast("bigint").alias(c) for c in bands]
-    long = wide.select("day_specimen_date", *counts).unpivot(
-        "day_specimen_date", [f"`{c}`" for c in bands], "band", "count"
+    texts = [F.col(f"`{c}`").cast("string").alias(c) for c in bands]
+    long = wide.select("day_specimen_date", *texts).unpivot(
+        "day_specimen_date", [f"`{c}`" for c in bands], "band", "text"
     )
-    cells = long.select(
+    return long.select(
+        "day_specimen_date",
+        "band",
+        "text",
         parse_dmy(F.col("day_specimen_date")).alias("date_onset"),
         band_from_interval_label(F.col("band"), strict=corrected).alias("age_group"),
-        "count",
-    ).dropna(subset=["date_onset", "age_group"])
-    return expand_counts(cells, "count", corrected=corrected)
+        parse_count(F.col("text")).alias("count"),
+    )
+
+
+def case_bands_to_linelist(wide: DataFrame, *, corrected: bool = False) -> DataFrame:
+    """``day_specimen_date`` plus one ``[lo, hi)`` count column per band -> one row per case."""
+    cells = _band_cells(wide, corrected).select("date_onset", "age_group", "count")
+    return expand_counts(cells.dropna(subset=["date_onset", "age_group"]), "count", corrected=corrected)
+
+
+def case_bands_to_counts(wide: DataFrame, *, corrected: bool = False) -> DataFrame:
+    """(date_onset, age_group, n): the same cases counted, without a row for each.
+
+    A count of zero stands for two cases, as in :func:`expand_counts`, unless ``corrected``.
+    """
+    cells = _band_cells(wide, corrected).dropna(subset=["date_onset", "age_group", "count"])
+    n = F.when(F.col("count") >= 1, F.col("count"))
+    n = n if corrected else n.otherwise(F.lit(2) - F.col("count"))
+    return cells.withColumn("n", n).where("n >= 1").groupBy("date_onset", "age_group").agg(F.sum("n").alias("n"))
+
+
+def case_band_rejects(wide: DataFrame, *, corrected: bool = False) -> DataFrame:
+    """(day_specimen_date, band, text, reason): cells whose cases are not counted because they cannot be read."""
+    reason = (
+        F.when(F.col("date_onset").isNull(), "unreadable date")
+        .when(F.col("age_group").isNull(), "unknown band")
+        .when(F.col("count").isNull(), "unreadable count")
+    )
+    cells = _band_cells(wide, corrected).where("text is not null").withColumn("reason", reason)
+    return cells.where("reason is not null").select("day_specimen_date", "band", "text", "reason")
 
 
 def read_ascertainment(spark: SparkSession, path: str) -> DataFrame:

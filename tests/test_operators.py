@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from surgecast.functions import hashed_uniform
 from surgecast.operators import reshape, sampling, series
 from surgecast.operators.quantiles import central_intervals, median_band
-from surgecast.operators.staging import checkpoint_dir, stage, work_width
+from surgecast.operators.staging import lookup, stage, work_width
 
 
 def numbered(spark, values, key="a"):
@@ -40,7 +40,7 @@ def test_chunks_split_a_hot_row(spark):
 
 def test_work_width_follows_the_work(spark):
     cores = spark.sparkContext.defaultParallelism
-    assert [work_width(spark, n) for n in (0, 60_000, 10**6, 10**9, 10**13)] == [1, 2, cores, 1000, 100_000]
+    assert [work_width(spark, n) for n in (0, 60_000, 10**6, 10**9, 10**13)] == [1, 2, cores, 1000, 10**7]
 
 
 def test_stay_days_drops_reversed_and_open(spark):
@@ -223,8 +223,69 @@ def test_draws_do_not_depend_on_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", width)
 
 
-def test_stage_writes_under_the_checkpoint_folder(spark):
-    staged = stage(spark.range(5))
-    assert staged.count() == 5
-    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert checkpoint_dir(spark) in staged.inputFiles()[0]
+def test_no_row_holds_more_numbers_than_a_block_and_none_start_in_one_task(spark):
+    runs = sampling.strata(spark.createDataFrame([("a", 10**9), ("b", 5)], "g string, n long"), ["g"], "n")
+    chunks = reshape.chunk_rows(runs, F.col("_total"), ["g"])
+    assert chunks.groupBy("g").agg(F.count("*"), F.sum("_size")).orderBy("g").collect() == [("a", 10**5, 10**9), ("b", 1, 5)]
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Generate") < plan.index("REPARTITION_BY_COL") < plan.index("SinglePartition")
+    assert f"{reshape.CHUNKS_PER_BLOCK}" in plan
+
+
+def test_lookup_is_broadcast_only_up_to_its_bound(spark, monkeypatch):
+    big, small = spark.range(100).withColumnRenamed("id", "k"), spark.range(10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in big.join(lookup(small), "k")._jdf.queryExecution().toString()
+        monkeypatch.setattr("surgecast.operators.staging.MOST_BROADCAST_ROWS", 5)
+        assert "BroadcastHashJoin" not in big.join(lookup(small), "k")._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("share", [0.01, 0.1, 0.5])
+def test_chunk_sequences_draw_like_one_hash_per_unit(spark, share):
+    """Mean, variance and both tails of a cell's count over 1000 replicates, against draws hashed one by one."""
+    from surgecast.functions.hashing import key_text, sequence_seeds, sequence_uniform
+
+    n, replicates = 2000, 1000
+    runs = spark.range(replicates).select("id")
+    chunked = runs.withColumns(sequence_seeds(key_text(5, "quality", F.col("id")))).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    single = runs.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(n))))
+
+    def counts(df, u):
+        hits = df.groupBy("id").agg(F.sum((u <= share).cast("int")).alias("x"))
+        return hits.agg(F.avg("x"), F.variance("x"), F.percentile("x", 0.05), F.percentile("x", 0.95)).first()
+
+    a, b = counts(chunked, sequence_uniform("i")), counts(single, hashed_uniform(5, "quality", F.col("id"), F.col("i")))
+    mean, sd = n * share, math.sqrt(n * share * (1 - share))
+    for got in (a, b):
+        assert got[0] == pytest.approx(mean, abs=5 * sd / math.sqrt(replicates))
+        assert got[1] == pytest.approx(sd * sd, rel=0.25)
+        assert got[2] == pytest.approx(mean - 1.645 * sd, abs=0.3 * sd + 1)
+        assert got[3] == pytest.approx(mean + 1.645 * sd, abs=0.3 * sd + 1)
+
+
+def test_stage_writes_to_the_checkpoint_folder_and_nowhere_else_without_one(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    assert before.startswith(f"file:{spark.conf.get('spark.checkpoint.dir')}") or spark.conf.get("spark.checkpoint.dir") in before
+    assert stage(spark.range(5)).count() == 5
+    code = (
+        "import sys; sys.path.insert(0, {root!r})\n"
+        "from checks.session import local_session\nfrom checks.spark_queries import QUERIES\n"
+        "spark = local_session('2', **{{'spark.local.dir': {local!r}, 'spark.sql.warehouse.dir': {house!r}}})\n"
+        "assert QUERIES['rate_numerators'](spark, '/root/testdata/sf0.001').count() > 0\n"
+        "assert spark.sparkContext.getCheckpointDir() is None\n"
+    )
+    import os
+    import subprocess
+    import sys
+
+    folders = {k: str(tmp_path / k) for k in ("local", "house", "tmp", "conf")}
+    for f in folders.values():
+        os.mkdir(f)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"TMPDIR": folders["tmp"], "SPARK_CONF_DIR": folders["conf"]}  # no defaults: no checkpoint folder
+    subprocess.run([sys.executable, "-c", code.format(root=root, local=folders["local"], house=folders["house"])], check=True, env=env, timeout=300)
+    written = [f for k in ("tmp", "house") for _, _, names in os.walk(folders[k]) for f in names if f.startswith("part-")]
+    assert written == []

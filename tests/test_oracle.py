@@ -1,29 +1,14 @@
-"""Registered queries against their SQL, on the smallest tables.
-
-Queries that only look at another step of the same forecast run are left to ``python -m
-checks.compare``, unless ALL_QUERIES is set.
-"""
-
-import os
+"""Registered queries against their SQL, on the smallest tables."""
 
 import pytest
 
+from checks.compare import compare, duck
 from checks.oracle import ORACLE
 from checks.spark_queries import QUERIES
-from checks.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
 
 
-SAME_RUN = {
-    "rate_summary_age", "rate_summary_hosp", "rate_summary_icu", "extend_ascertainment",
-    "expected_patients_ward", "expected_patients_icu", "expected_patients_ed", "draw_ward", "draw_ed",
-    "sampled_occupancy", "sampled_admissions", "sampled_ed", "ensemble_totals", "ensemble_totals_aged",
-    "fan_occupancy", "fan_occupancy_aged", "fan_admissions",
-}
-NAMES = [n for n in QUERIES if n not in SAME_RUN or os.environ.get("ALL_QUERIES")]
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
@@ -33,7 +18,7 @@ def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     diff, n = compare(spark, con, SF, QUERIES[name], ORACLE[name])
     assert diff == "" and n > 0
