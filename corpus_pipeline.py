@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surgecast.llm import bpe, mixing, ngram_join, pii, quality_cnn
-from surgecast.llm.common import cut, stored, table
+from surgecast.llm.common import bounded_batches, cut, stored, table
 from surgecast.llm.queries import LEAST_QUALITY, TOKENIZER, levels
 
 #: Documents are taken once at most, since the stages before have removed copies.
@@ -35,6 +35,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject. Null texts are judged as empty ones."""
+    bounded_batches(spark)
     network = quality_cnn.train(docs, table(spark, sf_dir, "labels"))
     scored = quality_cnn.scored(docs.select(_row(docs), "text"), "text", network, "score")
     return scored.filter(F.col("score") >= LEAST_QUALITY).select("row.*")
@@ -46,6 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat an id are one document: of those only the one with the smallest text (null
     first) stays. Documents without words, and rows without id, belong to no group and stay.
     """
+    bounded_batches(spark)
     joined = cut(ngram_join.join_ngrams(docs, "doc_id", "text"))
     kept = _without(docs, joined.filter("component <> doc_id").select(F.col("doc_id").alias("id")))
     repeats = cut(joined.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count().filter("count > 1").select("id"))
@@ -72,6 +74,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and the hash of the decoded text of every document."""
+    bounded_batches(spark)
     coded = bpe.encode_documents(docs, "doc_id", "text", TOKENIZER)
     return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

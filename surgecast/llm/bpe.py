@@ -20,8 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose encoding a task keeps at most, and the longest such word.
-KEPT_WORDS = 200_000
+#: A task keeps the encodings of so many words last met, and of as many before them; and the longest such word.
+KEPT_WORDS = 100_000
 KEPT_LENGTH = 64
 #: Rows turned into ids at once.
 ROWS_AT_ONCE = 500
@@ -58,6 +58,7 @@ class WordBpe:
         self.parts: dict[int, tuple[int, int, int] | None] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.kept: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
         self.automaton = ahocorasick.Automaton()
         for token, i in self.ids.items():
             ends = token.endswith(self.mark) and len(token) > len(self.mark)
@@ -112,9 +113,9 @@ class WordBpe:
 
     def word(self, word: str) -> tuple[int, ...]:
         """Ids of one word of the pattern."""
-        known = self.kept.get(word)
+        known = self.kept.get(word) or self.before.get(word)
         if known is not None:
-            return known
+            return self._keep(word, known)
         text = "".join([self.letters[b] for b in word.encode("utf-8")])
         n = len(text)
         last, back = [0] * (n + 1), [-1] * (n + 1)
@@ -130,11 +131,13 @@ class WordBpe:
             ids.append(last[at])
             at = back[at]
         found = tuple(reversed(ids))
-        if n <= KEPT_LENGTH:
-            if len(self.kept) >= KEPT_WORDS:
-                self.kept.clear()
-            self.kept[word] = found
-        return found
+        return self._keep(word, found) if n <= KEPT_LENGTH else found
+
+    def _keep(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(self.kept) >= KEPT_WORDS:
+            self.before, self.kept = self.kept, {}
+        self.kept[word] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text. Special tokens in it become their ids; the rest is composed (NFC), lower-cased

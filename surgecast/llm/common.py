@@ -13,6 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that are sent to Python at once at most. Texts are long, and a worker holds a batch several times.
+ROWS_A_BATCH = 500
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have the session send smaller Arrow batches; called by the queries and the pipeline."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_A_BATCH:
+        spark.conf.set(name, str(ROWS_A_BATCH))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder.
 
@@ -36,6 +47,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Narrow rows that one task works on; larger tables are spread over the shuffle partitions.
+ROWS_A_TASK = 250_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` as by :func:`cut`; if one task can work on its counted rows, as one partition, which needs no shuffles."""
+    kept = cut(df)
+    rows, last = kept.select(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)), F.max("part")).first()
+    if rows > ROWS_A_TASK:
+        return kept
+    return (cut(kept.repartition(1)) if last else kept).coalesce(1)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept as a Parquet table in the checkpoint folder; for larger ones."""
     spark = df.sparkSession

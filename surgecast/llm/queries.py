@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgecast.llm import bpe, compact_windows, merkle, mixing, ngram_join, pii, pq_dedup, quality_cnn, sharding, urls
-from surgecast.llm.common import table
+from surgecast.llm.common import bounded_batches, table
 
 SHARDS = (1.0,) * 8
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -32,10 +32,12 @@ def levels() -> dict:
 
 
 def op1_pq_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     return pq_dedup.dedup_embeddings(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", 0.93)
 
 
 def op2_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     return merkle.fingerprint_documents(table(spark, sf, "documents"), "doc_id", "text")
 
 
@@ -44,6 +46,7 @@ def op3_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_compact_windows(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     found = compact_windows.find_passages(table(spark, sf, "documents"), "doc_id", "text")
     return found.withColumnRenamed("component", "component_id")
 
@@ -53,6 +56,7 @@ def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     coded = bpe.encode_documents(table(spark, sf, "documents"), "doc_id", "text", TOKENIZER)
     return coded.select(
         "doc_id",
@@ -71,11 +75,13 @@ def op7_url_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     joined = ngram_join.join_ngrams(table(spark, sf, "documents"), "doc_id", "text")
     return joined.select("doc_id", F.col("n_ngrams").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
     network = quality_cnn.train(docs, table(spark, sf, "labels"))
     scored = quality_cnn.scored(docs, "text", network, "score")
