@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surgecast.llm.common import cut
+from surgecast.llm.common import sized
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,19 +17,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     sees one row count and checksum a round; no node's links are gathered in one task, since minima
     combine before the shuffle and the joins have one row per node on their other side.
     """
-    pairs = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
+    pairs = sized(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
     seen = None
     while True:
-        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = pairs.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("x")).select("x.*")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(least, "u")
-        small = hung.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        pairs = cut(small.distinct())
+        hung = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        small = hung.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
+        pairs = sized(small.select("x.*").filter("u <> v").distinct())
         now = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen or not now[0]:
             break
         seen = now
-    roots = pairs.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node"), F.col("v").alias("component"))
+    return nodes.distinct()
+

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgecast.llm.common import cut, stored
+from surgecast.llm.common import ROWS_A_TASK, cut, sized, stored
 from surgecast.llm.components import components
 
 WORDS = 5
@@ -34,10 +34,12 @@ NUM, DEN = 4, 5
 ROWS_A_GROUP = 100_000
 #: Sets in one prefix tree.
 SETS_A_TREE = 64
-#: Ids that may be broadcast to fetch texts; more are joined by shuffle.
+#: Rows that may be broadcast to fetch texts; more are joined by shuffle.
 BROADCAST_IDS = 100_000
 #: What is left unlinked is compared pair by pair when that makes so many pairs a row, or after so many star rounds.
-PAIRS_A_ROW, STAR_ROUNDS = 20, 3
+PAIRS_A_ROW, STAR_ROUNDS = 4, 3
+#: Sets behind an n-gram that the others are compared with in each star round after the first.
+HUBS = 16
 _PRIME = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_PRIME, i + 1, 1 << 64) for i in range(WORDS)], np.uint64)
 
@@ -216,15 +218,13 @@ def _possible(a: str, b: str) -> Column:
 def _compared(docs: DataFrame, pairs: DataFrame, ids: DataFrame, rank: np.ndarray) -> DataFrame:
     """The pairs (a, b) of set names that reach the threshold."""
     sides = pairs.join(ids.select(F.col("name").alias("a"), F.col("k").alias("ka")), "a").join(ids.select(F.col("name").alias("b"), F.col("k").alias("kb")), "b")
-    sides = cut(sides)
-    hubs = sides.groupBy("b", "kb").agg(F.count(F.lit(1)).alias("each")).withColumn("trees", F.ceil(F.col("each") / SETS_A_TREE))
-    blocked = sides.join(hubs.select("b", "trees"), "b").withColumn("tree", F.pmod(F.xxhash64("a"), "trees"))
-    asked = blocked.select("b", "tree", F.lit(1).alias("role"), F.col("a").alias("name"), F.col("ka").alias("k"))
-    asked = asked.union(blocked.select("b", "tree", F.lit(0).alias("role"), F.col("b").alias("name"), F.col("kb").alias("k")).distinct())
-    need = cut(asked.select("k").distinct())
-    few = need.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(need) if few else need, "k", "left_semi")
-    rows = asked.join(texts, "k").select("b", "tree", "role", "name", "t")
+    sides = sized(sides)
+    hubs = sides.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SETS_A_TREE).alias("trees"))
+    blocked = sides.join(hubs, "b").withColumn("tree", F.pmod(F.xxhash64("a"), "trees"))
+    compared, with_ = (F.struct(F.lit(role).alias("role"), F.col(x).alias("name"), F.col(f"k{x}").alias("k")) for role, x in ((1, "a"), (0, "b")))
+    asked = sized(blocked.select("b", "tree", F.explode(F.array(compared, with_)).alias("x")).select("b", "tree", "x.*").distinct())
+    few = asked.count() <= BROADCAST_IDS
+    rows = docs.join(F.broadcast(asked) if few else asked, "k").select("b", "tree", "role", "name", "t")
     rows = rows.repartition("b", "tree").sortWithinPartitions("b", "tree", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +255,7 @@ def _compared(docs: DataFrame, pairs: DataFrame, ids: DataFrame, rank: np.ndarra
         close()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return cut(rows.mapInArrow(compare, "a long, b long"))
+    return sized(rows.mapInArrow(compare, "a long, b long"))
 
 
 def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -277,7 +277,7 @@ def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
     rank = np.empty(1 << 16, np.uint32)
     rank[np.argsort(times, kind="stable")] = np.arange(1 << 16, dtype=np.uint32)
     salts = 1 + times // ROWS_A_GROUP
-    ids = sets.filter("n > 0 and k is not null").groupBy("name").agg(F.min("k").alias("k"))
+    ids = sized(sets.filter("n > 0 and k is not null").groupBy("name").agg(F.min("k").alias("k")))
 
     # One exchange by n-gram; it holds no set twice within a task and is read once.
     rows = _prefixes(docs.filter("k is not null"), rank, salts).repartition("gram", "salt")
@@ -300,15 +300,18 @@ def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, rank: np.ndarray
     found = spark.createDataFrame([], "a long, b long")
     tried, roots = found, spark.createDataFrame([], "name long, root long")
     rows = shared.count()
+    if rows <= ROWS_A_TASK:
+        shared = shared.coalesce(1)
     for turn in range(STAR_ROUNDS + 1):
         rooted = shared.withColumn("root", F.col("name"))
         last = turn == STAR_ROUNDS
         if turn:
             rooted = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
             # N-grams behind which all sets are linked already need no further look.
-            mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).cast("double").alias("c"))
-            mixed = cut(mixed.filter("lo <> hi").select("gram", "c"))
-            pairs = mixed.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0]
+            mixed = rooted.groupBy("gram", "root").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("gram")
+            mixed = mixed.agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same")).withColumn("pairs", (F.col("c") * F.col("c") - F.col("same")) / 2)
+            mixed = sized(mixed.filter("pairs > 0").select("gram", "pairs"))
+            pairs = mixed.agg(F.sum("pairs")).first()[0]
             if pairs is None:
                 break
             last = last or pairs <= PAIRS_A_ROW * rows
@@ -322,11 +325,12 @@ def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, rank: np.ndarray
             known = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(known, ["a", "b"], "left_anti")
         else:
-            hub = F.min_by(F.struct("name", "n", "at", "root"), F.xxhash64("name", F.lit(turn)))
-            hubs = rooted.groupBy("gram").agg(hub.alias("hub")).select("gram", "hub.*")
+            # One set behind most n-grams explains all others; where it does not, several at a time do so sooner.
+            hub = [F.min_by(F.struct("name", "n", "at", "root"), F.xxhash64("name", F.lit(turn), F.lit(i))) for i in range(HUBS if turn else 1)]
+            hubs = rooted.groupBy("gram").agg(F.array_distinct(F.array(*hub)).alias("hubs")).select("gram", F.explode("hubs").alias("hub")).select("gram", "hub.*")
             met = rooted.alias("x").join(hubs.alias("y"), "gram").filter((F.col("x.root") != F.col("y.root")) & _possible("x", "y"))
             pairs = met.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
-        pairs = cut(pairs)
+        pairs = sized(pairs)
         if not pairs.isEmpty():
             linked = _compared(docs, pairs, ids, rank)
             tried, found = tried.union(pairs), found.union(linked)

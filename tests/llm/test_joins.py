@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from surgecast.llm import common
 from surgecast.llm import compact_windows as cw
 from surgecast.llm import ngram_join as nj
 from surgecast.llm import pq_dedup as pq
@@ -22,7 +23,9 @@ WORDS = [f"w{i}" for i in range(400)]
 # --- components -------------------------------------------------------------------------------
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("rows", [0, 1 << 20])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "ROWS_A_TASK", rows)
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 400)] + [(5, 5)]
     links += [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(260)]
@@ -97,6 +100,7 @@ def test_join_by_brute_force(spark, monkeypatch, seed, crowded):
         monkeypatch.setattr(nj, "ROWS_A_GROUP", 1)
         monkeypatch.setattr(nj, "SETS_A_TREE", 2)
         monkeypatch.setattr(nj, "BROADCAST_IDS", 0)
+        monkeypatch.setattr(common, "ROWS_A_TASK", 0)
     rows = near_copies(seed)
     got = nj.join_ngrams(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
     assert {r.doc_id: (r.n_ngrams, r.component) for r in got} == brute_join(rows)
@@ -233,6 +237,7 @@ def test_planted_passages(spark, monkeypatch, crowded, changed):
         monkeypatch.setattr(cw, "ROWS_A_GROUP", 1)
         monkeypatch.setattr(cw, "TEXTS_A_GROUP", 2)
         monkeypatch.setattr(cw, "BROADCAST_IDS", 0)
+        monkeypatch.setattr(common, "ROWS_A_TASK", 0)
     rows, where = planted(6, changed=changed)
     got = {r.doc_id: r for r in cw.find_passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
     assert {i for i, r in got.items() if r.n_passages} == set(where)
