@@ -219,10 +219,11 @@ def _compared(docs: DataFrame, pairs: DataFrame, ids: DataFrame, rank: np.ndarra
     """The pairs (a, b) of set names that reach the threshold."""
     sides = pairs.join(ids.select(F.col("name").alias("a"), F.col("k").alias("ka")), "a").join(ids.select(F.col("name").alias("b"), F.col("k").alias("kb")), "b")
     sides = sized(sides)
-    hubs = sides.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SETS_A_TREE).alias("trees"))
-    blocked = sides.join(hubs, "b").withColumn("tree", F.pmod(F.xxhash64("a"), "trees"))
-    compared, with_ = (F.struct(F.lit(role).alias("role"), F.col(x).alias("name"), F.col(f"k{x}").alias("k")) for role, x in ((1, "a"), (0, "b")))
-    asked = sized(blocked.select("b", "tree", F.explode(F.array(compared, with_)).alias("x")).select("b", "tree", "x.*").distinct())
+    hubs = sides.groupBy("b", "kb").agg(F.ceil(F.count(F.lit(1)) / SETS_A_TREE).cast("long").alias("trees"))
+    blocked = sides.join(hubs.select("b", "trees"), "b").withColumn("tree", F.pmod(F.xxhash64("a"), "trees"))
+    compared = blocked.select("b", "tree", F.lit(1).alias("role"), F.col("a").alias("name"), F.col("ka").alias("k"))
+    trees = hubs.withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)))
+    asked = sized(compared.union(trees.select("b", "tree", F.lit(0).alias("role"), F.col("b").alias("name"), F.col("kb").alias("k"))))
     few = asked.count() <= BROADCAST_IDS
     rows = docs.join(F.broadcast(asked) if few else asked, "k").select("b", "tree", "role", "name", "t")
     rows = rows.repartition("b", "tree").sortWithinPartitions("b", "tree", "role")
