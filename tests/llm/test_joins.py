@@ -210,6 +210,52 @@ def test_windows_group_all_runs(values, shortest):
             assert any(l <= i and j <= r and h[c] == low and i <= z and j >= c for l, c, z, r in nodes)
 
 
+def brute_passage(a, b):
+    """Most n-grams of the first text in two long enough ranges that reach the threshold and that common n-grams
+    begin and end; 0 for none. No n-gram repeats in a text."""
+    same = np.pad(np.cumsum(np.cumsum(a[:, None] == b, axis=0), axis=1), ((1, 0), (1, 0)))
+    (s, e), (x, y) = (
+        np.array([(i, j) for i in np.flatnonzero(c) for j in np.flatnonzero(c) + 1 if j - i >= cw.SHORTEST] or [(0, 0)]).T
+        for c in (np.isin(a, b), np.isin(b, a))
+    )
+    both = same[np.ix_(e, y)] - same[np.ix_(s, y)] - same[np.ix_(e, x)] + same[np.ix_(s, x)]
+    good = (9 * both >= 4 * ((e - s)[:, None] + (y - x))) & (both > 0)
+    return int(((e - s) * good.any(axis=1)).max())
+
+
+def inserted(rng, words, places, each):
+    """The words with new ones inserted at some places."""
+    for at in sorted(places, reverse=True):
+        words = [*words[:at], *(f"new{rng.randrange(10**9)}" for _ in range(each)), *words[at:]]
+    return words
+
+
+@pytest.mark.parametrize(("length", "places", "each"), [(58, [29], 3), (88, [44], 7), (120, [30, 70], 5), (70, [20, 50], 1), (52, [26], 2), (60, [30], 14)])
+@pytest.mark.parametrize("around", [0, 12])
+@pytest.mark.parametrize("twice", [False, True])
+def test_insertions_and_deletions_by_brute_force(length, places, each, around, twice):
+    """Runs near the threshold with foreign words on one side only, alone or beside each other."""
+    rng = random.Random(length)
+    a, b, where = [], [], []
+    for _ in range(1 + twice):
+        base = [f"v{rng.randrange(10**9)}" for _ in range(length)]
+        longer = inserted(rng, base, places, each)
+        (_, x), (_, y) = cw.sequence_hashes(" ".join(base)), cw.sequence_hashes(" ".join(longer))
+        where.append((len(a) + around, len(a) + around + length, brute_passage(x, y)))
+        for text, own in ((a, base), (b, longer)):
+            text += [f"x{rng.randrange(10**9)}" for _ in range(around)] + own + [f"x{rng.randrange(10**9)}" for _ in range(around)]
+    (_, h), (_, g) = cw.sequence_hashes(" ".join(a)), cw.sequence_hashes(" ".join(b))
+    for one, other, side in ((h, g, 0), (g, h, 2)):
+        got = cw.passages(one, other, (0, len(one) - 1, 0, len(other) - 1))
+        assert bool(got) == (any(longest for *_, longest in where) or brute_passage(one, other) > 0)
+        for s, e, x, y in got:
+            one_set, other_set = set(one[s : e - 4].tolist()), set(other[x : y - 4].tolist())
+            assert 5 * len(one_set & other_set) >= 4 * len(one_set | other_set)
+        for s, e, longest in where:
+            inside = sum(max(0, min(e, p[side + 1]) - max(s, p[side])) for p in got)
+            assert inside >= 0.9 * longest
+
+
 def planted(seed, passage=60, changed=0):
     rng, rows = random.Random(seed), []
     shared = [[rng.choice(WORDS) for _ in range(passage)] for _ in range(4)]
