@@ -298,6 +298,36 @@ def test_planted_passages(spark, monkeypatch, crowded, changed):
         assert {got[i].component for i in ids} == {min(ids)}
 
 
+def agree(x, y):
+    """Whether windows of two texts, under enough functions, share a minimum and a range, so that they are compared."""
+    rows = []
+    for f, seed in enumerate(cw._SEEDS):
+        nodes = [{int(h[c]): (l, r) for l, c, _, r in cw.windows(cw.mixed_hash(h ^ seed))} for h in (x, y)]
+        rows += [(f, *nodes[0][m], *nodes[1][m]) for m in nodes[0].keys() & nodes[1].keys()]
+    return bool(rows) and bool(cw.regions(*np.array(rows).T))
+
+
+def test_chains_of_near_copies_with_one_hub(spark, monkeypatch):
+    """Links that only the last round can find, between texts that are explained and of different roots."""
+    monkeypatch.setattr(cw, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(cw, "HUBS", 1)
+    rng, rows, want = random.Random(8), [], Union()
+    for chain in range(12):
+        words = [f"v{rng.randrange(10**9)}" for _ in range(56)]
+        for step, at in enumerate([None, *range(10, 46, 5)]):  # one word further: near the neighbours, no others
+            if step:
+                words[at] = f"v{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    grams = [cw.sequence_hashes(t)[1] for _, t in rows]
+    assert [[brute_passage(x, y) > 0 for y in grams[:9]] for x in grams[:9]] == [[abs(i - j) <= 1 for j in range(9)] for i in range(9)]
+    links = [(i, i + 1) for i in range(len(rows) - 1) if i % 9 < 8 and agree(grams[i], grams[i + 1])]
+    assert len(links) >= 0.95 * 12 * 8
+    for a, b in links:
+        want.link(a, b)
+    found = cw.find_passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    assert {r.doc_id: r.component for r in found.collect()} == {i: want.top(i) for i, _ in rows}
+
+
 def test_repeated_runs_of_the_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = {r.doc_id: r for r in cw.find_passages(docs, "doc_id", "text").collect()}
