@@ -57,6 +57,11 @@ def kmeans(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return centers
 
 
+#: Two vectors of different lists lie on different sides of the bisector, so one of them is within half of their
+#: distance of it and probes the other's list.
+MARGIN = 0.5
+
+
 @dataclass
 class Index:
     """Coarse centroids and, for each subspace, the code words of residuals."""
@@ -117,7 +122,7 @@ class Index:
 def fit(raw: list[np.ndarray], vectors: int, longest: int, cosine: float) -> Index:
     """Index fitted on a sample. The number of lists grows with the root of the number of vectors."""
     width = -(-max(longest, 1) // SUBSPACES) * SUBSPACES
-    index = Index(np.zeros((1, width)), [np.zeros((1, width // SUBSPACES))] * SUBSPACES, math.sqrt(2 - 2 * cosine), min(1.0, 2 / math.sqrt(max(longest, 1))))
+    index = Index(np.zeros((1, width)), [np.zeros((1, width // SUBSPACES))] * SUBSPACES, math.sqrt(2 - 2 * cosine), MARGIN)
     if raw:
         x = index.unit(raw)
         index.coarse = kmeans(x, max(1, min(int(math.sqrt(vectors) / 2), len(x) // 16)), 1)
@@ -132,7 +137,7 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-_LISTED = "label string, length int, list int, role int, spread long, id long, copies long, raw binary, codes binary, error double"
+_LISTED = "label string, length int, list int, role int, spread long, id long, copies long, raw binary, codes binary, error double, lists binary"
 
 
 def _listed(classes: DataFrame, index: Index) -> DataFrame:
@@ -150,10 +155,10 @@ def _listed(classes: DataFrame, index: Index) -> DataFrame:
                 rows = []
                 for i, lists in enumerate(index.probes(x, homes)):
                     blob = raw[i].tobytes()
-                    rows.append((labels[i], len(raw[i]), int(homes[i]), 0, ids[i], ids[i], copies[i], blob, codes[i].tobytes(), float(errors[i])))
-                    rows += [(labels[i], len(raw[i]), int(home), 1, ids[i], ids[i], copies[i], blob, None, None) for home in lists]
-                names = ["label", "length", "list", "role", "spread", "id", "copies", "raw", "codes", "error"]
-                kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.float64()]
+                    rows.append((labels[i], len(raw[i]), int(homes[i]), 0, ids[i], ids[i], copies[i], blob, codes[i].tobytes(), float(errors[i]), lists.tobytes()))
+                    rows += [(labels[i], len(raw[i]), int(home), 1, ids[i], ids[i], copies[i], blob, None, None, homes[i].tobytes()) for home in lists]
+                names = ["label", "length", "list", "role", "spread", "id", "copies", "raw", "codes", "error", "lists"]
+                kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.float64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return classes.select("id", "label", "copies", "vector").mapInArrow(deal, _LISTED)
@@ -173,11 +178,11 @@ def _blocked(listed: DataFrame) -> DataFrame:
     q = F.when(F.col("role") == 0, F.col("other")).otherwise(F.col("own"))
     rows = rows.withColumn("m", m).withColumn("q", q)
     keys = ["label", "length", "list", "m", "q"]
-    return rows.select(*keys, "role", "id", "copies", "raw", "codes", "error").repartition(*keys).sortWithinPartitions(*keys, "role")
+    return rows.select(*keys, "role", "id", "copies", "raw", "codes", "error", "lists").repartition(*keys).sortWithinPartitions(*keys, "role")
 
 
 def _compared(rows: DataFrame, index: Index, cosine: float) -> DataFrame:
-    """(node, root, links): vectors linked in a block under one of them, and copies of linked ones per query."""
+    """(node, root, links): vectors linked in a block under one of them, and copies of linked ones per query, and per member that does not ask back."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: tuple | None = None
@@ -196,6 +201,7 @@ def _compared(rows: DataFrame, index: Index, cosine: float) -> DataFrame:
                 state["unit"] = index.unit([np.frombuffer(m[2]) for m in members])
                 state["codes"] = np.stack([np.frombuffer(m[3], np.uint8) for m in members])
                 state["errors"] = np.array([m[4] for m in members])
+                state["lists"] = [set(np.frombuffer(m[5], np.int64).tolist()) for m in members]
                 state["root"] = {}
             ids = np.array([q[0] for q in queries], np.int64)
             x = index.unit([np.frombuffer(q[2]) for q in queries])
@@ -204,6 +210,11 @@ def _compared(rows: DataFrame, index: Index, cosine: float) -> DataFrame:
             exact = np.einsum("nd,nd->n", x[i], state["unit"][j]) >= cosine
             i, j = i[exact], j[exact]
             links = np.bincount(i, state["copies"][j], len(ids)).astype(np.int64)
+            # A member that does not probe the query's list never sees the query.
+            homes = [int(np.frombuffer(q[5], np.int64)[0]) for q in queries]
+            for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                if homes[a] not in state["lists"][b]:
+                    out.append((members[b][0], members[b][0], queries[a][1]))
             root = state["root"]
 
             def top(a: int) -> int:

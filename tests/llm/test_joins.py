@@ -158,6 +158,16 @@ def test_vectors_by_brute_force(spark, monkeypatch, crowded):
     assert found >= 0.95 * there  # recall of links
 
 
+def test_pairs_across_lists_count_for_both(spark):
+    """Pairs on a circle, which the lists cut along the pairs' own direction."""
+    rows = []
+    for pair in range(300):
+        for at in (0.021 * pair, 0.021 * pair + 0.36):
+            rows.append((len(rows), [float(np.cos(at)), float(np.sin(at))] + [0.0] * 62, pair))
+    got = pq.dedup_embeddings(spark.createDataFrame(rows, "id long, v array<double>, c int"), "id", "v", "c", 0.93).collect()
+    assert {r.id: (r.n_links, r.component_id) for r in got} == brute_vectors(rows, 0.93)
+
+
 def test_recall_on_the_table(spark):
     e = table(spark, "/root/testdata/check_s", "embeddings")
     rows = [(r.vec_id, r.label, r.embedding) for r in e.collect()]
