@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgecast.llm import bpe, compact_windows, manifest, merkle, mixing, ngram_join, pii, pq_dedup, quality_cnn, sharding, urls
+from surgecast.llm import bpe, compact_windows, manifest, merkle, mixing, ngram_join, outliers, pii, pq_dedup, quality_cnn, sharding, spelling, urls
 from surgecast.llm.common import bounded_batches, table
 
 SHARDS = (1.0,) * 8
@@ -103,6 +103,11 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *map(number, pii.KINDS), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
+def op11_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    judged = outliers.judge_documents(table(spark, sf, "documents"), "doc_id", "text", "lang", "source")
+    return judged.drop("n_lines", "square")
+
+
 def check_documents(docs: DataFrame, **shape: int) -> DataFrame:
     """Rows with an even checksum of their number are checked after their text has lost its line ends."""
     even = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
@@ -114,7 +119,25 @@ def op12_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return check_documents(table(spark, sf, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pq_dedup, op2_merkle, op3_rendezvous, op4_compact_windows, op5_mixing, op6_bpe, op7_url_rules, op8_ngram_join, op9_quality, op10_pii, op12_manifest)
+    for f in (
+        op1_pq_dedup,
+        op2_merkle,
+        op3_rendezvous,
+        op4_compact_windows,
+        op5_mixing,
+        op6_bpe,
+        op7_url_rules,
+        op8_ngram_join,
+        op9_quality,
+        op10_pii,
+        op11_outliers,
+        op12_manifest,
+        op13_spelling,
+    )
 }
