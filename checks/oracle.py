@@ -5,7 +5,19 @@ from __future__ import annotations
 
 import re
 
-from checks.views import BIG_CONFIG, CORRECTED, EV_CONFIG, EV_FORECAST_DATE, EV_HOSPITAL_PATH, FORECAST_SCENARIOS, ODD_END, VIEWS
+from checks.views import (
+    BIG_CONFIG,
+    CORRECTED,
+    EV_CONFIG,
+    EV_FORECAST_DATE,
+    EV_HOSPITAL_PATH,
+    FORECAST_SCENARIOS,
+    LONG_CONFIG,
+    ODD_END,
+    RERUN_CONFIG,
+    RERUN_SCENARIO,
+    VIEWS,
+)
 from surgecast import StudyConfig
 from surgecast.functions import AGE_BANDS
 from surgecast.sources.linelists import data_date_of
@@ -116,7 +128,7 @@ WHERE age_group IS NOT NULL AND date_discharge >= date_admit"""
 # --- occupancy ------------------------------------------------------------------------------------
 
 
-def occupancy_sql(stays: str, aged: bool) -> str:
+def occupancy_sql(stays: str, aged: bool, cap: int = 14) -> str:
     by = "age_group, " if aged else ""
 
     def person_days(start: str, end: str) -> str:
@@ -125,7 +137,7 @@ def occupancy_sql(stays: str, aged: bool) -> str:
       SELECT *, row_number() OVER (PARTITION BY person_id, day ORDER BY date_admit, date_onset, age_group) AS rn
       FROM (SELECT person_id, age_group, date_admit, date_onset,
               {days(f"greatest({start}, date_onset)", "last_day")} AS day
-            FROM (SELECT *, least({end}, date_onset + 14) AS last_day FROM {stays} WHERE {start} IS NOT NULL)
+            FROM (SELECT *, least({end}, date_onset + {cap}) AS last_day FROM {stays} WHERE {start} IS NOT NULL)
             WHERE last_day >= greatest({start}, date_onset)))
     WHERE rn = 1 GROUP BY {by}day"""
 
@@ -193,16 +205,18 @@ FROM (SELECT age_group, person_id, unnest(range(CAST({start} - date_onset AS BIG
 GROUP BY ALL"""
 
 
-def define(CFG: StudyConfig, odd: bool = False) -> None:
-    """The CTEs of a study. ``odd``: the trajectory has a scenario that ends early and one without rates."""
+def define(CFG: StudyConfig, odd: bool = False, draw_seed: int | None = None) -> None:
+    """The CTEs of a study. ``odd``: the trajectory has a scenario that ends early and one without rates.
+    ``draw_seed``: of patients, if another than that of the rates."""
     SEED = CFG.seed
+    DRAW_SEED = SEED if draw_seed is None else draw_seed
     data_date = d(data_date_of(EV_HOSPITAL_PATH)) if CFG.corrected else None
 
     def uniform(purpose: str, *keys: str) -> str:
-        return uniform_of(SEED, purpose, *keys)
+        return uniform_of(DRAW_SEED, purpose, *keys)
 
     def seeds(purpose: str, *keys: str) -> str:
-        return seeds_of(SEED, purpose, *keys)
+        return seeds_of(SEED if purpose == "boot" else DRAW_SEED, purpose, *keys)
 
     CTES["big_stays"] = hospital_sql("big_hospital", BIG_CONFIG.study_start)
     CTES["big_mixed_stays"] = hospital_sql("big_hospital_mixed", BIG_CONFIG.study_start)
@@ -360,8 +374,24 @@ def define(CFG: StudyConfig, odd: bool = False) -> None:
       UNION ALL {stay_rows("ICU", '"date_ICU_admit"', '"date_ICU_discharge"')}
       UNION ALL SELECT DISTINCT 'ED', age_group, person_id, CASE WHEN date_presentation - date_onset BETWEEN 0 AND 14
         THEN [CAST(date_presentation - date_onset AS BIGINT)] END FROM presentations WHERE date_presentation < {MATURE})"""
-    CTES["numbered_patterns"] = """
-    SELECT *, row_number() OVER (PARTITION BY grp, age_group ORDER BY mask) - 1 AS pos FROM pattern_rows"""
+    # An alias table: what a slot lacks is owed by the heavy pattern whose summed surplus exceeds the deficits before.
+    CTES["weighed_patterns"] = """
+    SELECT *, row_number() OVER w - 1 AS slot, count(*) OVER (PARTITION BY grp, age_group) AS slots,
+      CAST(sum(n) OVER (PARTITION BY grp, age_group) AS BIGINT) AS total
+    FROM (SELECT grp, age_group, mask, any_value(days) AS days, count(*) AS n FROM pattern_rows GROUP BY grp, age_group, mask)
+    WINDOW w AS (PARTITION BY grp, age_group ORDER BY mask)"""
+    CTES["light_patterns"] = """
+    SELECT *, sum(total - n * slots) OVER (PARTITION BY grp, age_group ORDER BY slot) AS owed FROM weighed_patterns WHERE n * slots <= total"""
+    CTES["heavy_patterns"] = """
+    SELECT *, sum(n * slots - total) OVER w AS surplus, lead(slot) OVER w AS further
+    FROM weighed_patterns WHERE n * slots > total WINDOW w AS (PARTITION BY grp, age_group ORDER BY slot)"""
+    CTES["alias_table"] = """
+    SELECT l.grp, l.age_group, l.slot, l.slots, l.total, l.n * l.slots AS own, coalesce(min(h.slot), l.slot) AS alias
+    FROM light_patterns l LEFT JOIN heavy_patterns h ON l.grp = h.grp AND l.age_group = h.age_group AND h.surplus > l.owed - (l.total - l.n * l.slots)
+    GROUP BY l.grp, l.age_group, l.slot, l.slots, l.total, l.n
+    UNION ALL SELECT h.grp, h.age_group, h.slot, h.slots, h.total, h.total + h.surplus - min(l.owed), coalesce(h.further, h.slot)
+    FROM heavy_patterns h JOIN light_patterns l ON l.grp = h.grp AND l.age_group = h.age_group AND l.owed >= h.surplus
+    GROUP BY h.grp, h.age_group, h.slot, h.slots, h.total, h.surplus, h.further"""
     CTES["pattern_sizes"] = "SELECT grp, age_group, count(*) AS total FROM pattern_rows GROUP BY ALL"
     CTES["expected"] = """
     SELECT scenario_label, grp, bootstrap, age_group, date_onset, round(CASE grp
@@ -382,9 +412,11 @@ def define(CFG: StudyConfig, odd: bool = False) -> None:
       FROM realised JOIN pattern_sizes USING (grp, age_group) WHERE n > 0 AND age_group IN ({_bands}))"""
     CTES["patients"] = f"""
     SELECT scenario_label, grp, bootstrap, age_group, date_onset, days, mask
-    FROM (SELECT *, least(CAST(floor({seeded_uniform("i")} * total) AS BIGINT), total - 1) AS pos
-      FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM patient_chunks))
-    JOIN numbered_patterns USING (grp, age_group, pos)"""
+    FROM (SELECT *, least(CAST(floor({seeded_uniform("i")} * CAST(slots * total AS DOUBLE)) AS BIGINT), slots * total - 1) AS pos
+      FROM (SELECT *, CAST({units("n")} AS HUGEINT) AS i FROM patient_chunks) JOIN (SELECT DISTINCT grp, age_group, slots FROM alias_table) USING (grp, age_group))
+    JOIN (SELECT grp AS g, age_group AS a, slot, own, alias FROM alias_table) ON g = grp AND a = age_group AND slot = pos // total
+    JOIN (SELECT grp AS wg, age_group AS wa, slot AS drawn, days, mask FROM weighed_patterns)
+      ON wg = grp AND wa = age_group AND drawn = CASE WHEN pos % total < own THEN slot ELSE alias END"""
     CTES["occupied"] = """
     SELECT scenario_label, grp, bootstrap, age_group, date, count(*) AS n
     FROM (SELECT scenario_label, grp, bootstrap, age_group, date_onset + CAST(unnest(days) AS INTEGER) AS date
@@ -448,6 +480,19 @@ SELECT date_onset, age_group FROM (
 
 
 ORACLE["read_case_linelist"] = _case_lines()
+ORACLE["reject_counts"] = "SELECT 'cases' AS input, * FROM (VALUES " + ", ".join(
+    f"('{name}', (SELECT count(*) FROM events WHERE {'event_id % 13 = 0' if name == 'AGE_AT_EVENT_YEARS' else 'event_id % 17 = 0' if name == 'SYMPTOM_ONSET_DATE' else 'false'}))"
+    for name in (
+        "CASE_ID", "EARLIEST_CONFIRMED_OR_PROBABLE", "SYMPTOM_ONSET_DATE", "CALCULATED_ONSET_DATE", "AGE_AT_EVENT_YEARS",
+        "DATE_ISOLATION_BEGAN", "SETTING_OF_TRANSMISSION_DATE", "INTERVIEWED_DATE", "S_gene_result_date",
+    )
+) + ') AS t("column", n)'
+_known_person = "CAST(person_id AS VARCHAR) AS person_id, CAST(age AS DOUBLE) AS age, "
+ORACLE["read_hospital_export"] = build(f"SELECT {_known_person}" + ", ".join(
+    f"CAST({c} AS TIMESTAMP) AS {c}" for c in ("ncims_calc_onset_dt", "admit_date", "discharge_date", "first_icu_date", "last_icu_date")
+) + " FROM big_hospital")
+ORACLE["read_ed_export"] = build(f"""SELECT {_known_person}
+CAST(ncims_calc_onset_dt AS TIMESTAMP) AS ncims_calc_onset_dt, CAST(presentation_date AS TIMESTAMP) AS presentation_date FROM ev_ed""")
 ORACLE["age_band_counts_to_linelist"] = _counted_units()
 ORACLE["ascertainment"] = build('SELECT date_onset, a AS "asc" FROM asc_table')
 ORACLE["scenario_forecast_long"] = build("SELECT scenario_label, date_onset, n AS count FROM forecast_rows")
@@ -495,6 +540,25 @@ FROM order_members GROUP BY ALL"""
 )
 ORACLE["occupancy"] = occupancy_sql("big_stays", aged=False)
 ORACLE["occupancy_aged"] = occupancy_sql("big_mixed_stays", aged=True)
+ORACLE["occupancy_long_stays"] = occupancy_sql("big_stays", aged=False, cap=LONG_CONFIG.stay_cap_days)
+ORACLE["occupancy_long_stays_aged"] = occupancy_sql("big_mixed_stays", aged=True, cap=LONG_CONFIG.stay_cap_days)
+ORACLE["first_stay_from_store"] = ORACLE["first_stay_per_person"]
+CTES["measured"] = "SELECT event_id, ts, CASE WHEN event_type <> 'error' THEN value END AS x FROM events"
+ORACLE["long_rolling_sum"] = build(f"SELECT event_id, {r9('x_7')} FROM ({rolling('measured', 'x', 'x_7', 7, 'sum', '', 'ts, event_id', 'event_id')})")
+ORACLE["long_rolling_mean"] = build("""
+SELECT event_id, CASE WHEN count(x) OVER w = 3 THEN round(avg(x) OVER w, 9) END AS x_3
+FROM measured WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)""")
+ORACLE["long_fill_downup"] = build("""
+SELECT event_id, coalesce(
+  last_value(x IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(x IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS x
+FROM measured""")
+ORACLE["long_interpolate"] = build(f"SELECT event_id, {r9('x')} FROM ({interpolated('measured', ['x'], '', 'ts, event_id', 'event_id', True)})")
+ORACLE["line_quantiles"] = " UNION ALL ".join(
+    f"""SELECT o_orderpriority, {p}::DOUBLE AS p, count(*) AS n, round(quantile_cont(l_extendedprice, {p}), 9) AS quantile
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority"""
+    for p in (0.01, 0.25, 0.5, 0.95)
+)
 _listed = f"""(SELECT * FROM stays WHERE date_onset >= {d(CFG.plot_start)}
   QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY row_id) = 1)"""
 _earliest = f"""(SELECT * FROM stays WHERE date_onset >= {d(CFG.plot_start)}
@@ -623,15 +687,60 @@ ORACLE["case_band_counts"] = f"SELECT date_onset, age_group, count(*) AS n FROM
 ORACLE["bootstrap_multinomial_totals"] = build(f"""
 SELECT stream, bootstrap, n, true AS supported FROM (SELECT stream, count(*) AS n FROM stream_rows GROUP BY stream)
 CROSS JOIN (SELECT CAST(unnest(range(1, {CFG.n_bootstraps + 1})) AS INTEGER) AS bootstrap)""")
+
+
+def _splits() -> str:
+    """Multinomial draws of all cells: a node's count is split between its halves, from 2^16 cells down."""
+    levels = 16
+    ctes = ["""cells AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY stream ORDER BY age_group, date_onset, is_icu) - 1 AS leaf
+  FROM (SELECT stream, age_group, date_onset, is_icu, count(*) AS n FROM stream_rows GROUP BY ALL))""",
+        f"""rows{levels} AS (SELECT stream, CAST(sum(n) AS BIGINT) AS n, bootstrap, CAST(0 AS BIGINT) AS node FROM cells
+  CROSS JOIN (SELECT CAST(unnest(range(1, {CFG.n_bootstraps + 1})) AS INTEGER) AS bootstrap) GROUP BY stream, bootstrap)"""]
+    for at in range(levels, 0, -1):
+        u, v = (uniform_of(CFG.seed, purpose, "stream", "bootstrap", str(at), "node") for purpose in ("split", "split2"))
+        mass = "exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(p) + (n - k) * ln(1 - p))"
+        ctes.append(f"""halves{at} AS (
+  SELECT stream, leaf >> {at} AS node, CAST(sum(n) AS BIGINT) AS whole, CAST(sum(CASE WHEN (leaf >> {at - 1}) & 1 = 0 THEN n ELSE 0 END) AS BIGINT) AS part
+  FROM cells GROUP BY ALL
+), asked{at} AS (
+  SELECT *, CAST(least(part, whole - part) AS DOUBLE) / CAST(whole AS DOUBLE) AS p, {u} AS u, {v} AS v FROM rows{at} JOIN halves{at} USING (stream, node)
+), summed{at} AS (
+  SELECT *, CASE WHEN n * p <= 32 AND p > 0 THEN
+    list_transform(range(0, CAST(least(n, ceil(n * p + 12 * sqrt(n * p) + 24)) AS BIGINT)), lambda k: {mass}) END AS f,
+    sqrt(-2 * ln(u)) * cos(2 * pi() * v) AS z
+  FROM asked{at}
+), drawn{at} AS MATERIALIZED (
+  SELECT *, CASE WHEN p = 0 THEN 0
+    WHEN f IS NOT NULL THEN len(list_filter(range(1, len(f) + 1), lambda i: list_sum(f[1:i]) < u))
+    ELSE CAST(least(greatest(floor(n * p + sqrt(n * p * (1 - p)) * z + (1 - 2 * p) * (z * z - 1) / 6 + 0.5::DOUBLE), 0), n) AS BIGINT) END AS few
+  FROM summed{at}
+), rows{at - 1} AS (
+  SELECT stream, bootstrap, node * 2 + side AS node, n FROM (
+    SELECT stream, bootstrap, node, side, CASE WHEN (2 * part > whole) = (side = 1) THEN few ELSE n - few END AS n
+    FROM drawn{at} CROSS JOIN (VALUES (0), (1)) AS s(side)) WHERE n > 0
+)""")
+    return ", ".join(ctes)
+
+
+_stream_rows = build("SELECT * FROM stream_rows")
+ORACLE["bootstrap_multinomial_cells"] = f"""
+WITH stream_rows AS MATERIALIZED ({_stream_rows}), {_splits()}
+SELECT stream, bootstrap, age_group, date_onset, is_icu, CAST(rows0.n AS BIGINT) AS n FROM rows0 JOIN cells USING (stream) WHERE node = leaf"""
 _kept = {
-    "case_counts": "(SELECT DISTINCT date_onset, age_group FROM cases)",
-    "hospital_linelist": "stays",
-    "ED_linelist": "presentations",
-    "ascertainment": "asc_table",
-    "case_forecast": "forecast_rows",
-    "forecast_dates": "fc_dates",
-    "time_varying_estimates": "rates",
-    "case_trajectory": "trajectory",
-    "outputs": "outputs",
+    "case_counts": ("(SELECT date_onset, age_group, count(*) AS n FROM cases GROUP BY ALL)", "n"),
+    "hospital_linelist": ("stays", "date_discharge - date_admit"),
+    "ED_linelist": ("presentations", "date_presentation - date_onset"),
+    "ascertainment": ("asc_table", "a"),
+    "case_forecast": ("forecast_rows", "n"),
+    "forecast_dates": ("fc_dates", "date_hospital_linelist - date_estimates_start"),
+    "time_varying_estimates": ("rates", 'pr_hosp + "pr_ED"'),
+    "case_trajectory": ("trajectory", "n"),
+    "outputs": ("outputs", "count + 1000 * admissions"),
 }
-ORACLE["stored_study"] = build(" UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM {table}" for name, table in _kept.items()))
+ORACLE["stored_study"] = build(" UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n, round(sum(CAST({total} AS DOUBLE)), 6) AS total FROM {table}" for name, (table, total) in _kept.items()))
+_first = build(f"SELECT {_out_keys}, count, admissions FROM outputs WHERE scenario_label <> '{RERUN_SCENARIO}'")
+define(CFG, draw_seed=RERUN_CONFIG.seed)
+_again = build(f"SELECT {_out_keys}, count, admissions FROM outputs WHERE scenario_label = '{RERUN_SCENARIO}'")
+ORACLE["replaced_scenario"] = f"SELECT * FROM ({_first}) UNION ALL SELECT * FROM ({_again})"
+define(CFG)

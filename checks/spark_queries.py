@@ -7,29 +7,39 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
 from surgecast import StudyConfig
 from surgecast.functions import age_band
+from surgecast.operators.long_series import LongSeries, fill_downup_long, interpolate_long, long_series, rolling_extend_long, rolling_mean_full_long
 from surgecast.operators.quantiles import central_intervals
 from surgecast.operators.reshape import complete_daily, stay_days
 from surgecast.operators.sampling import bootstrap_counts
+from surgecast.operators.selection import exact_quantiles
 from surgecast.operators.series import fill_downup, first_per_group, interpolate, rolling_extend
 from surgecast.operators.staging import shared_folder, stage
 from surgecast.plans import forecast as fc
 from surgecast.plans import occupancy, rates, study, summaries
 from surgecast.plans.trajectory import make_case_trajectory
-from surgecast.sources import linelists, readers
+from surgecast.sources import linelists, persons, readers
+from surgecast.sources.results import broken_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = v.EV_CONFIG
-# Tables of a stored study that are read back.
-STORED = [
-    "case_counts", "hospital_linelist", "ED_linelist", "ascertainment", "case_forecast", "forecast_dates",
-    "time_varying_estimates", "case_trajectory", "outputs",
-]
+# Tables of a stored study that are read back, and what is summed of each.
+STORED = {
+    "case_counts": "n",
+    "hospital_linelist": "datediff(date_discharge, date_admit)",
+    "ED_linelist": "datediff(date_presentation, date_onset)",
+    "ascertainment": "asc",
+    "case_forecast": "count",
+    "forecast_dates": "datediff(date_hospital_linelist, date_estimates_start)",
+    "time_varying_estimates": "pr_hosp + pr_ED",
+    "case_trajectory": "count",
+    "outputs": "count + 1000 * admissions",
+}
 QUERIES: dict[str, Query] = {}
 
 
@@ -52,8 +62,7 @@ def _dates(spark: SparkSession, sf: str, cfg: StudyConfig = CFG):
 # --- sources and cleaning ---------------------------------------------------------------------
 
 
-@query("read_case_linelist")
-def _(spark: SparkSession, sf: str) -> DataFrame:
+def _case_file(spark: SparkSession, sf: str) -> str:
     """A file whose columns are in reverse order and whose dates use slashes in every second row."""
     day = F.col("ts").cast("date")
     text = F.when(F.col("event_id") % 2 == 0, F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "yyyy/M/d"))
@@ -67,7 +76,39 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     named = [f.alias(n) for f, n in zip(fields, readers.CASE_LINELIST_COLUMNS, strict=True)]
     path = _scratch(spark, "cases")
     v.table(spark, sf, "events").select(*reversed(named)).write.csv(path, header=True)
-    return readers.read_case_linelist(spark, path)
+    return path
+
+
+@query("read_case_linelist")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.read_case_linelist(spark, _case_file(spark, sf))
+
+
+@query("reject_counts")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Unreadable cells, counted by the job that stores the line list."""
+    rejects = Observation()
+    readers.read_case_linelist(spark, _case_file(spark, sf), rejects).write.parquet(_scratch(spark, "stored"))
+    return readers.observed_rejects(spark, {"cases": rejects})
+
+
+def _export(df: DataFrame, name: str) -> str:
+    """A sheet exported as text, its columns in another order and with one more."""
+    path = _scratch(df.sparkSession, name)
+    shuffled = sorted(df.columns, key=lambda c: c[::-1])
+    texts = [F.col(c).cast("timestamp_ntz") if kind == "date" else F.col(c) for c, kind in df.select(*shuffled).dtypes]
+    df.select(F.lit("x").alias("remark"), *(t.alias(c) for t, c in zip(texts, shuffled, strict=True))).write.csv(path, header=True)
+    return path
+
+
+@query("read_hospital_export")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.read_stays(spark, _export(v.view(spark, sf, "big_hospital"), "episodes"))
+
+
+@query("read_ed_export")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.read_presentations(spark, _export(v.view(spark, sf, "ev_ed").drop("row_id"), "presentations"))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -211,6 +252,49 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return first_per_group(df, ["person_id"], linelists.stay_order(df, "date_admit"))
 
 
+@query("first_stay_from_store")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """From stays stored by person, where persons with more than 30 stays are kept apart."""
+    stored = persons.store_by_person(v.big_stays(spark, sf), _scratch(spark, "stays"), 8, most_rows=30)
+    return persons.per_person(stored, lambda rows: first_per_group(rows, ["person_id"], linelists.stay_order(rows, "date_admit")))
+
+
+def _measured(spark: SparkSession, sf: str) -> LongSeries:
+    """All events as one series in order of time, the values of errors blank."""
+    value = F.when(F.col("event_type") != "error", F.col("value").cast("double"))
+    events = v.table(spark, sf, "events").select("event_id", "ts", value.alias("x"))
+    return long_series(events, ["ts", "event_id"], rows_a_block=1000)
+
+
+@query("long_rolling_sum")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(rolling_extend_long(_measured(spark, sf), {"x_7": "x"}, 7, "sum"), "x_7").drop("x", "ts")
+
+
+@query("long_rolling_mean")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(rolling_mean_full_long(_measured(spark, sf), {"x_3": "x"}, 3), "x_3").drop("x", "ts")
+
+
+@query("long_fill_downup")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_downup_long(_measured(spark, sf), ["x"]).drop("ts")
+
+
+@query("long_interpolate")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(interpolate_long(_measured(spark, sf), ["x"], extend_ends=True), "x").drop("ts")
+
+
+@query("line_quantiles")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact quantiles of single lines' prices: groups are a fifth of all lines."""
+    orders = v.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    lines = v.table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _rounded(exact_quantiles(joined, ["o_orderpriority"], "l_extendedprice", (0.01, 0.25, 0.5, 0.95)), "quantile")
+
+
 @query("quantile_fan")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Default intervals over 50 members, each the order value of one share of the orders."""
@@ -235,6 +319,18 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return occupancy.observed_from(aged, v.BIG_CONFIG)
 
 
+@query("occupancy_long_stays")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """With a cap of 60 days."""
+    return occupancy.observed_from(occupancy.calculate_occupancy(v.big_stays(spark, sf), v.LONG_CONFIG), v.LONG_CONFIG)
+
+
+@query("occupancy_long_stays_aged")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    aged = occupancy.calculate_occupancy_aged(v.big_mixed_stays(spark, sf), v.LONG_CONFIG)
+    return occupancy.observed_from(aged, v.LONG_CONFIG)
+
+
 @query("admissions_observed")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.admissions_observed(v.stays(spark, sf), CFG)
@@ -328,6 +424,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(trajectory, "count")
 
 
+@query("bootstrap_multinomial_cells")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cell of replicates that are drawn by splitting."""
+    return rates.resample_cells(_cells(spark, sf), replace(CFG, bootstrap_method="multinomial"))
+
+
 @query("bootstrap_multinomial_totals")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Totals of multinomial replicates, and whether they hold only cells that the data have."""
@@ -452,16 +554,28 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stored_study")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Row counts of tables that a whole study has stored, read back."""
+    """Rows and a total of tables that a whole study has stored, read back."""
     path = _scratch(spark, "study")
     study.run_study(v.inputs(spark, sf), path, CFG)
     counts = [
-        spark.read.parquet(f"{path}/{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
-        for name in STORED
+        spark.read.parquet(f"{path}/{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.round(F.sum(F.expr(total).cast("double")), 6).alias("total"))
+        for name, total in STORED.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
+@query("replaced_scenario")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The outputs of a stored forecast, one of whose scenarios has been run again with another seed."""
+    path, inputs = _scratch(spark, "forecast"), v.inputs(spark, sf)
+    study.store_forecast(inputs, path, CFG)
+    again = replace(inputs, forecast=inputs.forecast.where(F.col("scenario_label") == v.RERUN_SCENARIO))
+    study.rerun_scenarios(again, path, v.RERUN_CONFIG)
+    if not broken_tables(spark, path).isEmpty():
+        raise ValueError("a stored table is not what the manifest says")
+    return spark.read.parquet(f"{path}/outputs")
+
+
 @query("forecast_outputs")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return _outputs(spark, sf)

@@ -32,6 +32,9 @@ EV_HOSPITAL_PATH = "data/episodes_2024_01_26.xlsx"
 ODD_END = dt.date(2024, 2, 10)
 EV_FORECAST_DATE = dt.date(2024, 1, 31)
 BIG_CONFIG = StudyConfig(study_start=dt.date(1995, 1, 1), plot_start=dt.date(1995, 1, 1))
+LONG_CONFIG = replace(BIG_CONFIG, stay_cap_days=60)
+#: A scenario that is run again, with other draws of patients but the rates of the first run.
+RERUN_SCENARIO, RERUN_CONFIG = "3-MEDIUM", replace(EV_CONFIG, seed=7)
 
 VIEWS = {
     "big_hospital": """
@@ -77,9 +80,9 @@ FROM {events} WHERE event_type = 'purchase'""",
 SELECT event_id AS row_id, CAST(floor(event_id / 3) AS bigint) AS person_id,
   CASE WHEN user_id % 31 <> 0 THEN CAST(user_id * 7 % 103 - 2 AS double) END AS age,
   CAST(ts AS date) AS ncims_calc_onset_dt,
-  CASE WHEN event_id % 50 = 0 THEN NULL ELSE
+  CASE WHEN event_id % 50 = 0 OR (user_id * 7 % 103 - 2 >= 70 AND CAST(ts AS date) >= date '2024-01-14') THEN NULL ELSE
     CAST(ts AS date) + CAST(event_id % 18 - 2 AS int) END AS presentation_date
-FROM {events} WHERE event_type = 'error' AND (user_id * 7 % 103 - 2 < 70 OR CAST(ts AS date) < date '2024-01-14')""",
+FROM {events} WHERE event_type = 'error'""",
     # starts four days after the first case, so the trajectory is cut there
     "ev_ascertainment": """
 SELECT date_onset, CAST(20 + day(date_onset) % 10 AS double) / 100 AS asc_rate
@@ -89,9 +92,8 @@ FROM (SELECT DISTINCT CAST(ts AS date) + 4 AS date_onset FROM {events}) AS days"
     "ev_forecast": """
 SELECT o_orderpriority AS scenario_label,
   date '2024-01-20' + CAST(slot + floor(slot / 8) AS int) AS date_onset,
-  CAST(count(*) AS double) * 16.5 AS n
+  CASE WHEN o_orderpriority <> '5-LOW' OR slot < 45 THEN CAST(count(*) AS double) * 16.5 END AS n
 FROM (SELECT o_orderpriority, o_orderkey % 54 AS slot FROM {orders}) AS slots
-WHERE o_orderpriority <> '5-LOW' OR slot < 45
 GROUP BY o_orderpriority, slot""",
 }
 

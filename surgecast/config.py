@@ -52,8 +52,8 @@ class StudyConfig:
             raise ValueError(f"unknown bootstrap method {self.bootstrap_method!r}")
         if self.losses not in ("stop", "report"):
             raise ValueError(f"unknown rule for losses {self.losses!r}")
-        if not 0 < self.stay_cap_days <= 15:
-            raise ValueError("stay_cap_days must fit a 16-bit mask")
+        if not 0 < self.stay_cap_days <= 60:
+            raise ValueError("a pattern's days must fit the bits of a 64-bit integer")
 
     @property
     def corrected(self) -> bool:

@@ -53,11 +53,11 @@ def date_from_file_name(path: Column) -> Column:
 
 
 def counted_days(first: str, last: str, onset: str, cap: int) -> Column:
-    """Days 0..cap after onset that lie in the interval, as the bits of an integer; 0 for none.
+    """Days 0..cap after onset that lie in the interval, as the bits of a 64-bit integer; 0 for none.
 
     Both ends must be known. The two powers of two keep the expression, and so the compiled code of
     the scans it is part of, small.
     """
     low = f"least(greatest(datediff({first}, {onset}), 0), {cap + 1})"
     high = f"least(datediff({last}, {onset}), {cap}) + 1"
-    return F.expr(f"shiftleft(1, greatest({low}, {high})) - shiftleft(1, {low})")
+    return F.expr(f"shiftleft(1L, greatest({low}, {high})) - shiftleft(1L, {low})")

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from surgecast.config import ForecastDates, StudyConfig
 from surgecast.functions import AGE_BANDS, counted_days, hashed_uniform
 from surgecast.operators.reshape import ROWS_PER_CHUNK, complete_daily
-from surgecast.operators.sampling import draw_units, randomised_round, strata, weighted_index
-from surgecast.operators.staging import lookup, stage
+from surgecast.operators.sampling import alias_arrays, draw_aliased, randomised_round
+from surgecast.operators.staging import stage
 from surgecast.plans.rates import SPAN, extend_ascertainment, extend_rates, horizons, scenarios_without_rates
+from surgecast.sources.persons import LineList, per_person
 
 CELL = ["scenario_label", "group", "bootstrap", "age_group", "date_onset"]
 STRATUM = ["group", "age_group"]
@@ -24,17 +25,18 @@ def _mature(column: str, dates: ForecastDates) -> Column:
     return F.col(column) < F.lit(dates.hospital_linelist - dt.timedelta(MATURITY_DAYS))
 
 
-def stay_patterns(stays: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def stay_patterns(stays: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(group, age_group, mask, n): how many persons show each pattern of days after onset.
 
-    A pattern is the set of days 0..14 on which a person was in hospital (ward) or in ICU, over all
+    A pattern is the set of days 0..``stay_cap_days`` on which a person was in hospital (ward) or in ICU, over all
     of the person's stays, held as bits. Persons with no counted day have mask 0. The table is
-    bounded: at most 2^15 masks per group and age, whatever the size of the line list.
+    bounded: one row per distinct set of days, group and age, whatever the size of the line list.
     """
     cap = cfg.stay_cap_days
     icu = counted_days("date_ICU_admit", "date_ICU_discharge", "date_onset", cap)
-    persons = (
-        stays.where(_mature("date_admit", dates))
+    persons = per_person(
+        stays,
+        lambda rows: rows.where(_mature("date_admit", dates))
         .select(
             "person_id",
             "age_group",
@@ -42,14 +44,14 @@ def stay_patterns(stays: DataFrame, dates: ForecastDates, cfg: StudyConfig = Stu
             F.when(F.col("date_ICU_admit").isNotNull(), icu).alias("ICU"),
         )
         .groupBy("age_group", "person_id")
-        .agg(F.bit_or("ward").alias("ward"), F.bit_or("ICU").alias("ICU"))
+        .agg(F.bit_or("ward").alias("ward"), F.bit_or("ICU").alias("ICU")),
     )
     # no ICU stay: bit_or over NULLs is NULL, and the person is no ICU pattern
     long = persons.unpivot("age_group", ["ward", "ICU"], "group", "mask").where("mask is not null")
     return long.groupBy("group", "age_group", "mask").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ed_offsets(presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def ed_offsets(presentations: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(group = ED, age_group, mask, n): persons per day offset of presentation; mask 0 is "none".
 
     A person counts once per distinct offset. Offsets before onset or beyond the cap are one value,
@@ -59,16 +61,17 @@ def ed_offsets(presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig
     offset = F.datediff("date_presentation", "date_onset")
     none = cap + 1
     slot = F.when(offset.between(0, cap), offset).otherwise(none)
-    persons = (
-        presentations.where(_mature("date_presentation", dates))
+    persons = per_person(
+        presentations,
+        lambda rows: rows.where(_mature("date_presentation", dates))
         .withColumn("slot", slot)
         .groupBy("age_group", "person_id")
-        .agg(F.bit_or(F.expr("shiftleft(1, slot)")).alias("slots"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, slot)")).alias("slots")),
     )
     sums = [F.sum(F.expr(f"shiftright(slots, {d}) & 1")).alias(str(d)) for d in range(none + 1)]
     wide = persons.groupBy("age_group").agg(*sums)
     long = wide.unpivot("age_group", [f"`{d}`" for d in range(none + 1)], "slot", "n").where("n > 0")
-    mask = F.expr(f"case when int(slot) = {none} then 0 else shiftleft(1, int(slot)) end")
+    mask = F.expr(f"case when int(slot) = {none} then 0L else shiftleft(1L, int(slot)) end")
     return long.select(F.lit("ED").alias("group"), "age_group", mask.alias("mask"), "n")
 
 
@@ -131,9 +134,8 @@ def drawn_patients(expected: DataFrame, patterns: DataFrame, cfg: StudyConfig =
     than once: pass staged tables.
     """
     cells = expected.where(F.col("age_group").isin(AGE_BANDS)).select(*CELL, F.col("n").alias("_patients"))
-    cells = cells.join(strata(patterns, STRATUM, "n"), STRATUM)
-    index = lookup(weighted_index(patterns, STRATUM, ["mask"], "n"))
-    return draw_units(cells, F.col("_patients"), CELL, index, cfg.seed, "draw").drop("_patients")
+    table = alias_arrays(patterns, STRATUM, ["mask"], "n")
+    return draw_aliased(cells, F.col("_patients"), CELL, table, STRATUM, cfg.seed, "draw").drop("_patients")
 
 
 NO_PATTERN, NO_RATES = "no pattern for age group", "no rates for scenario"
@@ -314,8 +316,8 @@ def sample_patients(
     trajectory: DataFrame,
     rates: DataFrame,
     ascertainment: DataFrame,
-    stays: DataFrame,
-    presentations: DataFrame,
+    stays: LineList,
+    presentations: LineList,
     dates: ForecastDates,
     cfg: StudyConfig = StudyConfig(),
 ) -> ForecastTables:

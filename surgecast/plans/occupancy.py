@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from surgecast.config import StudyConfig
 from surgecast.functions import AGE_BANDS, INVALID_AGE, counted_days
+from surgecast.operators.intervals import daily_cover, interval_union
 from surgecast.operators.reshape import fill_daily_gaps
+from surgecast.sources.persons import LineList, per_person
 
-_BLOCK = 32  # days per bit mask; a capped stay touches at most two blocks
+_BLOCK = 32  # days per bit mask
+_MASK_CAP = 15  # a stay capped so touches two blocks at most, and its mask can be moved into them
 _AGE_LABELS = [*AGE_BANDS, INVALID_AGE]  # in text order, which is also age order
 
 
@@ -32,6 +35,40 @@ def _block_bits(mask: str) -> Column:
     return F.expr(f"shiftright(shiftleft(bigint({mask}), {shift}), 16) & {(1 << _BLOCK) - 1}L").alias(mask)
 
 
+def _days_in_block(first: Column, last: Column) -> Column:
+    """The days of an interval (both ends as day numbers) inside a block, as its bits; 0 for none or unknown ends."""
+    low = F.greatest(first - F.col("block") * _BLOCK, F.lit(0))
+    high = F.least(last - F.col("block") * _BLOCK, F.lit(_BLOCK - 1))
+    inside = first.isNotNull() & last.isNotNull() & (low <= high)
+    one = F.lit(1).cast("bigint")
+    bits = F.call_function("shiftleft", one, (high + 1).cast("int")) - F.call_function("shiftleft", one, low.cast("int"))
+    return F.when(inside, bits).otherwise(F.lit(0).cast("bigint"))
+
+
+def _long_masks(stays: DataFrame, cfg: StudyConfig, *columns: Column) -> DataFrame:
+    """As :func:`_block_masks` of :func:`_counted`, for any cap: a row for each block that a stay touches."""
+    onset, cap = F.unix_date("date_onset"), cfg.stay_cap_days
+    ends = {}
+    for k, first, last in (("h", "date_admit", "date_discharge"), ("i", "date_ICU_admit", "date_ICU_discharge")):
+        ends[f"{k}0"] = F.when(F.col(first).isNotNull() & F.col(last).isNotNull(), F.greatest(F.unix_date(first), onset))
+        ends[f"{k}1"] = F.when(F.col(first).isNotNull() & F.col(last).isNotNull(), F.least(F.unix_date(last), onset + cap))
+    rows = stays.select("person_id", *(c.alias(n) for n, c in ends.items()), *columns)
+    names = [c for c in rows.columns if c not in ("person_id", *ends)]
+    low, high = F.least("h0", "i0"), F.greatest("h1", "i1")
+    blocks = F.explode(F.sequence(F.floor(low / _BLOCK).cast("int"), F.floor(high / _BLOCK).cast("int")))
+    touched = rows.where(low <= high).withColumn("block", blocks)
+    masks = [_days_in_block(F.col(f"{k}0"), F.col(f"{k}1")).alias(k) for k in "hi"]
+    return touched.select("person_id", "block", *names, *masks).where("h + i > 0")
+
+
+def _masks(stays: DataFrame, cfg: StudyConfig, *columns: Column) -> DataFrame:
+    """(person_id, block, columns.., h, i): the counted days of every stay as bits of 32-day blocks."""
+    if cfg.stay_cap_days > _MASK_CAP:
+        return _long_masks(stays, cfg, *columns)
+    counted = _counted(stays, cfg, *columns)
+    return _block_masks(counted, cfg, *[c for c in counted.columns if c not in ("person_id", "onset", "h", "i")])
+
+
 def _block_masks(counted: DataFrame, cfg: StudyConfig, *keep: str) -> DataFrame:
     """A row for each 32-day block that a stay touches, one or two, with its days as bits of the block."""
     blocks = F.expr(
@@ -72,25 +109,30 @@ def _changes(masks: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def calculate_occupancy(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def calculate_occupancy(stays: LineList, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(date, group in {ward, ICU}, count), gap-free from the first day to the last but one.
 
     ``stays`` are cleaned. A person counts once per day. Days are held as bits of 32-day blocks, so
     a stay shuffles as one or two rows however long it is, and several stays of a person merge by
     ``bit_or``. Of the merged days only the changes are counted: first days add one, days after last
-    days take one off, and the running sum is the occupancy.
+    days take one off, and the running sum is the occupancy. Where the cap is too long for that, the
+    stays of a person merge as intervals.
     """
-    masks = _block_masks(_counted(stays, cfg), cfg)
-    persons = masks.groupBy("person_id", "block").agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
-    changes = _changes(persons, [])
-    # one row per day of change: a few thousand rows at most
-    running = Window.orderBy("date")
-    occupied = changes.select(
-        "date",
-        F.lead("date").over(running).alias("next"),
-        F.sum("h").over(running).alias("hospital"),
-        F.sum("i").over(running).alias("ICU"),
-    )
+    if cfg.stay_cap_days > _MASK_CAP:
+        occupied = _long_stays_cover(stays, cfg)
+    else:
+        persons = per_person(
+            stays, lambda rows: _masks(rows, cfg).groupBy("person_id", "block").agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
+        )
+        changes = _changes(persons, [])
+        # one row per day of change: a few thousand rows at most
+        running = Window.orderBy("date")
+        occupied = changes.select(
+            "date",
+            F.lead("date").over(running).alias("next"),
+            F.sum("h").over(running).alias("hospital"),
+            F.sum("i").over(running).alias("ICU"),
+        )
     spans = F.explode(F.sequence("date", F.date_sub("next", 1), F.expr("interval 1 day")))
     daily = occupied.where("next is not null").withColumn("date", spans)
     in_use = F.when(F.col("hospital") > 0, F.col("date"))
@@ -102,6 +144,29 @@ def calculate_occupancy(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> D
     return _ward_and_icu(full, ["date"])
 
 
+def _long_stays_cover(stays: LineList, cfg: StudyConfig) -> DataFrame:
+    """(date, next, hospital, ICU) of stays of any cap: a person's intervals are united, then their ends counted."""
+    onset = F.col("date_onset")
+    until = F.date_add(onset, cfg.stay_cap_days)
+    kinds = (("hospital", "date_admit", "date_discharge"), ("ICU", "date_ICU_admit", "date_ICU_discharge"))
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(kind).alias("kind"),
+                # of an unknown end nothing counts
+                F.when(F.col(last).isNotNull(), F.greatest(F.col(first), onset)).alias("first"),
+                F.when(F.col(first).isNotNull(), F.least(F.col(last), until)).alias("last"),
+            )
+            for kind, first, last in kinds
+        ]
+    )
+    united = per_person(
+        stays,
+        lambda rows: interval_union(rows.select("person_id", F.explode(each).alias("x")).select("person_id", "x.*"), ["person_id", "kind"], "first", "last"),
+    )
+    return daily_cover(united, "first", "last", {kind: F.col("kind") == kind for kind, *_ in kinds})
+
+
 def _ward_and_icu(wide: DataFrame, ids: list[str]) -> DataFrame:
     # ICU days outside the hospital stay make the ward count negative; kept as is.
     ward = (F.col("hospital") - F.col("ICU")).alias("ward")
@@ -112,7 +177,7 @@ def _ward_and_icu(wide: DataFrame, ids: list[str]) -> DataFrame:
     )
 
 
-def calculate_occupancy_aged(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def calculate_occupancy_aged(stays: LineList, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(age_group, date, group, count): every age group present, over the days of the whole table.
 
     A person counts once per day, under the age group of the first stay (by admission, onset, age)
@@ -123,16 +188,19 @@ def calculate_occupancy_aged(stays: DataFrame, cfg: StudyConfig = StudyConfig())
         f"if(age_group = '{INVALID_AGE}', {len(_AGE_LABELS)}, if(age_group = '{AGE_BANDS[0]}', 1, int(left(age_group, 1)) + 1))"
     )
     order = (F.unix_date("date_admit").cast("bigint") * (1 << 20) + F.unix_date("date_onset")) * 16 + code
-    masks = _block_masks(_counted(stays, cfg, order.alias("order")), cfg, "order")
-    # A person has at most days x days x ages distinct stays in a block, however many rows.
-    distinct = masks.groupBy("person_id", "block", "order").agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
-    persons = distinct.groupBy("person_id", "block").agg(
-        F.bit_or("h").alias("h"),
-        F.bit_or("i").alias("i"),
-        (F.min(F.col("order") % 16)).alias("code"),
-        (F.max(F.col("order") % 16)).alias("other"),
-        F.collect_list(F.struct("order", "h", "i")).alias("stays"),
-    )
+
+    def merged(rows: DataFrame) -> DataFrame:
+        # A person has at most days x days x ages distinct stays in a block, however many rows.
+        distinct = _masks(rows, cfg, order.alias("order")).groupBy("person_id", "block", "order").agg(F.bit_or("h").alias("h"), F.bit_or("i").alias("i"))
+        return distinct.groupBy("person_id", "block").agg(
+            F.bit_or("h").alias("h"),
+            F.bit_or("i").alias("i"),
+            (F.min(F.col("order") % 16)).alias("code"),
+            (F.max(F.col("order") % 16)).alias("other"),
+            F.collect_list(F.struct("order", "h", "i")).alias("stays"),
+        )
+
+    persons = per_person(stays, merged)
     own = F.array(F.struct("code", "h", "i"))
     # Where the age group differs between stays, each takes the days that no earlier one covers.
     none = F.struct(F.lit(0).cast("bigint").alias("h"), F.lit(0).cast("bigint").alias("i"), F.array().cast("array<struct<code:bigint,h:bigint,i:bigint>>").alias("out"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from surgecast.operators.sampling import bootstrap_counts, multinomial_counts
 from surgecast.operators.series import fill_downup, first_per_group, interpolate, rolling_extend
 from surgecast.operators.staging import stage
 from surgecast.sources.linelists import cases_in_row, stay_order
+from surgecast.sources.persons import LineList, per_person
 
 RATES = ["pr_hosp", "pr_ICU", "pr_ED", "pr_age_given_case"]
 CELL = ["age_group", "date_onset", "is_icu"]
@@ -27,7 +29,7 @@ def _in_window(start: dt.date, data_date: dt.date, cfg: StudyConfig) -> Column:
 
 
 def rate_cells(
-    cases: DataFrame, stays: DataFrame, presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig
+    cases: DataFrame, stays: LineList, presentations: LineList, dates: ForecastDates, cfg: StudyConfig
 ) -> DataFrame:
     """Counts per (stream, age_group, date_onset, is_icu) inside the estimation window.
 
@@ -35,10 +37,12 @@ def rate_cells(
     the rate estimation that reads line lists; its result is bounded by ages and days.
     """
     at_hospital = _in_window(dates.estimates_start, dates.hospital_linelist, cfg)
-    first_stay = first_per_group(stays.where(at_hospital), ["person_id"], stay_order(stays, "date_admit"))
-    first_visit = first_per_group(
-        presentations.where(at_hospital), ["person_id"], stay_order(presentations, "date_presentation")
-    )
+
+    def first(day: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda rows: first_per_group(rows.where(at_hospital), ["person_id"], stay_order(rows, day))
+
+    first_stay = per_person(stays, first("date_admit"))
+    first_visit = per_person(presentations, first("date_presentation"))
     no_icu = F.lit(0).alias("is_icu")
     one = F.lit(1).alias("n")
     streams = {
@@ -104,8 +108,8 @@ def smooth_rates(numerators: DataFrame, dates: ForecastDates, cfg: StudyConfig)
 
 def time_varying_estimates(
     cases: DataFrame,
-    stays: DataFrame,
-    presentations: DataFrame,
+    stays: LineList,
+    presentations: LineList,
     dates: ForecastDates,
     cfg: StudyConfig = StudyConfig(),
 ) -> DataFrame:

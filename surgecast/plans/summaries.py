@@ -13,6 +13,7 @@ from surgecast.operators.quantiles import central_intervals
 from surgecast.operators.series import first_per_group, rolling_mean_full
 from surgecast.operators.staging import stage
 from surgecast.sources.linelists import stay_order
+from surgecast.sources.persons import LineList, per_person
 
 FAN_LEVELS = (50, 70, 90)
 
@@ -32,41 +33,53 @@ def _reported(df: DataFrame, cfg: StudyConfig) -> DataFrame:
     return df.where(F.col("date_onset") >= F.lit(cfg.plot_start))
 
 
-def first_listed_stays(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def first_listed_stays(stays: LineList, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """The first stay of each person in file order."""
-    order = [F.col("row_id")] if "row_id" in stays.columns else stay_order(stays, "date_admit", "date_onset", "age_group")
-    return first_per_group(_reported(stays, cfg), ["person_id"], order)
 
+    def first(rows: DataFrame) -> DataFrame:
+        order = [F.col("row_id")] if "row_id" in rows.columns else stay_order(rows, "date_admit", "date_onset", "age_group")
+        return first_per_group(_reported(rows, cfg), ["person_id"], order)
 
-def earliest_stays(stays: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+    return per_person(stays, first)
+
+
+def earliest_stays(stays: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """The earliest completely reported stay of each person."""
     before = F.lit(dates.hospital_linelist - dt.timedelta(cfg.lag_days))
-    settled = _reported(stays, cfg).where(F.col("date_admit") < before)
-    return first_per_group(settled, ["person_id"], stay_order(stays, "date_admit"))
+
+    def first(rows: DataFrame) -> DataFrame:
+        settled = _reported(rows, cfg).where(F.col("date_admit") < before)
+        return first_per_group(settled, ["person_id"], stay_order(rows, "date_admit"))
+
+    return per_person(stays, first)
 
 
 def earliest_presentations(
-    presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
+    presentations: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
 ) -> DataFrame:
     """The earliest presentation of each person within two weeks of onset."""
     day, onset = F.col("date_presentation"), F.col("date_onset")
-    settled = _reported(presentations, cfg).where(
-        (day < F.lit(dates.hospital_linelist - dt.timedelta(cfg.lag_days)))
-        & (day >= onset)
-        & (day <= F.date_add(onset, cfg.stay_cap_days))
-    )
-    return first_per_group(settled, ["person_id"], stay_order(presentations, "date_presentation"))
+
+    def first(rows: DataFrame) -> DataFrame:
+        settled = _reported(rows, cfg).where(
+            (day < F.lit(dates.hospital_linelist - dt.timedelta(cfg.lag_days)))
+            & (day >= onset)
+            & (day <= F.date_add(onset, cfg.stay_cap_days))
+        )
+        return first_per_group(settled, ["person_id"], stay_order(rows, "date_presentation"))
+
+    return per_person(presentations, first)
 
 
-def admissions_observed(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def admissions_observed(stays: LineList, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     return _daily(first_listed_stays(stays, cfg), "date_admit", cfg)
 
 
-def icu_admissions_observed(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def icu_admissions_observed(stays: LineList, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     return _daily(first_listed_stays(stays, cfg), "date_ICU_admit", cfg)
 
 
-def admissions_smoothed(stays: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def admissions_smoothed(stays: LineList, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """Seven-row centred mean of the daily admissions; days without admissions are not rows."""
     return _smoothed(admissions_observed(stays, cfg), cfg)
 
@@ -77,29 +90,29 @@ def _smoothed(daily: DataFrame, cfg: StudyConfig) -> DataFrame:
 
 
 def ed_observed(
-    presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
+    presentations: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
 ) -> DataFrame:
     return _daily(earliest_presentations(presentations, dates, cfg), "date_presentation", cfg)
 
 
-def admissions_observed_aged(stays: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
+def admissions_observed_aged(stays: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     return _daily(earliest_stays(stays, dates, cfg), "date_admit", cfg, "age_group")
 
 
 def icu_admissions_observed_aged(
-    stays: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
+    stays: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
 ) -> DataFrame:
     return _daily(earliest_stays(stays, dates, cfg), "date_ICU_admit", cfg, "age_group")
 
 
 def ed_observed_aged(
-    presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
+    presentations: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
 ) -> DataFrame:
     return _daily(earliest_presentations(presentations, dates, cfg), "date_presentation", cfg, "age_group")
 
 
 def observed_series(
-    stays: DataFrame, presentations: DataFrame, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
+    stays: LineList, presentations: LineList, dates: ForecastDates, cfg: StudyConfig = StudyConfig()
 ) -> dict[str, DataFrame]:
     """All observed series of a study. Each set of first rows is found once and kept as daily counts."""
     listed = stage(first_row_counts(first_listed_stays(stays, cfg), "date_admit", "date_ICU_admit"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +37,13 @@ _CSV_OPTIONS = {"mode": "PERMISSIVE", "dateFormat": "[yyyy-M-d][yyyy/M/d]", "nul
 CASE_LINELIST_COLUMNS = [field.split()[0] for field in CASE_LINELIST_DDL.split(",")]
 
 
-def read_case_linelist(spark: SparkSession, path: str) -> DataFrame:
-    """The 20-column case line list, by the names in its header."""
-    return _typed(_read_text(spark, path), T.StructType.fromDDL(CASE_LINELIST_DDL))
+def read_case_linelist(spark: SparkSession, path: str, rejects: Observation | None = None) -> DataFrame:
+    """The 20-column case line list, by the names in its header.
+
+    ``rejects`` gathers, while the rows are first written or counted, how many cells of each column
+    could not be read.
+    """
+    return _typed(_read_text(spark, path), T.StructType.fromDDL(CASE_LINELIST_DDL), rejects)
 
 
 def case_linelist_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -57,14 +63,21 @@ def _value(name: str, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
-def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+def _is_unreadable(field: T.StructField) -> Column:
+    return F.col(f"`{field.name}`").isNotNull() & _value(field.name, field.dataType).isNull()
+
+
+def _typed(raw: DataFrame, schema: T.StructType, rejects: Observation | None = None) -> DataFrame:
     """By header name, so extra or reordered columns do not matter."""
+    if rejects is not None:
+        counts = [F.count_if(_is_unreadable(f)).alias(f.name) for f in schema if not isinstance(f.dataType, T.StringType)]
+        raw = raw.observe(rejects, *counts)
     return raw.select(*(_value(f.name, f.dataType).alias(f.name) for f in schema))
 
 
 def _unreadable(raw: DataFrame, schema: T.StructType) -> DataFrame:
     cells = [
-        F.when(F.col(f"`{f.name}`").isNotNull() & _value(f.name, f.dataType).isNull(), F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("text")))
+        F.when(_is_unreadable(f), F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("text")))
         for f in schema
         if not isinstance(f.dataType, T.StringType)
     ]
@@ -78,20 +91,29 @@ def parse_case_lines(lines: DataFrame, line: str) -> DataFrame:
     return lines.select(F.from_csv(F.col(line), ddl, _CSV_OPTIONS).alias("_row")).select("_row.*")
 
 
-def read_stays(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_stays(spark: SparkSession, path: str, fmt: str = "csv", rejects: Observation | None = None) -> DataFrame:
     """The hospital episode sheet exported as CSV or Parquet."""
-    return _read_export(spark, path, fmt, HOSPITAL_DDL)
+    return _read_export(spark, path, fmt, HOSPITAL_DDL, rejects)
 
 
-def read_presentations(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_presentations(spark: SparkSession, path: str, fmt: str = "csv", rejects: Observation | None = None) -> DataFrame:
     """The ED sheet exported as CSV or Parquet."""
-    return _read_export(spark, path, fmt, ED_DDL)
+    return _read_export(spark, path, fmt, ED_DDL, rejects)
+
+
+def observed_rejects(spark: SparkSession, observed: Mapping[str, Observation]) -> DataFrame:
+    """(input, column, n): unreadable cells by column, as gathered in the scan that an input was first used in.
+
+    The driver holds one number a column.
+    """
+    rows = [(name, column, n) for name, rejects in observed.items() for column, n in rejects.get.items()]
+    return spark.createDataFrame(rows, "input string, column string, n long")
 
 
-def _read_export(spark: SparkSession, path: str, fmt: str, ddl: str) -> DataFrame:
+def _read_export(spark: SparkSession, path: str, fmt: str, ddl: str, rejects: Observation | None) -> DataFrame:
     schema = T.StructType.fromDDL(ddl)
     if fmt == "csv":
-        return _typed(_read_text(spark, path), schema)
+        return _typed(_read_text(spark, path), schema, rejects)
     return spark.read.format(fmt).load(path).select(*schema.names)
 
 
