@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +74,19 @@ def unit_bits(*key: Column) -> Column:
     """52 bits of the MD5 of the key's parts, null as the word null, joined by colons."""
     parts = [F.coalesce(k.cast("string"), F.lit("null")) for k in key]
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("long")
+
+
+def row_pairs(starts: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of the same group, in blocks of about ``most``; ``ends`` are those of each row's group."""
+    left = ends - starts - 1
+    upto = np.cumsum(left)
+    first = 0
+    while first < len(starts):
+        done = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + most, side="right")))
+        some = left[first:last]
+        i = np.repeat(starts[first:last], some)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(some) - some, some)
+        if len(i):
+            yield i, j
+        first = last

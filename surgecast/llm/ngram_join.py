@@ -1,13 +1,18 @@
 """Jaccard self-join of documents on word n-grams, by prefix filter and prefix trees.
 
 1. Every text becomes the set of its distinct n-gram hashes. Equal sets are one class, named by a
-   hash of the set. One pass also counts n-grams by the first 16 bits of their hash.
+   hash of the set. One pass also counts n-grams by the first 16 bits of their hash, and gives each
+   set a sketch: the parity of how many of its n-grams fall on each of some bits. Sketches differ in at
+   most as many bits as the sets in n-grams, so they rule pairs out and never a link.
 2. Sets are put in one global order, rare n-grams first (by the count of their 16 bits, then by
    hash). Two sets can only reach the threshold if the first ``n - ceil(t * n) + 1`` of both share an
    n-gram, and what lies behind a shared one bounds their overlap.
 3. Only links between different components matter. Of the classes behind a shared n-gram, all are
-   first compared with one of them; what that leaves unconnected is paired, and pairs that share
-   enough of their first n-grams to reach the threshold are compared.
+   first compared with one of them. Then, while some n-gram joins several components, each set is
+   compared with the likeliest sets of other components behind its n-grams: those of the nearest sketches that
+   no bound rules out, one at first, four times as many in each further round. The search ends when no
+   pair is left that was not compared. Pairs are looked at in the task that holds an n-gram (large ones in blocks
+   of rows against blocks of rows), and only those chosen leave it.
 4. Pairs are compared exactly: the sets compared with one document form prefix trees, which its own
    set traverses once, sharing the overlap of common beginnings and leaving subtrees whose remaining
    lengths cannot reach the threshold.
@@ -24,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgecast.llm.common import ROWS_A_TASK, cut, sized, stored
+from surgecast.llm.common import ROWS_A_TASK, cut, row_pairs, sized, stored
 from surgecast.llm.components import components
 
 WORDS = 5
@@ -36,10 +41,14 @@ ROWS_A_GROUP = 100_000
 SETS_A_TREE = 64
 #: Rows that may be broadcast to fetch texts; more are joined by shuffle.
 BROADCAST_IDS = 100_000
-#: What is left unlinked is compared pair by pair when that makes so many pairs a row, or after so many star rounds.
-PAIRS_A_ROW, STAR_ROUNDS = 4, 3
-#: Sets behind an n-gram that the others are compared with in each star round after the first.
-HUBS = 16
+#: Rows of an n-gram that are looked at against each other in one block; further ones make further blocks.
+ROWS_A_BLOCK = 1024
+#: Rows whose pairs are looked at together, and pairs at once.
+ROWS_A_CHUNK, PAIRS_AT_ONCE = 4096, 1 << 20
+#: Bits of a sketch as powers of two; a set has about two bits for each n-gram.
+LEAST_BITS, MOST_BITS = 8, 13
+#: How many times as many sets each set is compared with in the next round.
+MORE = 4
 _PRIME = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_PRIME, i + 1, 1 << 64) for i in range(WORDS)], np.uint64)
 
@@ -152,31 +161,73 @@ def ordinal(grams: np.ndarray, rank: np.ndarray) -> np.ndarray:
 # --- the join ---------------------------------------------------------------------------------
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """On each bit, whether an odd number of n-grams falls on it."""
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (2 * len(grams) - 1).bit_length()))
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.intp), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(one: bytes, words: int) -> np.ndarray:
+    """A sketch as so many 64-bit words, as if it had been made with fewer bits."""
+    out = np.frombuffer(one, np.uint64)
+    while len(out) > words:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
+def distances(sketches: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of bits in which sketches a and b differ, the longer one folded: at most the n-grams that only one set has."""
+    words = np.fromiter((len(x) // 8 for x in sketches), np.int64, len(sketches))
+    out = np.zeros(len(a), np.int64)
+    shorter = np.minimum(words[a], words[b])
+    for w in np.unique(shorter):
+        own = np.flatnonzero(words >= w)
+        row = np.full(len(sketches), -1)
+        row[own] = np.arange(len(own))
+        matrix = np.stack([folded(sketches[i], int(w)) for i in own])
+        these = np.flatnonzero(shorter == w)
+        step = max(1, (1 << 20) // int(w))
+        for at in range(0, len(these), step):
+            some = these[at : at + step]
+            out[some] = np.bitwise_count(matrix[row[a[some]]] ^ matrix[row[b[some]]]).sum(axis=1)
+    return out
+
+
+def most_apart(n, m):
+    """The n-grams that only one of two linked sets of n and m elements can have at most."""
+    need = -(-NUM * (n + m) // (NUM + DEN))
+    return n + m - 2 * need
+
+
 def _described(docs: DataFrame) -> DataFrame:
-    """(k, n, name) of every document, and per task (bits, times): n-grams by the first bits of their hash."""
+    """(k, n, name, sketch) of every document, and per task (bits, times): n-grams by the first bits of their hash.
+
+    The sketch comes once per task and set, with a key.
+    """
+    kinds = {"k": pa.int64(), "n": pa.int64(), "name": pa.int64(), "sketch": pa.binary(), "bits": pa.int32(), "times": pa.int64()}
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = np.zeros(1 << 16, np.int64)
         seen: set[int] = set()
         for batch in batches:
-            n, names = [], []
-            for text in batch.column(1).to_pylist():
+            n, names, sketches = [], [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 grams = ngrams(text)
                 n.append(len(grams))
                 names.append(set_name(grams) if len(grams) else 0)
-                if len(grams) and names[-1] not in seen:
+                sketches.append(None)
+                if len(grams) and key is not None and names[-1] not in seen:
                     seen.add(names[-1])
+                    sketches[-1] = sketch(grams)
                     times += np.bincount((grams >> np.uint64(48)).astype(np.intp), minlength=1 << 16)
-            none = pa.nulls(len(n))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64()), none.cast(pa.int32()), none.cast(pa.int64())],
-                ["k", "n", "name", "bits", "times"],
-            )
+            columns = {"k": batch.column(0), "n": n, "name": names, "sketch": sketches, "bits": [None] * len(n), "times": [None] * len(n)}
+            yield pa.RecordBatch.from_arrays([pa.array(v, kinds[c]) if isinstance(v, list) else v for c, v in columns.items()], list(columns))
         bits = np.flatnonzero(times)
-        none = pa.nulls(len(bits), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(bits, pa.int32()), pa.array(times[bits])], ["k", "n", "name", "bits", "times"])
+        none = [pa.nulls(len(bits), kinds[c]) for c in ("k", "n", "name", "sketch")]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(bits, pa.int32()), pa.array(times[bits])], list(kinds))
 
-    return docs.mapInArrow(describe, "k long, n long, name long, bits int, times long")
+    return docs.mapInArrow(describe, "k long, n long, name long, sketch binary, bits int, times long")
 
 
 def _prefixes(docs: DataFrame, rank: np.ndarray, salts: np.ndarray) -> DataFrame:
@@ -259,6 +310,89 @@ def _compared(docs: DataFrame, pairs: DataFrame, ids: DataFrame, rank: np.ndarra
     return sized(rows.mapInArrow(compare, "a long, b long"))
 
 
+def _not_ruled_out(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches are not too far apart."""
+    sides = pairs
+    for x in "ab":
+        sides = sides.join(about.select(F.col("name").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"sketch_{x}")), x)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b"))
+            n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            places = np.arange(len(a))
+            near = distances([*a, *b], places, places + len(a)) <= most_apart(n, m) if len(a) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near)) for c in "ab"], ["a", "b"])
+
+    return sides.select("a", "b", "na", "nb", "sketch_a", "sketch_b").mapInArrow(keep, "a long, b long")
+
+
+def likeliest(rows: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each set in whole groups (gram, lo, hi), up to ``most`` sets of other roots that no bound rules out, nearest sketches first."""
+    gram, lo, hi, own, name, root, n, at = (rows.column(c).to_numpy() for c in ("gram", "lo", "hi", "own", "name", "root", "n", "at"))
+    new = np.flatnonzero((gram[1:] != gram[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+    bounds = np.concatenate([[0], new, [len(gram)]])
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    names, first, which = np.unique(name, return_index=True, return_inverse=True)
+    codes = [np.empty(0, np.int64)]
+    for i, j in row_pairs(np.arange(len(gram)), ends, PAIRS_AT_ONCE):
+        open_ = (root[i] != root[j]) & ((lo[i] == hi[i]) | (own[i] != own[j]))
+        i, j = i[open_], j[open_]
+        bound = np.minimum(at[i], at[j]) + 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
+        possible = reaches(bound, n[i], n[j])
+        a, b = which[i[possible]], which[j[possible]]
+        codes.append(np.unique(np.minimum(a, b) * len(names) + np.maximum(a, b)))
+    code = np.unique(np.concatenate(codes))
+    tried = []
+    for u, others in enumerate(rows.column("failed").take(pa.array(first)).to_pylist()):
+        if others:
+            places = np.minimum(np.searchsorted(names, others), len(names) - 1)
+            places = places[names[places] == np.array(others)]
+            tried.append(np.minimum(u, places) * len(names) + np.maximum(u, places))
+    if tried:
+        code = np.setdiff1d(code, np.concatenate(tried), assume_unique=False)
+    a, b = np.divmod(code, len(names))
+    sizes = n[first]
+    far = distances(rows.column("sketch").take(pa.array(first)).to_pylist(), a, b)
+    near = far <= most_apart(sizes[a], sizes[b])
+    a, b, far = a[near], b[near], far[near]
+    x, y, pair = np.concatenate([a, b]), np.concatenate([b, a]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((y, np.tile(far, 2), x))
+    x, pair = x[order], pair[order]
+    starts = np.searchsorted(x, x, side="left")
+    chosen = np.unique(pair[np.arange(len(x)) - starts < most])
+    return names[a[chosen]], names[b[chosen]]
+
+
+def _likeliest(members: DataFrame, most: int) -> DataFrame:
+    """(a, b): the pairs chosen in each task."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chosen(rows: pa.Table) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in likeliest(rows, most)], ["a", "b"])
+
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(x.num_rows for x in waiting) < ROWS_A_CHUNK:
+                continue
+            rows = pa.Table.from_batches(waiting)
+            last = np.ones(rows.num_rows, bool)  # the group that the batch ends in may go on
+            for c in ("gram", "lo", "hi"):
+                values = rows.column(c).to_numpy()
+                last &= values == values[-1]
+            cut_at = int(np.argmax(last))
+            if cut_at:
+                yield chosen(rows.slice(0, cut_at))
+            waiting = rows.slice(cut_at).to_batches()
+        if waiting and (rows := pa.Table.from_batches(waiting)).num_rows:
+            yield chosen(rows)
+
+    keys = ["gram", "lo", "hi"]
+    dealt = members.select(*keys, "own", "name", "root", "n", "at", "sketch", "failed").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(search, "a long, b long").distinct()
+
+
 def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
     """Key, ``n_ngrams`` (size of the set) and ``component`` (smallest key reachable by links) of every row.
 
@@ -271,6 +405,7 @@ def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
     docs = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     described = cut(_described(docs))
     sets = described.filter("bits is null").select("k", "n", "name")
+    sketches = described.filter("sketch is not null").select("name", "n", "sketch").dropDuplicates(["name"])
     # At most 65536 counts, whatever the corpus.
     times = np.zeros(1 << 16, np.int64)
     for r in described.filter("bits is not null").groupBy("bits").agg(F.sum("times").alias("times")).collect():
@@ -285,7 +420,7 @@ def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
     group = Window.partitionBy("gram", "salt")
     rows = rows.withColumns({"lo": F.min("name").over(group), "hi": F.max("name").over(group)})
     shared = stored(rows.filter("lo <> hi or salt >= 0").select("gram", "salt", "name", "n", "at").distinct().drop("salt"))
-    roots = _linked(docs, shared, ids, rank)
+    roots = _linked(docs, shared, ids, sketches, rank)
 
     whole = ids.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
     smallest = whole.groupBy("root").agg(F.min("k").alias("component"))
@@ -295,47 +430,40 @@ def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, rank: np.ndarray) -> DataFrame:
+def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, sketches: DataFrame, rank: np.ndarray) -> DataFrame:
     """(name, root) of all sets that link with another one."""
     spark = docs.sparkSession
-    found = spark.createDataFrame([], "a long, b long")
-    tried, roots = found, spark.createDataFrame([], "name long, root long")
-    rows = shared.count()
-    if rows <= ROWS_A_TASK:
+    found = failed = spark.createDataFrame([], "a long, b long")
+    roots = spark.createDataFrame([], "name long, root long")
+    if shared.count() <= ROWS_A_TASK:
         shared = shared.coalesce(1)
-    for turn in range(STAR_ROUNDS + 1):
-        rooted = shared.withColumn("root", F.col("name"))
-        last = turn == STAR_ROUNDS
-        if turn:
-            rooted = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
-            # N-grams behind which all sets are linked already need no further look.
-            mixed = rooted.groupBy("gram", "root").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("gram")
-            mixed = mixed.agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same")).withColumn("pairs", (F.col("c") * F.col("c") - F.col("same")) / 2)
-            mixed = sized(mixed.filter("pairs > 0").select("gram", "pairs"))
-            pairs = mixed.agg(F.sum("pairs")).first()[0]
-            if pairs is None:
-                break
-            last = last or pairs <= PAIRS_A_ROW * rows
-            rooted = rooted.join(mixed.select("gram"), "gram", "left_semi")
-        if last:
-            met = rooted.alias("x").join(rooted.alias("y"), "gram").filter((F.col("x.root") != F.col("y.root")) & (F.col("x.name") < F.col("y.name")) & _possible("x", "y"))
-            met = met.groupBy(F.col("x.name").alias("a"), F.col("y.name").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
-            # The sets overlap in the n-grams that both prefixes hold, and in what follows one of the prefixes.
-            behind = F.greatest(*(F.ceil(F.lit(NUM) * F.col(c) / DEN) - 1 for c in "nm"))
-            pairs = met.agg(F.count(F.lit(1)).alias("both")).filter(reaches(F.col("both") + behind, F.col("n"), F.col("m"))).select("a", "b")
-            known = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        else:
-            # One set behind most n-grams explains all others; where it does not, several at a time do so sooner.
-            hub = [F.min_by(F.struct("name", "n", "at", "root"), F.xxhash64("name", F.lit(turn), F.lit(i))) for i in range(HUBS if turn else 1)]
-            hubs = rooted.groupBy("gram").agg(F.array_distinct(F.array(*hub)).alias("hubs")).select("gram", F.explode("hubs").alias("hub")).select("gram", "hub.*")
-            met = rooted.alias("x").join(hubs.alias("y"), "gram").filter((F.col("x.root") != F.col("y.root")) & _possible("x", "y"))
-            pairs = met.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
-        pairs = sized(pairs)
+    about = stored(shared.select("name").distinct().join(sketches, "name"))
+    # One set behind each n-gram explains most others.
+    hub = F.min_by(F.struct("name", "n", "at"), F.xxhash64("name")).alias("hub")
+    hubs = shared.groupBy("gram").agg(hub).select("gram", "hub.*")
+    met = shared.alias("x").join(hubs.alias("y"), "gram").filter((F.col("x.name") != F.col("y.name")) & _possible("x", "y"))
+    pairs = met.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
+    pairs = sized(_not_ruled_out(pairs, about))
+    most = 1
+    while True:
         if not pairs.isEmpty():
             linked = _compared(docs, pairs, ids, rank)
-            tried, found = tried.union(pairs), found.union(linked)
+            found, failed = found.union(linked), failed.union(pairs.join(linked, ["a", "b"], "left_anti"))
             roots = components(found).select(F.col("node").alias("name"), F.col("component").alias("root"))
-        if last:
-            break
-    return roots
+        rooted = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
+        # N-grams behind which all sets are linked already need no further look.
+        mixed = rooted.groupBy("gram").agg(F.min("root").alias("least"), F.max("root").alias("greatest"), F.count(F.lit(1)).alias("rows"))
+        mixed = cut(mixed.filter("least <> greatest").select("gram", F.ceil(F.col("rows") / ROWS_A_BLOCK).cast("int").alias("blocks")))
+        if mixed.isEmpty():
+            return roots
+        both = failed.union(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tried = both.groupBy(F.col("a").alias("name")).agg(F.collect_set("b").alias("failed"))
+        members = rooted.join(mixed, "gram").join(about.select("name", "sketch"), "name").join(tried, "name", "left")
+        own = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        blocked = members.withColumn("own", own).withColumn("other", other)
+        pairs = _likeliest(blocked.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}), most)
+        pairs = sized(pairs)
+        if pairs.isEmpty():
+            return roots
+        most *= MORE

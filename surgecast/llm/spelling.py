@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgecast.llm.common import cut, stored
+from surgecast.llm.common import cut, row_pairs, stored
 
 #: Letters of words; only A-Z are lower-cased.
 LETTERS = r"A-Za-zÀ-ÿ"
@@ -105,22 +105,6 @@ def _near(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) ->
     return (prefix < width) & (prefix + suffix >= width - 1)
 
 
-def pairs(starts: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of a tile, in blocks of about ``most``; ``ends`` are those of each row's tile."""
-    left = ends - starts - 1
-    upto = np.cumsum(left)
-    first = 0
-    while first < len(starts):
-        done = upto[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(upto, done + most, side="right")))
-        some = left[first:last]
-        i = np.repeat(starts[first:last], some)
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(some) - some, some)
-        if len(i):
-            yield i, j
-        first = last
-
-
 def compare(tile: tuple[int, int, int], keys: list[str], rows: list[bytes], n: np.ndarray) -> list[tuple[str, int, int, str]]:
     """(word, near words, n and name of the most frequent one) from whole tiles of one length and segment, sorted by key."""
     b, lo, hi = tile
@@ -130,7 +114,7 @@ def compare(tile: tuple[int, int, int], keys: list[str], rows: list[bytes], n: n
     bounds = np.concatenate([[0], change, [len(rows)]]).astype(np.int64)
     ends = np.repeat(bounds[1:], np.diff(bounds))
     found = []
-    for i, j in pairs(np.arange(len(rows)), ends, max(1, CELLS_AT_ONCE // (hi - lo))):
+    for i, j in row_pairs(np.arange(len(rows)), ends, max(1, CELLS_AT_ONCE // (hi - lo))):
         near = _near(left, right, i, j) & (longer[i] | longer[j])
         found.append((i[near], j[near]))
     if not found:

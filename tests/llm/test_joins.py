@@ -100,12 +100,55 @@ def test_join_by_brute_force(spark, monkeypatch, seed, crowded):
         monkeypatch.setattr(nj, "ROWS_A_GROUP", 1)
         monkeypatch.setattr(nj, "SETS_A_TREE", 2)
         monkeypatch.setattr(nj, "BROADCAST_IDS", 0)
+        monkeypatch.setattr(nj, "ROWS_A_BLOCK", 3)
         monkeypatch.setattr(common, "ROWS_A_TASK", 0)
     rows = near_copies(seed)
     got = nj.join_ngrams(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
     assert {r.doc_id: (r.n_ngrams, r.component) for r in got} == brute_join(rows)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), max_size=600), st.sets(st.integers(0, 2**64 - 1), max_size=60), st.sets(st.integers(0, 2**64 - 1), max_size=600))
+def test_sketches_never_rule_out_a_link(common_part, left, right):
+    a, b = (np.array(sorted(common_part | x) or [1], np.uint64) for x in (left, right))
+    far = nj.distances([nj.sketch(a), nj.sketch(b)], np.array([0]), np.array([1]))[0]
+    both = len(np.intersect1d(a, b))
+    assert far <= len(a) + len(b) - 2 * both
+    if nj.reaches(both, len(a), len(b)):
+        assert far <= nj.most_apart(len(a), len(b))
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_chosen_pairs_by_brute_force(blocks):
+    """All pairs that no bound rules out are chosen in the end; of those compared before none."""
+    rng = np.random.default_rng(blocks)
+    sets = [np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64))]
+    for _ in range(29):
+        own = sets[int(rng.integers(len(sets)))].copy()
+        own[rng.integers(0, len(own), 3)] = rng.integers(0, 2**63, 3, dtype=np.uint64)
+        sets.append(np.unique(own))
+    rows = []
+    for g in range(3):
+        for i, s in enumerate(sets):
+            if i % 3 != g:
+                rows += [(g, min(i % blocks, o), max(i % blocks, o), i % blocks, i, i % 5, len(s), g, nj.sketch(s), [i + 5] if i == 0 else None) for o in range(blocks)]
+    rows.sort(key=lambda r: r[:3])
+    names = ["gram", "lo", "hi", "own", "name", "root", "n", "at", "sketch", "failed"]
+    table = nj.pa.table({c: nj.pa.array(v, nj.pa.list_(nj.pa.int64())) if c == "failed" else nj.pa.array(v) for c, v in zip(names, zip(*rows, strict=True), strict=True)})
+    want = set()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            together = any(i % 3 != g and j % 3 != g for g in range(3))
+            near = nj.distances([nj.sketch(a), nj.sketch(b)], np.array([0]), np.array([1]))[0] <= nj.most_apart(len(a), len(b))
+            if i % 5 != j % 5 and together and near:
+                want.add((j, i))
+    want.discard((0, 5))
+    got = list(zip(*(x.tolist() for x in nj.likeliest(table, 100)), strict=True))
+    assert set(got) == want and len(got) == len(want)
+    one = set(zip(*(x.tolist() for x in nj.likeliest(table, 1)), strict=True))
+    assert one <= want and {i for p in one for i in p} == {i for p in want for i in p}
+
+
 def test_join_whole_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = nj.join_ngrams(docs, "doc_id", "text").collect()
@@ -169,7 +212,7 @@ def test_pairs_across_lists_count_for_both(spark):
 
 
 def test_recall_on_the_table(spark):
-    e = table(spark, "/root/testdata/check_s", "embeddings")
+    e = table(spark, "/root/testdata/sf0.1", "embeddings")
     rows = [(r.vec_id, r.label, r.embedding) for r in e.collect()]
     got = {r.vec_id: r.n_links for r in pq.dedup_embeddings(e, "vec_id", "embedding", "label", 0.93).collect()}
     there = 0

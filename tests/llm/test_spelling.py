@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from surgecast.llm import spelling
+from surgecast.llm.common import row_pairs
 from surgecast.llm.queries import op13_spelling
 from tests.llm.rows import documents, write
 
@@ -102,5 +103,5 @@ def test_pairs_are_all_of_a_tile(seed):
     sizes = rng.integers(1, 9, 20)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     ends = np.repeat(bounds[1:], sizes)
-    got = [(int(a), int(b)) for i, j in spelling.pairs(np.arange(bounds[-1]), ends, 7) for a, b in zip(i, j, strict=True)]
+    got = [(int(a), int(b)) for i, j in row_pairs(np.arange(bounds[-1]), ends, 7) for a, b in zip(i, j, strict=True)]
     assert got == [(a, b) for a in range(bounds[-1]) for b in range(a + 1, ends[a])]
