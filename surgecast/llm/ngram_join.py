@@ -10,8 +10,8 @@
 3. Only links between different components matter. Of the classes behind a shared n-gram, all are
    first compared with one of them. Then, while some n-gram joins several components, each set is
    compared with the likeliest sets of other components behind its n-grams: those of the nearest sketches that
-   no bound rules out, one at first, four times as many in each further round. The search ends when no
-   pair is left that was not compared. Pairs are looked at in the task that holds an n-gram (large ones in blocks
+   no bound rules out, up to LIKELIEST at first, four times as many in each further round. The search ends
+   when no set had more. Pairs are looked at in the task that holds an n-gram (large ones in blocks
    of rows against blocks of rows), and only those chosen leave it.
 4. Pairs are compared exactly: the sets compared with one document form prefix trees, which its own
    set traverses once, sharing the overlap of common beginnings and leaving subtrees whose remaining
@@ -47,8 +47,8 @@ ROWS_A_BLOCK = 1024
 ROWS_A_CHUNK, PAIRS_AT_ONCE = 4096, 1 << 20
 #: Bits of a sketch as powers of two; a set has about two bits for each n-gram.
 LEAST_BITS, MOST_BITS = 8, 13
-#: How many times as many sets each set is compared with in the next round.
-MORE = 4
+#: Sets that each set is compared with at most in the first round of the search, and how many times as many in the next.
+LIKELIEST, MORE = 8, 4
 _PRIME = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_PRIME, i + 1, 1 << 64) for i in range(WORDS)], np.uint64)
 
@@ -201,11 +201,11 @@ def most_apart(n, m):
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """(k, n, name, sketch) of every document, and per task (bits, times): n-grams by the first bits of their hash.
+    """(k, n, name, mark, sketch) of every document, and per task (bits, times): n-grams by the first bits of their hash.
 
     The sketch comes once per task and set, with a key.
     """
-    kinds = {"k": pa.int64(), "n": pa.int64(), "name": pa.int64(), "sketch": pa.binary(), "bits": pa.int32(), "times": pa.int64()}
+    kinds = {"k": pa.int64(), "n": pa.int64(), "name": pa.int64(), "mark": pa.int64(), "sketch": pa.binary(), "bits": pa.int32(), "times": pa.int64()}
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = np.zeros(1 << 16, np.int64)
@@ -221,13 +221,13 @@ def _described(docs: DataFrame) -> DataFrame:
                     seen.add(names[-1])
                     sketches[-1] = sketch(grams)
                     times += np.bincount((grams >> np.uint64(48)).astype(np.intp), minlength=1 << 16)
-            columns = {"k": batch.column(0), "n": n, "name": names, "sketch": sketches, "bits": [None] * len(n), "times": [None] * len(n)}
+            columns = {"k": batch.column(0), "n": n, "name": names, "mark": batch.column(2), "sketch": sketches, "bits": [None] * len(n), "times": [None] * len(n)}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds[c]) if isinstance(v, list) else v for c, v in columns.items()], list(columns))
         bits = np.flatnonzero(times)
-        none = [pa.nulls(len(bits), kinds[c]) for c in ("k", "n", "name", "sketch")]
+        none = [pa.nulls(len(bits), kinds[c]) for c in ("k", "n", "name", "mark", "sketch")]
         yield pa.RecordBatch.from_arrays([*none, pa.array(bits, pa.int32()), pa.array(times[bits])], list(kinds))
 
-    return docs.mapInArrow(describe, "k long, n long, name long, sketch binary, bits int, times long")
+    return docs.mapInArrow(describe, "k long, n long, name long, mark long, sketch binary, bits int, times long")
 
 
 def _prefixes(docs: DataFrame, rank: np.ndarray, salts: np.ndarray) -> DataFrame:
@@ -327,8 +327,9 @@ def _not_ruled_out(pairs: DataFrame, about: DataFrame) -> DataFrame:
     return sides.select("a", "b", "na", "nb", "sketch_a", "sketch_b").mapInArrow(keep, "a long, b long")
 
 
-def likeliest(rows: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each set in whole groups (gram, lo, hi), up to ``most`` sets of other roots that no bound rules out, nearest sketches first."""
+def likeliest(rows: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """For each set in whole groups (gram, lo, hi), up to ``most`` sets of other roots that no bound rules out,
+    nearest sketches first, as pairs of names; and whether pairs were left out."""
     gram, lo, hi, own, name, root, n, at = (rows.column(c).to_numpy() for c in ("gram", "lo", "hi", "own", "name", "root", "n", "at"))
     new = np.flatnonzero((gram[1:] != gram[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
     bounds = np.concatenate([[0], new, [len(gram)]])
@@ -361,15 +362,17 @@ def likeliest(rows: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray]:
     x, pair = x[order], pair[order]
     starts = np.searchsorted(x, x, side="left")
     chosen = np.unique(pair[np.arange(len(x)) - starts < most])
-    return names[a[chosen]], names[b[chosen]]
+    return names[a[chosen]], names[b[chosen]], len(chosen) < len(a)
 
 
 def _likeliest(members: DataFrame, most: int) -> DataFrame:
-    """(a, b): the pairs chosen in each task."""
+    """(a, b): the pairs chosen in each task; a row of nulls if some were left out."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def chosen(rows: pa.Table) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in likeliest(rows, most)], ["a", "b"])
+            a, b, more = likeliest(rows, most)
+            sides = [pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(int(more), pa.int64())]) for x in (a, b)]
+            return pa.RecordBatch.from_arrays(sides, ["a", "b"])
 
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
@@ -393,9 +396,12 @@ def _likeliest(members: DataFrame, most: int) -> DataFrame:
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
-def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
+def join_ngrams(df: DataFrame, key: str, text: str, mark: str | None = None) -> DataFrame:
     """Key, ``n_ngrams`` (size of the set) and ``component`` (smallest key reachable by links) of every row.
 
+    With ``mark``, the name of an integer column, also that column and ``class``, a name of the row's
+    component: rows that repeat a key are told apart by it. The class is null without words.
+
     Documents link when their sets reach the threshold. Texts without words (null, empty, only white
     space) have the empty set and link with nothing: their component is their own key. Rows that
     repeat a key are listed as often as they occur, each with its own text's component. A row with a
@@ -403,8 +409,9 @@ def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
     table gives no rows.
     """
     docs = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    described = cut(_described(docs))
-    sets = described.filter("bits is null").select("k", "n", "name")
+    own = F.col(mark).cast("long") if mark else F.lit(None).cast("long")
+    described = cut(_described(df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), own.alias("mark"))))
+    sets = described.filter("bits is null").select("k", "n", "name", "mark")
     sketches = described.filter("sketch is not null").select("name", "n", "sketch").dropDuplicates(["name"])
     # At most 65536 counts, whatever the corpus.
     times = np.zeros(1 << 16, np.int64)
@@ -424,9 +431,12 @@ def join_ngrams(df: DataFrame, key: str, text: str) -> DataFrame:
 
     whole = ids.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
     smallest = whole.groupBy("root").agg(F.min("k").alias("component"))
-    named = whole.select("name", "root").join(smallest, "root").select("name", "component")
+    named = whole.select("name", "root").join(smallest, "root").select("name", "root", "component")
     return sets.join(named, "name", "left").select(
-        F.col("k").alias(key), F.col("n").alias("n_ngrams"), F.when(F.col("n") == 0, F.col("k")).otherwise(F.col("component")).alias("component")
+        F.col("k").alias(key),
+        F.col("n").alias("n_ngrams"),
+        F.when(F.col("n") == 0, F.col("k")).otherwise(F.col("component")).alias("component"),
+        *([F.col("mark").alias(mark), F.when(F.col("n") > 0, F.col("root")).alias("class")] if mark else []),
     )
 
 
@@ -444,26 +454,24 @@ def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, sketches: DataFr
     met = shared.alias("x").join(hubs.alias("y"), "gram").filter((F.col("x.name") != F.col("y.name")) & _possible("x", "y"))
     pairs = met.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
     pairs = sized(_not_ruled_out(pairs, about))
-    most = 1
+    most, more = LIKELIEST, True
     while True:
         if not pairs.isEmpty():
             linked = _compared(docs, pairs, ids, rank)
             found, failed = found.union(linked), failed.union(pairs.join(linked, ["a", "b"], "left_anti"))
             roots = components(found).select(F.col("node").alias("name"), F.col("component").alias("root"))
+        if not more:
+            return roots
         rooted = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
         # N-grams behind which all sets are linked already need no further look.
         mixed = rooted.groupBy("gram").agg(F.min("root").alias("least"), F.max("root").alias("greatest"), F.count(F.lit(1)).alias("rows"))
         mixed = cut(mixed.filter("least <> greatest").select("gram", F.ceil(F.col("rows") / ROWS_A_BLOCK).cast("int").alias("blocks")))
-        if mixed.isEmpty():
-            return roots
         both = failed.union(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
         tried = both.groupBy(F.col("a").alias("name")).agg(F.collect_set("b").alias("failed"))
         members = rooted.join(mixed, "gram").join(about.select("name", "sketch"), "name").join(tried, "name", "left")
         own = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         blocked = members.withColumn("own", own).withColumn("other", other)
-        pairs = _likeliest(blocked.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}), most)
-        pairs = sized(pairs)
-        if pairs.isEmpty():
-            return roots
+        chosen = sized(_likeliest(blocked.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}), most))
+        pairs, more = chosen.filter("a is not null"), not chosen.filter("a is null").isEmpty()
         most *= MORE

@@ -6,9 +6,9 @@ lies from the true one. A query vector looks its asymmetric distances to all mem
 and compares exactly, by cosine, those that may be near.
 
 - A vector of another list lies beyond the bisector of the two centroids. A list is probed if its
-  bisector is nearer than a margin times the farthest that a linked vector can be. Margin 1 loses
-  nothing; the difference of a linked pair rarely points straight at a bisector, and the default
-  2 / sqrt(dimensions) is twice the standard deviation for differences of random direction.
+  bisector is nearer than half the farthest that a linked vector can be: of two linked vectors on
+  different sides of a bisector one is that near to it and probes the other's list, so no pair is lost. A
+  pair that only one of them finds counts for both.
 - The true distance is at least the table distance less the member's own error, so within the lists
   probed nothing is lost.
 
@@ -273,7 +273,7 @@ def dedup_embeddings(df: DataFrame, key: str, vector: str, label: str, cosine: f
     ``cosine``. Null, empty and zero vectors, those with null or non-finite components, and rows
     without label link with nothing: no links, their own key as component, kept. Equal vectors link;
     they are compared as one and counted as many, so copies cost nothing. Rows that repeat a key
-    count as vectors of their own under that key. A row with a null key counts as a link, names no
+    count as vectors of their own under that key, each with its own links and component. A row with a null key counts as a link, names no
     component and is not kept. Keys are integers; other columns are not read; an empty table gives no rows.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("vector"))
@@ -281,8 +281,8 @@ def dedup_embeddings(df: DataFrame, key: str, vector: str, label: str, cosine: f
     named = F.struct(F.xxhash64("label", "vector").alias("x"), F.xxhash64(F.lit(1), "vector", "label").alias("y"))
     marked = rows.withColumn("name", F.when(good, named))
     grouped = marked.filter("name is not null").groupBy("name").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
-    # Classes without a key get one below all others.
-    classes = stored(grouped.withColumn("id", F.coalesce("least", F.xxhash64("name").bitwiseOR(F.lit(-(2**63))))))
+    # Links are between classes, known by their number in the stored table: several may have the same key, or none.
+    classes = stored(grouped.withColumn("id", F.monotonically_increasing_id()))
     about = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("longest")).first()
     sample = classes.select("vector", "name").orderBy(F.xxhash64("name"), "name").limit(SAMPLE).select("vector")
     raw = [np.array(v, np.float64) for v in sample.toArrow().column(0).to_pylist()]

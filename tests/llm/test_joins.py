@@ -101,6 +101,7 @@ def test_join_by_brute_force(spark, monkeypatch, seed, crowded):
         monkeypatch.setattr(nj, "SETS_A_TREE", 2)
         monkeypatch.setattr(nj, "BROADCAST_IDS", 0)
         monkeypatch.setattr(nj, "ROWS_A_BLOCK", 3)
+        monkeypatch.setattr(nj, "LIKELIEST", 1)
         monkeypatch.setattr(common, "ROWS_A_TASK", 0)
     rows = near_copies(seed)
     got = nj.join_ngrams(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
@@ -143,9 +144,12 @@ def test_chosen_pairs_by_brute_force(blocks):
             if i % 5 != j % 5 and together and near:
                 want.add((j, i))
     want.discard((0, 5))
-    got = list(zip(*(x.tolist() for x in nj.likeliest(table, 100)), strict=True))
-    assert set(got) == want and len(got) == len(want)
-    one = set(zip(*(x.tolist() for x in nj.likeliest(table, 1)), strict=True))
+    a, b, more = nj.likeliest(table, 100)
+    got = list(zip(a.tolist(), b.tolist(), strict=True))
+    assert set(got) == want and len(got) == len(want) and not more
+    a, b, more = nj.likeliest(table, 1)
+    one = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert more == (one < want)
     assert one <= want and {i for p in one for i in p} == {i for p in want for i in p}
 
 
@@ -248,6 +252,24 @@ def test_odd_vectors(spark):
     assert [r.kept for r in rows if r.vec_id is None] == [False]
 
 
+def test_vectors_under_one_key_have_links_of_their_own(spark):
+    def run(rows):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        got = pq.dedup_embeddings(df, "vec_id", "embedding", "label", 0.93).collect()
+        return Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got)
+
+    # the second vector of key 1 links with nothing
+    assert run([(1, [1.0, 0.0, 0.0], 1), (1, [0.0, 1.0, 0.0], 1), (2, [1.0, 0.001, 0.0], 1), (3, [1.0, 0.002, 0.0], 1)]) == Counter(
+        [(1, 2, 1, True), (1, 0, 1, True), (2, 2, 1, False), (3, 2, 1, False)]
+    )
+    # near vectors under the same key link
+    assert run([(5, [1.0, 0.0, 0.0], 1), (5, [1.0, 0.001, 0.0], 1)]) == Counter({(5, 1, 5, True): 2})
+    # one that joins two groups under different keys
+    assert run([(9, [1.0, 0.0], 1), (4, [0.0, 1.0], 1), (9, [0.0, 1.0], 1), (3, [1.0, 0.01], 1)]) == Counter(
+        [(9, 1, 3, False), (3, 1, 3, True), (4, 1, 4, True), (9, 1, 4, False)]
+    )
+
+
 # --- passages -----------------------------------------------------------------------------------
 
 
