@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from surgecast.llm.common import cut, unit_bits
 
+#: Leaves whose budgets may be broadcast; more are joined by shuffle.
+BROADCAST_LEAVES = 100_000
 #: Bits of the 52 of a seeded rank that name its part; token sums run over parts first, then within.
 PART_BITS = 12
 
@@ -87,9 +89,10 @@ def mix_sources(df: DataFrame, key: str, text: str, levels: Mapping[str, Column]
         F.col("tokens").alias("leaf_tokens"),
         F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).cast("long").alias("whole"),
     )
-    plan = plan.withColumn("rest", F.col("leaf_budget") - F.col("whole") * F.col("leaf_tokens"))
-    ranked = docs.join(plan, names).withColumn("rank", unit_bits(F.lit(mix.seed), F.col("whole"), F.col("k")))
-    ranked = ranked.withColumn("part", F.shiftright("rank", 52 - PART_BITS))
+    plan = cut(plan.withColumn("rest", F.col("leaf_budget") - F.col("whole") * F.col("leaf_tokens")))
+    ranked = docs.join(F.broadcast(plan) if plan.count() <= BROADCAST_LEAVES else plan, names).withColumn("rank", unit_bits(F.lit(mix.seed), F.col("whole"), F.col("k")))
+    # Rows joined by leaf would be ordered by leaf: the parts are dealt out anew.
+    ranked = ranked.withColumn("part", F.shiftright("rank", 52 - PART_BITS)).repartition(*names, "part")
     sums = ranked.groupBy(*names, "part").agg(F.sum("tokens").alias("n"))
     starts = sums.select(
         *names,

@@ -113,6 +113,17 @@ def test_copies_meet_budgets(spark):
     assert all(abs(taken[x] - b) <= largest[x] / 2 + 1 for x, b in budget.items())
 
 
+def test_no_task_orders_a_whole_leaf(spark):
+    """Documents are dealt by leaf and part, also where budgets are joined by shuffle."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    plan = mixing.mix_sources(docs, "doc_id", "text", levels(), mixing.Mix())._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    dealt = next(line for line in plan.splitlines() if "REPARTITION_BY_COL" in line)
+    assert "part#" in dealt and "source#" in dealt
+    window = plan.index("sum(tokens")
+    assert window < plan.index("REPARTITION_BY_COL")
+
+
 def test_mix_of_odd_rows(spark):
     rows = mixing.mix_sources(documents(spark), "doc_id", "text", levels(), mixing.Mix()).collect()
     assert len(rows) == len(ODD_DOCUMENTS)
