@@ -25,12 +25,15 @@ def _row(docs: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """Keys, marked for broadcast if their counted rows are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` less the rows whose doc_id is in ``dropped`` (column id). Null ids stay."""
-    dropped = cut(dropped.distinct())
-    few = dropped.count() <= BROADCAST_KEYS
     rows = docs.select(_row(docs), F.col("doc_id").alias("own"))
-    return rows.join(F.broadcast(dropped) if few else dropped, F.col("own") == F.col("id"), "left_anti").select("row.*")
+    return rows.join(_few(cut(dropped.distinct())), F.col("own") == F.col("id"), "left_anti").select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,19 +47,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group linked by n-gram overlap.
 
-    Rows that repeat an id are one document: of those only the one with the smallest text (null
-    first) stays. Documents without words, and rows without id, belong to no group and stay.
+    Rows that repeat an id are judged each by its own text: of a group the row with the smallest id
+    stays, of several such ones that with the smallest hash of its text, and of rows equal in both the first in
+    order of their other columns. Documents without words, and rows without id, belong to no group and stay.
     """
     bounded_batches(spark)
-    joined = cut(ngram_join.join_ngrams(docs, "doc_id", "text"))
-    kept = _without(docs, joined.filter("component <> doc_id").select(F.col("doc_id").alias("id")))
-    repeats = cut(joined.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count().filter("count > 1").select("id"))
+    marked = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t"), F.xxhash64("text").alias("mark"))
+    joined = cut(ngram_join.join_ngrams(marked, "id", "t", "mark").filter("class is not null and id is not null"))
+    same = ["id", "mark"]
+    first = joined.groupBy("class").agg(F.min(F.struct(*same)).alias("first"))
+    dropped = cut(joined.join(first, "class").filter(F.struct(*same) != F.col("first")).select(*same).distinct())
+    repeats = cut(joined.groupBy(*same).count().filter("count > 1").select(*same))
+    rows = docs.select(_row(docs), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))
+    kept = rows.join(_few(dropped), same, "left_anti")
     if repeats.isEmpty():
-        return kept
-    order = Window.partitionBy("id").orderBy(F.col("text").asc_nulls_first())
-    again = kept.select(_row(kept), "text", F.col("doc_id").alias("id")).join(repeats, "id", "left_semi")
-    again = again.withColumn("place", F.row_number().over(order)).filter("place = 1").select("row.*")
-    return _without(kept, repeats).unionByName(again)
+        return kept.select("row.*")
+    order = Window.partitionBy(*same).orderBy(*(F.col(f"row.`{c}`").cast("string") for c in docs.columns if c != "text"))
+    again = kept.join(_few(repeats), same, "left_semi").withColumn("place", F.row_number().over(order)).filter("place = 1")
+    return kept.join(_few(repeats), same, "left_anti").select("row.*").unionByName(again.select("row.*"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,3 +87,12 @@ def test_stages_on_odd_and_no_rows(spark, tmp_path):
         assert pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
     kept = [r.doc_id for r in pipeline.near_duplicates(spark, documents(spark), str(tmp_path)).collect()]
     assert sorted(kept, key=str) == sorted([1, 2, 3, 4, 5, 6, 8, None, None], key=str)
+
+
+def test_rows_of_a_repeated_id_are_judged_by_their_own_texts(spark, tmp_path):
+    """A clean text under a repeated id stays, though another row of that id is a copy."""
+    texts = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abc"}
+    rows = [(1, texts["a"]), (2, texts["a"]), (2, texts["b"]), (3, texts["b"] + " more"), (2, texts["c"]), (2, texts["c"]), (4, None), (4, None), (None, texts["a"])]
+    docs = documents(spark, [(k, t, "en", "s", 1) for k, t in rows])
+    got = Counter((r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, str(tmp_path)).collect())
+    assert got == Counter([(1, texts["a"]), (2, texts["b"]), (2, texts["c"]), (4, None), (4, None), (None, texts["a"])])
