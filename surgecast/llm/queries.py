@@ -67,7 +67,11 @@ def op6_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_url_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages are labelled by the document of their number: of low quality or toxic means block."""
+    """Pages are labelled by the document of their number: of low quality or toxic means block.
+
+    The tables tie a page to a label by nothing else, and the texts differ; where the labels follow no
+    token of the URLs, no mined rule beats chance on those held out, and what no fixed rule fits is allowed.
+    """
     pages, labels = table(spark, sf, "pages"), table(spark, sf, "labels")
     marked = labels.groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
     labelled = pages.select("page_id", "url").join(marked, F.col("page_id") == F.col("doc_id")).select("url", "blocked")
