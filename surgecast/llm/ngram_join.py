@@ -10,9 +10,9 @@
 3. Only links between different components matter. Of the classes behind a shared n-gram, all are
    first compared with one of them. Then, while some n-gram joins several components, each set is
    compared with the likeliest sets of other components behind its n-grams: those of the nearest sketches that
-   no bound rules out, up to LIKELIEST at first, four times as many in each further round. The search ends
-   when no set had more. Pairs are looked at in the task that holds an n-gram (large ones in blocks
-   of rows against blocks of rows), and only those chosen leave it.
+   no bound rules out, up to LIKELIEST at first, four times as many in each further round, which only looks
+   at the n-grams where a set had more. The search ends where none had. Pairs are looked at in the task that
+   holds an n-gram (large ones in blocks of rows against blocks of rows), and only those chosen leave it.
 4. Pairs are compared exactly: the sets compared with one document form prefix trees, which its own
    set traverses once, sharing the overlap of common beginnings and leaving subtrees whose remaining
    lengths cannot reach the threshold.
@@ -48,7 +48,7 @@ ROWS_A_CHUNK, PAIRS_AT_ONCE = 4096, 1 << 20
 #: Bits of a sketch as powers of two; a set has about two bits for each n-gram.
 LEAST_BITS, MOST_BITS = 8, 13
 #: Sets that each set is compared with at most in the first round of the search, and how many times as many in the next.
-LIKELIEST, MORE = 8, 4
+LIKELIEST, MORE = 2, 4
 _PRIME = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_PRIME, i + 1, 1 << 64) for i in range(WORDS)], np.uint64)
 
@@ -327,23 +327,26 @@ def _not_ruled_out(pairs: DataFrame, about: DataFrame) -> DataFrame:
     return sides.select("a", "b", "na", "nb", "sketch_a", "sketch_b").mapInArrow(keep, "a long, b long")
 
 
-def likeliest(rows: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+def likeliest(rows: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each set in whole groups (gram, lo, hi), up to ``most`` sets of other roots that no bound rules out,
-    nearest sketches first, as pairs of names; and whether pairs were left out."""
+    nearest sketches first, as pairs of names; and the n-grams that hold a pair that was left out."""
     gram, lo, hi, own, name, root, n, at = (rows.column(c).to_numpy() for c in ("gram", "lo", "hi", "own", "name", "root", "n", "at"))
     new = np.flatnonzero((gram[1:] != gram[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
     bounds = np.concatenate([[0], new, [len(gram)]])
     ends = np.repeat(bounds[1:], np.diff(bounds))
     names, first, which = np.unique(name, return_index=True, return_inverse=True)
-    codes = [np.empty(0, np.int64)]
+    codes, behind = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for i, j in row_pairs(np.arange(len(gram)), ends, PAIRS_AT_ONCE):
         open_ = (root[i] != root[j]) & ((lo[i] == hi[i]) | (own[i] != own[j]))
         i, j = i[open_], j[open_]
         bound = np.minimum(at[i], at[j]) + 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
         possible = reaches(bound, n[i], n[j])
         a, b = which[i[possible]], which[j[possible]]
-        codes.append(np.unique(np.minimum(a, b) * len(names) + np.maximum(a, b)))
-    code = np.unique(np.concatenate(codes))
+        own_codes, places = np.unique(np.minimum(a, b) * len(names) + np.maximum(a, b), return_index=True)
+        codes.append(own_codes)
+        behind.append(gram[i[possible]][places])  # one n-gram of each pair
+    code, places = np.unique(np.concatenate(codes), return_index=True)
+    shared = np.concatenate(behind)[places]
     tried = []
     for u, others in enumerate(rows.column("failed").take(pa.array(first)).to_pylist()):
         if others:
@@ -351,27 +354,28 @@ def likeliest(rows: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
             places = places[names[places] == np.array(others)]
             tried.append(np.minimum(u, places) * len(names) + np.maximum(u, places))
     if tried:
-        code = np.setdiff1d(code, np.concatenate(tried), assume_unique=False)
+        untried = ~np.isin(code, np.concatenate(tried))
+        code, shared = code[untried], shared[untried]
     a, b = np.divmod(code, len(names))
     sizes = n[first]
     far = distances(rows.column("sketch").take(pa.array(first)).to_pylist(), a, b)
     near = far <= most_apart(sizes[a], sizes[b])
-    a, b, far = a[near], b[near], far[near]
+    a, b, far, shared = a[near], b[near], far[near], shared[near]
     x, y, pair = np.concatenate([a, b]), np.concatenate([b, a]), np.tile(np.arange(len(a)), 2)
     order = np.lexsort((y, np.tile(far, 2), x))
     x, pair = x[order], pair[order]
     starts = np.searchsorted(x, x, side="left")
     chosen = np.unique(pair[np.arange(len(x)) - starts < most])
-    return names[a[chosen]], names[b[chosen]], len(chosen) < len(a)
+    return names[a[chosen]], names[b[chosen]], np.unique(np.delete(shared, chosen))
 
 
 def _likeliest(members: DataFrame, most: int) -> DataFrame:
-    """(a, b): the pairs chosen in each task; a row of nulls if some were left out."""
+    """(a, b): the pairs chosen in each task; and n-grams with pairs left out, as a, without b."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def chosen(rows: pa.Table) -> pa.RecordBatch:
             a, b, more = likeliest(rows, most)
-            sides = [pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(int(more), pa.int64())]) for x in (a, b)]
+            sides = [pa.array(np.concatenate([a, more]), pa.int64()), pa.concat_arrays([pa.array(b, pa.int64()), pa.nulls(len(more), pa.int64())])]
             return pa.RecordBatch.from_arrays(sides, ["a", "b"])
 
         waiting: list[pa.RecordBatch] = []
@@ -454,14 +458,16 @@ def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, sketches: DataFr
     met = shared.alias("x").join(hubs.alias("y"), "gram").filter((F.col("x.name") != F.col("y.name")) & _possible("x", "y"))
     pairs = met.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
     pairs = sized(_not_ruled_out(pairs, about))
-    most, more = LIKELIEST, True
+    most, more = LIKELIEST, None
     while True:
         if not pairs.isEmpty():
             linked = _compared(docs, pairs, ids, rank)
             found, failed = found.union(linked), failed.union(pairs.join(linked, ["a", "b"], "left_anti"))
             roots = components(found).select(F.col("node").alias("name"), F.col("component").alias("root"))
-        if not more:
-            return roots
+        if more is not None:
+            if more.isEmpty():
+                return roots
+            shared = stored(shared.join(more, "gram", "left_semi"))
         rooted = shared.join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
         # N-grams behind which all sets are linked already need no further look.
         mixed = rooted.groupBy("gram").agg(F.min("root").alias("least"), F.max("root").alias("greatest"), F.count(F.lit(1)).alias("rows"))
@@ -473,5 +479,5 @@ def _linked(docs: DataFrame, shared: DataFrame, ids: DataFrame, sketches: DataFr
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         blocked = members.withColumn("own", own).withColumn("other", other)
         chosen = sized(_likeliest(blocked.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}), most))
-        pairs, more = chosen.filter("a is not null"), not chosen.filter("a is null").isEmpty()
+        pairs, more = chosen.filter("b is not null"), chosen.filter("b is null").select(F.col("a").alias("gram"))
         most *= MORE
