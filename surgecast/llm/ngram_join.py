@@ -45,7 +45,7 @@ BROADCAST_IDS = 100_000
 ROWS_A_BLOCK = 1024
 #: Rows whose pairs are looked at together, and pairs at once.
 ROWS_A_CHUNK, PAIRS_AT_ONCE = 4096, 1 << 20
-#: Bits of a sketch as powers of two; a set has about two bits for each n-gram.
+#: Bits of a sketch as powers of two; a set has about one bit for each n-gram.
 LEAST_BITS, MOST_BITS = 8, 13
 #: Sets that each set is compared with at most in the first round of the search, and how many times as many in the next.
 LIKELIEST, MORE = 2, 4
@@ -163,7 +163,7 @@ def ordinal(grams: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 def sketch(grams: np.ndarray) -> bytes:
     """On each bit, whether an odd number of n-grams falls on it."""
-    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (2 * len(grams) - 1).bit_length()))
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (len(grams) - 1).bit_length()))
     odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.intp), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
