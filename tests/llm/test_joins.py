@@ -404,6 +404,37 @@ def test_chains_of_near_copies_with_one_hub(spark, monkeypatch):
     assert {r.doc_id: r.component for r in found.collect()} == {i: want.top(i) for i, _ in rows}
 
 
+@pytest.mark.parametrize("at_once", [3, 1 << 20])
+def test_meetings_by_brute_force(monkeypatch, at_once):
+    """Every two windows of a text under different functions with minima in one shortest run meet, under one name each."""
+    monkeypatch.setattr(cw, "PAIRS_AT_ONCE", at_once)
+    rng, rows = random.Random(3), []
+    for text in range(4):
+        for _ in range(60):
+            l = rng.randrange(200)
+            r = l + rng.randrange(cw.SHORTEST - 1, 3 * cw.SHORTEST)
+            rows.append((text, rng.randrange(20), rng.randrange(cw.HASHES), l, rng.randrange(l, r + 1), r, rng.randrange(2)))
+    want = defaultdict(set)
+    for text, m, f, l, c, r, done in rows:
+        for other, n, g, x, d, y, also in rows:
+            first, last = max(l, c - cw.SHORTEST + 1, x, d - cw.SHORTEST + 1), min(c, r - cw.SHORTEST + 1, d, y - cw.SHORTEST + 1)
+            if text == other and f < g and first <= last:
+                want[(f, m), (g, n)].add((text, 1 << f | 1 << g, done & also))
+    got = defaultdict(set)
+    for text, name, functions, done in zip(*(x.tolist() for x in cw.meetings(*np.array(rows, np.int64).T)), strict=True):
+        assert (text, functions, done) not in got[name]
+        got[name].add((text, functions, done))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_pairs_are_tried_once(spark):
+    agreed = spark.createDataFrame([(1, 2, 0b1111), (2, 1, 0b11110), (3, 1, 0b111), (4, 1, 0b1111), (5, 4, 0b1111)], "a long, b long, functions int")
+    tried = spark.createDataFrame([(4, 5)], "lo long, hi long")
+    got = cw._untried(agreed, tried).collect()
+    assert sorted((r.lo, r.hi) for r in got) == [(1, 2), (1, 4)]
+    assert all({r.a, r.b} == {r.lo, r.hi} for r in got)
+
+
 def test_repeated_runs_of_the_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = {r.doc_id: r for r in cw.find_passages(docs, "doc_id", "text").collect()}
