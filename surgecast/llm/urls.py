@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surgecast.llm.common import cut
+from surgecast.llm.common import cut, stored
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -28,8 +28,7 @@ class Mining:
     covers and that are labelled block; ``confidence``: their share of those covered; ``lift``: how
     much more that is than among all. ``held_out``: one URL in so many, by hash, is kept from mining (0: none),
     and on these the lower bound of the rule's confidence (``deviations`` below, by Wilson) must
-    exceed the share of block among them. ``tokens``: of each URL so many are mined at most, those
-    with the largest share of block, so that item sets stay countable."""
+    exceed the share of block among them."""
 
     support: float = 0.002
     confidence: float = 0.6
@@ -37,7 +36,6 @@ class Mining:
     least: int = 20
     held_out: int = 5
     deviations: float = 2.0
-    tokens: int = 12
 
 
 #: Rows of the inverted index and tokens that may be broadcast; more are joined by shuffle.
@@ -91,24 +89,56 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
 
 
-def _telling(known: DataFrame, least: int, most: int) -> DataFrame:
-    """(id, blocked, tokens): the tokens of each URL that enough blocked URLs hold, at most ``most``.
+def _telling(known: DataFrame, least: int) -> DataFrame:
+    """(tokens, n, blocked): the distinct sets of all tokens of a URL that enough blocked URLs hold, each in
+    order, with the URLs that have it and the blocked ones of them.
 
     Others can be in no rule.
     """
     each = known.select("id", "blocked", F.explode("tokens").alias("token"))
-    share = F.avg(F.col("blocked").cast("double"))
-    count = each.groupBy("token").agg(F.sum(F.col("blocked").cast("int")).alias("n"), share.alias("share"))
-    held = each.join(_few(count.filter(F.col("n") >= least)), "token")
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("order"), "token")))
-    return held.groupBy("id", "blocked").agg(F.slice(ranked, 1, most)["token"].alias("tokens"))
+    count = each.groupBy("token").agg(F.sum(F.col("blocked").cast("int")).alias("n"))
+    held = each.join(_few(count.filter(F.col("n") >= least).select("token")), "token")
+    sets = held.groupBy("id", "blocked").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    return sets.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("blocked").cast("int")).alias("blocked"))
+
+
+def _rules(baskets: DataFrame, base: float, least: int, how: Mining) -> DataFrame:
+    """(tokens, confidence) of every rule of any size to which no rule of fewer of its tokens is equal or better.
+
+    ``baskets`` are those of :func:`_telling`, ``base`` the share of blocked ones among all URLs. Sets
+    grow by one token at a time. A set that covers the same URLs as one of its parts is as good as
+    that part, and nothing is better than a rule that is always right, so neither they nor what holds them are
+    looked at: tokens that always come together take no combinations.
+    """
+    holds = stored(baskets.select("*", F.posexplode("tokens").alias("last", "token")).withColumn("held", F.array("token")).drop("token"))
+    grown, rules = None, []
+    while True:
+        counted = holds.groupBy("held").agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).filter(F.col("blocked") >= least)
+        if grown is None:
+            counted = counted.withColumn("best", F.lit(None).cast("double"))
+        else:
+            parts = counted.withColumn("part", F.explode(F.transform("held", lambda x: F.array_remove(F.col("held"), x))))
+            smaller = grown.select(F.col("held").alias("part"), F.col("n").alias("wider"), F.greatest("best", "confidence").alias("best"))
+            own = parts.join(_few(smaller), "part").filter("wider > n").groupBy("held", "n", "blocked")
+            counted = own.agg(F.count(F.lit(1)).alias("parts"), F.max("best").alias("best")).filter(F.col("parts") == F.size("held")).drop("parts")
+        share = F.col("blocked") / F.col("n")
+        # Shares are of all URLs, also of those without a telling token.
+        sure = (share >= how.confidence) & (share / base >= how.lift)
+        counted = cut(counted.withColumn("confidence", F.when(sure, share)))
+        rules.append(counted.filter("confidence > coalesce(best, 0)").select(F.col("held").alias("tokens"), "confidence"))
+        grown = counted.filter("confidence is null or confidence < 1")
+        if grown.isEmpty():
+            return reduce(DataFrame.unionByName, rules)
+        more = F.posexplode(F.slice("tokens", F.col("last") + 2, F.size("tokens"))).alias("ahead", "token")
+        wider = holds.join(_few(grown.select("held")), "held").select("*", more)
+        holds = stored(wider.select("tokens", "n", "blocked", (F.col("last") + 1 + F.col("ahead")).alias("last"), F.array_append("held", F.col("token")).alias("held")))
 
 
 def mine(labelled: DataFrame, how: Mining) -> DataFrame:
     """(rule, token, size, confidence): token combinations that tell blocked URLs, as an inverted index.
 
-    ``labelled`` has ``url`` and ``blocked``; nulls in either are left out. Rules come from FP-growth over
-    tokens and label; those with too little support, confidence or lift go, those that add tokens
+    ``labelled`` has ``url`` and ``blocked``; nulls in either are left out. Rules are searched level by
+    level over all tokens of every URL; those with too little support, confidence or lift go, those that add tokens
     to another without adding confidence, and those that do not beat the share of blocked URLs among
     those held out. Without URLs of both kinds, or where labels follow no token, there is none.
     """
@@ -122,17 +152,8 @@ def mine(labelled: DataFrame, how: Mining) -> DataFrame:
     if not kinds["n"] or kinds["blocked"] in (0, kinds["n"]):
         return none
     least = max(how.least, math.ceil(how.support * kinds["n"]))
-    items = _telling(seen, least, how.tokens)
-    items = items.select(F.concat("tokens", F.array(F.when(F.col("blocked"), F.lit("=block")).otherwise(F.lit("=allow")))).alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, least / kinds["n"]), minConfidence=how.confidence).fit(items)
-    # Shares are of all URLs, also of those without a telling token.
-    lift = F.col("confidence") / (kinds["blocked"] / kinds["n"])
-    rules = found.associationRules.filter((F.col("consequent")[0] == "=block") & ~F.array_contains("antecedent", "=allow") & (lift >= how.lift))
-    rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence").withColumn("rule", F.xxhash64("tokens")).withColumn("size", F.size("tokens"))
-    index = cut(rules.select("rule", F.explode("tokens").alias("token"), "size", "confidence"))
-    general = index.select("token", F.col("rule").alias("other"), F.col("size").alias("need"), F.col("confidence").alias("sure"))
-    covered = index.join(general, "token").filter("need < size and sure >= confidence").groupBy("rule", "other", "need").count()
-    index = cut(index.join(covered.filter("count = need").select("rule").distinct(), "rule", "left_anti"))
+    rules = _rules(_telling(seen, least), kinds["blocked"] / kinds["n"], least, how)
+    index = cut(rules.select(F.xxhash64("tokens").alias("rule"), F.explode("tokens").alias("token"), F.size("tokens").alias("size"), "confidence"))
     return index.join(_beating_chance(known.filter("held"), index, how), "rule", "left_semi") if how.held_out else index
 
 

@@ -146,6 +146,35 @@ def test_rules_are_mined_and_pruned(spark):
     assert set(got.values()) == {"block", "allow"}
 
 
+def test_all_tokens_of_a_url_are_mined(spark):
+    """A token counts beside any number of better ones, tokens that come together take no combinations, and rules are those of brute force."""
+    many = "/".join(f"part{c}" for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN")
+    rows = [(f"http://x{i}.org/{many}?ref={i}", True) for i in range(30)] + [(f"http://x{i}.org/q?ref={i}", i % 2 == 0) for i in range(20)]
+    rows += [(f"http://y{i}.org/z", False) for i in range(100)]
+    how = urls.Mining(support=0.05, confidence=0.7, lift=1.2, least=5, held_out=0)
+    found = {}
+    for r in urls.mine(spark.createDataFrame(rows, "url string, blocked boolean"), how).collect():
+        found.setdefault(r.rule, (set(), r.confidence))[0].add(r.token)
+    assert sorted((sorted(t), c) for t, c in found.values()) == sorted([([f"p:{x}"], 1.0) for x in many.split("/")] + [(["q:ref"], 0.8)])
+
+    rng = random.Random(7)
+    sets = [frozenset(t for t in "abcdefg" if rng.random() < 0.6) for _ in range(400)]
+    marks = [rng.random() < (0.9 if {"a", "c"} <= t else 0.7 if "b" in t and "d" not in t else 0.1) for t in sets]
+    rows = [(f"http://h/{'/'.join(sorted(t))}", m) for t, m in zip(sets, marks, strict=True)]
+    index = urls.mine(spark.createDataFrame(rows, "url string, blocked boolean"), urls.Mining(support=0.0, confidence=0.6, lift=1.1, least=5, held_out=0))
+    found = {}
+    for r in index.collect():
+        found.setdefault(r.rule, (set(), r.confidence))[0].add(r.token[2:])
+    sure = {}
+    for mask in range(1, 1 << 8):  # the label of the host, which all hold, is one of the tokens
+        part = frozenset(t for i, t in enumerate("abcdefgh") if mask >> i & 1)
+        hit = [m for t, m in zip(sets, marks, strict=True) if part - {"h"} <= t]
+        if sum(hit) >= 5 and sum(hit) / len(hit) >= max(0.6, 1.1 * sum(marks) / len(marks)):
+            sure[part] = sum(hit) / len(hit)
+    want = {t: c for t, c in sure.items() if not any(s < t and sure[s] >= c for s in sure)}
+    assert any(len(t) >= 4 for t in want) and {frozenset(t): c for t, c in found.values()} == want
+
+
 def test_rules_beat_chance_on_urls_held_out_or_go(spark):
     """Labels that follow a token give rules whose precision on other URLs exceeds the base rate; random ones give none."""
     rng = random.Random(4)
