@@ -8,15 +8,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def interval_union(df: DataFrame, keys: Sequence[str], first: str, last: str) -> DataFrame:
+#: Tasks of a union for each shuffle partition: they hold and order all their intervals, so each gets few.
+TASKS_A_PARTITION = 4
+
+
+def interval_union(df: DataFrame, keys: Sequence[str], first: str, last: str, *, spread: bool = True) -> DataFrame:
     """(keys.., first, last): the days covered per key as disjoint intervals, ends included.
 
     Intervals of any length; those that touch or overlap become one. NULL ends and reversed
-    intervals cover nothing. Intervals that start on one day are merged before the shuffle, so a key
-    sends a task at most one row per day, however many intervals it has.
+    intervals cover nothing. Intervals are dealt by key and first day and merged there, so a key
+    sends a task that orders it at most one row per day, however many intervals it has. Without ``spread``
+    they stay where they are, for a table that is stored by key.
     """
     known = df.where(F.col(last) >= F.col(first))
+    tasks = TASKS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if spread:
+        known = known.repartition(tasks, *keys, first)
     longest = known.groupBy(*keys, first).agg(F.max(last).alias(last))
+    if spread:
+        longest = longest.repartition(tasks, *keys)
     order = Window.partitionBy(*keys).orderBy(first)
     reached = F.max(last).over(order.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(reached.isNull() | (F.col(first) > F.date_add(reached, 1)), 1).otherwise(0)

@@ -9,7 +9,7 @@ from surgecast.config import StudyConfig
 from surgecast.functions import AGE_BANDS, INVALID_AGE, counted_days
 from surgecast.operators.intervals import daily_cover, interval_union
 from surgecast.operators.reshape import fill_daily_gaps
-from surgecast.sources.persons import LineList, per_person
+from surgecast.sources.persons import LineList, PersonRows, per_person
 
 _BLOCK = 32  # days per bit mask
 _MASK_CAP = 15  # a stay capped so touches two blocks at most, and its mask can be moved into them
@@ -160,9 +160,12 @@ def _long_stays_cover(stays: LineList, cfg: StudyConfig) -> DataFrame:
             for kind, first, last in kinds
         ]
     )
+    stored = stays.regular if isinstance(stays, PersonRows) else None
     united = per_person(
         stays,
-        lambda rows: interval_union(rows.select("person_id", F.explode(each).alias("x")).select("person_id", "x.*"), ["person_id", "kind"], "first", "last"),
+        lambda rows: interval_union(
+            rows.select("person_id", F.explode(each).alias("x")).select("person_id", "x.*"), ["person_id", "kind"], "first", "last", spread=rows is not stored
+        ),
     )
     return daily_cover(united, "first", "last", {kind: F.col("kind") == kind for kind, *_ in kinds})
 

@@ -119,6 +119,18 @@ def test_quantiles_count_before_they_shuffle(spark, monkeypatch):
 # --- intervals --------------------------------------------------------------------------------------
 
 
+def test_interval_union_in_small_tasks(spark):
+    """More tasks than shuffle partitions hold the intervals, of crowded keys and null ones too; stored by key they stay in place."""
+    rows = [(k, day, day + d) for k in (None, *range(300)) for day in range(0, 40, 4) for d in (0, 1, 2)] + [(5, 100, 100)] * 2000
+    days = spark.createDataFrame(rows, "k long, f int, l int").select("k", F.date_from_unix_date("f").alias("first"), F.date_from_unix_date("l").alias("last"))
+    whole = intervals.interval_union(days, ["k"], "first", "last")
+    n = intervals.TASKS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [r["n"] for r in whole.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) > n / 2 and max(sizes) < whole.count() / 8
+    assert collected(whole) == collected(intervals.interval_union(days, ["k"], "first", "last", spread=False))
+    assert whole.count() == 301 * 10 + 1
+
+
 def test_interval_union(spark):
     rows = [(1, 0, 5), (1, 3, 9), (1, 10, 12), (1, 14, 14), (1, 20, 18), (1, 2, 2), (2, 1, 1), (2, None, 4), (2, 3, None), (1, 14, 40), (1, 15, 16)]
     df = spark.createDataFrame([(k, a, b) for k, a, b in rows], "k int, a int, b int")
