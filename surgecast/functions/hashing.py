@@ -43,13 +43,19 @@ def sequence_seeds(text: Column) -> dict[str, Column]:
     return seeds
 
 
-def sequence_uniform(number: str) -> Column:
-    """Uniform double in (0, 1] for the draw ``number`` (1, 2, ... below 2^31) of a seeded row."""
+def sequence_uniform(number: str, below: int = 1 << 31) -> Column:
+    """Uniform double in (0, 1] for the draw ``number`` (1, 2, ... below ``below``, at most 2^31) of a seeded row.
+
+    Remainders are taken where the next product might not fit an integer; a smaller bound saves some.
+    """
 
     def polynomial(c0: int) -> str:
-        value = f"_c{c0 + 3}"
+        value, most = f"_c{c0 + 3}", _PRIME
         for k in (2, 1, 0):
-            value = f"({value} * {number} + _c{c0 + k}) % {_PRIME}L"
+            value, most = f"({value} * {number} + _c{c0 + k})", most * below + _PRIME
+            if k == 0 or most * below + _PRIME >= 1 << 63:
+                value, most = f"{value} % {_PRIME}L", _PRIME
+                value = f"({value})" if k else value
         return value
 
     return F.expr(

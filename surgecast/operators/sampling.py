@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surgecast.functions.hashing import hashed_uniform, key_text, sequence_seeds, sequence_uniform
-from surgecast.operators.reshape import chunk_rows, number_chunks
+from surgecast.operators.reshape import ROWS_PER_CHUNK, chunk_rows, number_chunks
 from surgecast.operators.staging import MOST_BROADCAST_ROWS, lookup, stage
 
 INDEX_BUCKETS = 1024
@@ -85,7 +85,7 @@ def draw_units(cells: DataFrame, n: Column, keys: Sequence[str], index: DataFram
     chunks = chunk_rows(cells, n, keys)
     key = key_text(seed, purpose, *[F.col(k) for k in keys], F.col("_chunk"))
     units = number_chunks(chunks.withColumns(sequence_seeds(key)), "_number")
-    return draw_cells(units, index, sequence_uniform("_number")).drop(*[f"_c{k}" for k in range(8)])
+    return draw_cells(units, index, sequence_uniform("_number", ROWS_PER_CHUNK + 1)).drop(*[f"_c{k}" for k in range(8)])
 
 
 def bootstrap_counts(
@@ -259,7 +259,7 @@ def draw_aliased(cells: DataFrame, n: Column, keys: Sequence[str], table: DataFr
     placed = chunks.join(lookup(table), list(group)).withColumns(sequence_seeds(key))
     units = number_chunks(placed, "_number")
     positions = F.col("_slots") * F.col("_total")
-    units = units.withColumn("_at", F.least(F.floor(sequence_uniform("_number") * positions).cast("bigint"), positions - 1))
+    units = units.withColumn("_at", F.least(F.floor(sequence_uniform("_number", ROWS_PER_CHUNK + 1) * positions).cast("bigint"), positions - 1))
     units = units.withColumn("_place", F.expr("int(_at div _total)"))
     chosen = F.expr("if(_at % _total < _limit[_place], _place, _alias[_place])")
     units = units.withColumn("_place", chosen)

@@ -194,15 +194,16 @@ def _unpacked(prefix: str, day: int) -> Column:
 def daily_samples(expected: DataFrame, patterns: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """(scenario_label, group, bootstrap, age_group, date, occupied, admitted) of drawn patients.
 
-    A patient's admission is the first counted day. Patients of one chunk of a cell are summed per
-    day offset before any day is written out. Chunks are already partitioned by their key, so the
-    patients themselves are never shuffled, only daily sums are.
+    A patient's admission is the first counted day. Patients of one chunk of a cell are counted by
+    pattern, and the counts summed per day offset before any day is written out. Chunks are already
+    partitioned by their key, so the patients themselves are never shuffled, only daily sums are.
     """
     cap = cfg.stay_cap_days
     packs = {f"o{k}": c for k, c in enumerate(_packed("mask", cap))}
     packs |= {f"a{k}": c for k, c in enumerate(_packed("(mask & -mask)", cap))}
-    drawn = drawn_patients(expected, patterns.withColumns(packs), cfg)
-    cells = drawn.groupBy(*CELL, "_chunk").agg(*[F.sum(c).alias(c) for c in packs])
+    chunk = [*CELL, "_chunk"]
+    counted = drawn_patients(expected, patterns, cfg).groupBy(*chunk, "mask").agg(F.count(F.lit(1)).alias("_alike"))
+    cells = counted.groupBy(*chunk).agg(*[F.sum(c * F.col("_alike")).alias(k) for k, c in packs.items()])
     per_day = F.array(
         *[
             F.struct(F.lit(d).alias("d"), _unpacked("o", d).alias("o"), _unpacked("a", d).alias("a"))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from surgecast import StudyConfig
 from surgecast.functions import hashed_uniform
+from surgecast.functions.hashing import key_text, sequence_seeds, sequence_uniform
 from surgecast.operators import intervals, long_series, sampling, selection, series
+from surgecast.plans import forecast as fc
 from surgecast.plans.occupancy import calculate_occupancy, calculate_occupancy_aged
 from tests_reference import long_occupancy
 
@@ -235,3 +237,28 @@ def test_alias_draws_match_their_table(spark):
         assert abs(n["g", c] - 50_000 * p) < 5 * math.sqrt(50_000 * p * (1 - p))
     plan = sampling.draw_aliased(units, F.col("m"), ["g", "k"], table, ["g"], 5, "test")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate explode(sequence(1, _size") < plan.index("BroadcastHashJoin")  # units are never joined
+
+
+def test_drawn_patients_are_counted_by_pattern(spark):
+    """Daily sums are those of every patient, of whom nothing is added up but how many drew a pattern."""
+    cells = [("s", g, b, "0-9", day("2024-01-05"), 1.0, n) for g in ("ward", "ED") for b in (1, 2) for n in (0, 25_000)] + [("s", "ICU", 1, "80+", day("2024-01-09"), 1.0, 7)]
+    expected = spark.createDataFrame(cells, "scenario_label string, group string, bootstrap int, age_group string, date_onset date, expected double, n long")
+    masks = [("ward", "0-9", m, n) for m, n in ((0, 3), (0b111, 50), (0b100000000000001, 2), (0b110, 9))] + [("ED", "0-9", 1 << 14, 4), ("ED", "0-9", 0, 1), ("ICU", "80+", 0b1011, 1)]
+    patterns = spark.createDataFrame(masks, "group string, age_group string, mask long, n long")
+    cfg = StudyConfig()
+    got = fc.daily_samples(expected, patterns, cfg)
+    drawn = fc.drawn_patients(expected, patterns, cfg)
+    days = drawn.select("*", F.explode(fc.mask_days(F.col("mask"))).alias("d"), F.array_min(fc.mask_days(F.col("mask"))).alias("first"))
+    want = days.groupBy("scenario_label", "group", "bootstrap", "age_group", F.date_add("date_onset", "d").alias("date")).agg(
+        F.count(F.lit(1)).alias("occupied"), F.sum((F.col("d") == F.col("first")).cast("bigint")).alias("admitted")
+    )
+    assert collected(got) == collected(want) and got.count() > 10
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    counts = next(line for line in plan.splitlines() if "_alike" in line and "Aggregate" in line and "count(1)" in line)
+    assert "sum(" not in counts and "mask" in counts
+
+
+def test_short_sequences_are_those_of_long_ones(spark):
+    df = spark.range(1, 10_001).withColumns(sequence_seeds(key_text(3, "t", F.col("id") % 50)))
+    df = df.select(sequence_uniform("id").alias("u"), sequence_uniform("id", 10_001).alias("v"), sequence_uniform("id", 1 << 20).alias("w"))
+    assert df.where("u = v and u = w").count() == 10_000
