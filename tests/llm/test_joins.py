@@ -1,5 +1,6 @@
 """N-gram join, embeddings, components and passages against brute force."""
 
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -462,3 +463,17 @@ def test_passages_of_odd_rows(spark):
     got = {r.doc_id: (r.n_words, r.spans, r.component) for r in cw.find_passages(twice, "doc_id", "text").collect()}
     assert got[1] == got[2] == got[None] == (60, "0:60", 1) and got[3][1] == ""
     assert cw.find_passages(documents(spark, []), "doc_id", "text").count() == 0
+
+
+def test_stored_tables_leave_no_shuffles(spark):
+    """What was shuffled for a stored table is off the disk, and the session's settings are as before."""
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled() -> set[str]:
+        return {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+
+    spark.range(10).repartition(3, "id").count()
+    before = shuffled()
+    kept = common.stored(spark.range(5000).withColumn("x", F.xxhash64("id")).repartition(4, "x").groupBy("x").count())
+    assert not shuffled() - before and kept.count() == 5000
+    assert spark.conf.get(common._FREE_SHUFFLES, None) is None
