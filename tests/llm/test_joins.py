@@ -428,6 +428,53 @@ def test_meetings_by_brute_force(monkeypatch, at_once):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.booleans(), min_size=1, max_size=130).filter(any))
+def test_dense_runs_by_brute_force(held):
+    """Every place in a long enough range, perhaps beyond the ends, of which three quarters are held, and no other."""
+    padded = np.concatenate([np.zeros(cw.SHORTEST, bool), held[: np.flatnonzero(held)[-1] + 1], np.zeros(cw.SHORTEST, bool)])
+    upto, want = np.concatenate([[0], np.cumsum(padded)]), np.zeros(len(padded), bool)
+    for i in range(len(padded)):
+        for j in range(i + cw.SHORTEST, len(padded) + 1):
+            want[i:j] |= 4 * (upto[j] - upto[i]) >= 3 * (j - i)
+    got = np.zeros(len(padded), bool)
+    for s, e in cw.dense_runs(np.flatnonzero(held)):
+        got[s + cw.SHORTEST : e + cw.SHORTEST] = True
+    assert (got[cw.SHORTEST :] == want[cw.SHORTEST :]).all()
+
+
+def last_pairs(spark, monkeypatch, rows):
+    """The pairs that the last round ties, and the result."""
+    tied, untried = [], cw._untried
+    monkeypatch.setattr(cw, "_untried", lambda agreed, tried: tied.append(agreed) or untried(agreed, tried))
+    got = {r.doc_id: r for r in cw.find_passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    return [r for r in tied[-1].collect() if r.functions.bit_count() >= cw.ENOUGH], got
+
+
+def test_a_line_ties_no_texts_in_the_last_round(spark, monkeypatch):
+    """Texts that share a line too short for a passage are not all paired, however many there are."""
+    rng = random.Random(4)
+    line = " ".join(f"v{rng.randrange(10**9)}" for _ in range(30))
+    rows = [(i, " ".join(f"x{rng.randrange(10**9)}" for _ in range(60)) + f" {line}") for i in range(60)]
+    pairs, got = last_pairs(spark, monkeypatch, rows)
+    assert not pairs
+    assert all(r.n_passages == 0 and r.component == i for i, r in got.items())
+
+
+def test_large_component_is_not_paired_in_the_last_round(spark, monkeypatch):
+    """Texts of one component that hold more than what links them are compared with some of them, and found all the same."""
+    monkeypatch.setattr(cw, "HUBS", 1)
+    monkeypatch.setattr(cw, "ALL_PAIRS", 4)
+    monkeypatch.setattr(cw, "STAR_ROUNDS", 1)
+    rng = random.Random(5)
+    passage = " ".join(f"v{rng.randrange(10**9)}" for _ in range(60))
+    copies = [(i, f"{passage} " + " ".join(f"x{rng.randrange(10**9)}" for _ in range(20))) for i in range(40)]
+    pairs, got = last_pairs(spark, monkeypatch, copies)
+    assert len(pairs) <= 4 * len(copies)
+    assert {r.component for r in got.values()} == {0}
+    assert all(r.spans.startswith("0:6") for r in got.values())
+
+
 def test_pairs_are_tried_once(spark):
     agreed = spark.createDataFrame([(1, 2, 0b1111), (2, 1, 0b11110), (3, 1, 0b111), (4, 1, 0b1111), (5, 4, 0b1111)], "a long, b long, functions int")
     tried = spark.createDataFrame([(4, 5)], "lo long, hi long")
